@@ -128,17 +128,18 @@ def rank_cuts(df: DataFrame, by: list[str], tie: str, ranks: DataFrame,
     else:
         wanted = wanted.withColumn("_one", F.lit(0))
 
-    buckets = rows.join(F.broadcast(wanted), [*by_all, v]) \
-        .groupBy(*by_all, v, "cut_id", "rank", "_prefix").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy(*by_all, "cut_id").orderBy("_prefix") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = buckets.withColumn("_upto", F.sum("n").over(upto)) \
+    # Several cuts may fall on one tied value, so rows meet the distinct values only.
+    at = [*by_all, v]
+    buckets = rows.join(F.broadcast(wanted.select(*at).distinct()), at) \
+        .groupBy(*at, "_prefix").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(*at).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = buckets.withColumn("_upto", F.sum("n").over(upto)).join(F.broadcast(wanted), at) \
         .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))) \
-        .select(*by_all, v, "cut_id", "_prefix",
-                (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("_within"))
-    member = Window.partitionBy(*by_all, "cut_id").orderBy(tie)
-    return rows.join(F.broadcast(hit), [*by_all, v, "_prefix"]) \
-        .withColumn("_rn", F.row_number().over(member)).where(F.col("_rn") == F.col("_within")) \
+        .select(*at, "cut_id", "_prefix", (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("_within"))
+    member = Window.partitionBy(*at, "_prefix").orderBy(tie)
+    near = rows.join(F.broadcast(hit.select(*at, "_prefix").distinct()), [*at, "_prefix"]) \
+        .withColumn("_within", F.row_number().over(member).cast("bigint"))
+    return near.join(F.broadcast(hit), [*at, "_prefix", "_within"]) \
         .select(*by, "cut_id", F.col(v).alias("cut_value"), F.col(tie).alias("cut_tie"))
 
 

@@ -1 +1,128 @@
-"""placeholder"""
+"""Customer segments: scaling, k-means, profile and readable names."""
+
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tenura.functions import domain as D
+from tenura.functions.numeric import mean_of
+
+SCALED = [f"z_{c}" for c in D.SEGMENT_FEATURES]
+
+
+def segment_features(df: DataFrame) -> DataFrame:
+    """Z-scores (population deviation) of the seven features; contract length as log1p first.
+
+    The moments are one aggregated row read as a scalar subquery. A constant feature scales to 0.
+    """
+    value = {c: F.log1p(F.col(c).cast("double")) if c == "contract_months" else F.col(c).cast("double")
+             for c in D.SEGMENT_FEATURES}
+    moments = df.agg(F.struct(
+        *[F.avg(v).alias(f"m_{c}") for c, v in value.items()],
+        *[F.stddev_pop(v).alias(f"s_{c}") for c, v in value.items()])).scalar()
+    with_m = df.withColumn("_m", moments)
+    return with_m.withColumns({
+        f"z_{c}": F.coalesce(F.try_divide(v - F.col(f"_m.m_{c}"), F.col(f"_m.s_{c}")), F.lit(0.0))
+        for c, v in value.items()}).drop("_m")
+
+
+def segment_vectors(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=SCALED, outputCol="z").transform(segment_features(df))
+
+
+def fit_kmeans(vectors: DataFrame, k: int, starts: int, seed: int) -> KMeansModel:
+    """Best of several starts by within-cluster cost."""
+    fits = [KMeans(k=k, featuresCol="z", predictionCol="cluster", seed=seed + i, maxIter=100).fit(vectors)
+            for i in range(starts)]
+    return min(fits, key=lambda m: m.summary.trainingCost)
+
+
+def scan_k(df: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
+    """Cost and silhouette per number of clusters. The silhouette is Spark's (squared distance),
+    computed over all customers rather than a sample."""
+    vectors = segment_vectors(df).select("z").cache()
+    try:
+        judge = ClusteringEvaluator(featuresCol="z", predictionCol="cluster")
+        rows = []
+        for k in ks:
+            model = fit_kmeans(vectors, k, starts, seed)
+            rows.append((int(k), float(model.summary.trainingCost), float(judge.evaluate(model.transform(vectors)))))
+    finally:
+        vectors.unpersist()
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+
+
+def segment_customers(df: DataFrame, k: int = 4, starts: int = 20, seed: int = 42) -> DataFrame:
+    """Cluster number per customer, numbered by mean tenure so that reruns agree."""
+    vectors = segment_vectors(df)
+    training = vectors.select("z").cache()
+    try:
+        model = fit_kmeans(training, k, starts, seed)
+    finally:
+        training.unpersist()
+    position = D.SEGMENT_FEATURES.index("tenure")
+    order = sorted(range(k), key=lambda c: model.clusterCenters()[c][position])
+    number = {old: new for new, old in enumerate(order)}
+    ids = F.create_map(*[x for old, new in number.items() for x in (F.lit(old), F.lit(new))])
+    return model.transform(vectors).withColumn("segment_id", ids[F.col("cluster")]).drop("cluster")
+
+
+def segment_projection(vectors: DataFrame, key: str = "customer_id") -> DataFrame:
+    """First two principal components (the z-scores are centred); the largest loading is positive."""
+    model = PCA(k=2, inputCol="z", outputCol="pc").fit(vectors)
+    loadings = model.pc.toArray()
+    signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
+    pcs = vector_to_array(F.col("pc"))
+    return model.transform(vectors).select(key, *[c for c in ("segment_id",) if c in vectors.columns],
+                                           (pcs[0] * signs[0]).alias("pc1"), (pcs[1] * signs[1]).alias("pc2"))
+
+
+def segment_profile(labelled: DataFrame) -> DataFrame:
+    """Size, churn rate and raw means per segment."""
+    return labelled.groupBy("segment_id").agg(
+        F.count("*").alias("customers"), mean_of(F.col("churn")).alias("churn_rate"),
+        *[mean_of(F.col(c)).alias(c) for c in D.SEGMENT_FEATURES]).orderBy(F.desc("churn_rate"), "segment_id")
+
+
+def segment_names(profile: DataFrame, base: DataFrame) -> DataFrame:
+    """Three-part name from a segment's means relative to the whole base."""
+    overall = base.agg(F.struct(*[mean_of(F.col(c)).alias(c) for c in D.SEGMENT_FEATURES])).scalar()
+    p = profile.withColumn("_all", overall)
+
+    def whole(c):
+        return F.col(f"_all.{c}")
+
+    life = (F.when(F.col("tenure") < whole("tenure") * 0.6, "New")
+            .when(F.col("tenure") > whole("tenure") * 1.3, "Loyal").otherwise("Mid-life"))
+    contract = (F.when(F.col("contract_months") < 4, "month-to-month")
+                .when(F.col("contract_months") > 12, "long contract").otherwise("mixed contract"))
+    product = (F.when(F.col("has_internet") < 0.2, "phone-only")
+               .when(F.col("n_addons") > whole("n_addons") * 1.3, "bundled")
+               .when(F.col("monthly_charges") > whole("monthly_charges") * 1.15, "high spend")
+               .otherwise("core internet"))
+    return p.withColumn("segment_name", F.concat_ws(", ", life, contract, product)).drop("_all")
+
+
+def disambiguate_names(named: DataFrame) -> DataFrame:
+    """Segments that read the same get their payment habit, and if that is not enough their number.
+    The windows run over segments."""
+    same = Window.partitionBy("segment_name")
+    habit = F.when(F.col("auto_pay") >= 0.5, "auto-pay").otherwise("manual pay")
+    once = named.withColumn("_n", F.count("*").over(same)).withColumn(
+        "segment_name", F.when(F.col("_n") > 1, F.concat_ws(", ", "segment_name", habit))
+        .otherwise(F.col("segment_name")))
+    return once.withColumn("_n", F.count("*").over(same)).withColumn(
+        "segment_name", F.when(F.col("_n") > 1, F.concat("segment_name", F.lit(" #"), F.col("segment_id")))
+        .otherwise(F.col("segment_name"))).drop("_n")
+
+
+def name_segments(labelled: DataFrame) -> DataFrame:
+    """Profile with final names."""
+    return disambiguate_names(segment_names(segment_profile(labelled), labelled))
+
+
+def label_with_names(labelled: DataFrame, profile: DataFrame) -> DataFrame:
+    """Adds segment_name to every customer; the profile has one row per segment."""
+    return labelled.join(F.broadcast(profile.select("segment_id", "segment_name")), "segment_id")

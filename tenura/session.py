@@ -1,6 +1,7 @@
 """Session defaults and the shared folder for staged tables."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +38,14 @@ def shared_folder(spark: SparkSession) -> str:
     if app not in _local_folder:
         _local_folder[app] = tempfile.mkdtemp(prefix="tenura-")
     return _local_folder[app]
+
+
+def written_table(spark: SparkSession, df, *partition_by: str):
+    """Write an intermediate table to the shared folder and read it back.
+
+    Cuts the lineage and lets Catalyst see real sizes. Each call takes a new folder.
+    """
+    path = f"{shared_folder(spark)}/tenura/{spark.sparkContext.applicationId}/work-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.parquet(path)
