@@ -345,8 +345,8 @@ def permutation_importance(rows: DataFrame, features: list[str], predict, repeat
     }).drop(*[f"_new_{f}" for f in features])
     base = auc_of_counts(score_counts(predict(rows), []), [], "base").select("base").scalar()
     aucs = auc_of_counts(score_counts(predict(mixed), ["feature", "repeat"]), ["feature", "repeat"])
-    drop = base - F.col("roc_auc")
-    return aucs.groupBy("feature").agg(F.avg(drop).alias("auc_drop"), F.stddev_pop(drop).alias("std"))
+    drops = aucs.select("feature", (base - F.col("roc_auc")).alias("_drop"))
+    return drops.groupBy("feature").agg(F.avg("_drop").alias("auc_drop"), F.stddev_pop("_drop").alias("std"))
 
 
 def shift_of(seed, feature_index: int, repeat: int) -> int:

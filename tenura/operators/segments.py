@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tenura.functions import domain as D
 from tenura.functions.numeric import mean_of
+from tenura.session import in_parallel
 
 SCALED = [f"z_{c}" for c in D.SEGMENT_FEATURES]
 
@@ -32,11 +33,16 @@ def segment_vectors(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=SCALED, outputCol="z").transform(segment_features(df))
 
 
-def fit_kmeans(vectors: DataFrame, k: int, starts: int, seed: int) -> KMeansModel:
-    """Best of several starts by within-cluster cost."""
-    fits = [KMeans(k=k, featuresCol="z", predictionCol="cluster", seed=seed + i, maxIter=100).fit(vectors)
-            for i in range(starts)]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def kmeans_task(vectors: DataFrame, k: int, seed: int):
+    return lambda: KMeans(k=k, featuresCol="z", predictionCol="cluster", seed=seed, maxIter=100).fit(vectors)
+
+
+def fit_kmeans(vectors: DataFrame, ks: list[int], starts: int, seed: int) -> dict[int, KMeansModel]:
+    """Per k the best of several starts by within-cluster cost; the fits run side by side."""
+    asked = [(k, seed + i) for k in ks for i in range(starts)]
+    fits = in_parallel([kmeans_task(vectors, k, s) for k, s in asked])
+    return {k: min((m for (mk, _), m in zip(asked, fits) if mk == k), key=lambda m: m.summary.trainingCost)
+            for k in ks}
 
 
 def scan_k(df: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
@@ -44,13 +50,16 @@ def scan_k(df: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42) -> D
     computed over all customers rather than a sample."""
     vectors = segment_vectors(df).select("z").cache()
     try:
-        judge = ClusteringEvaluator(featuresCol="z", predictionCol="cluster")
-        rows = []
-        for k in ks:
-            model = fit_kmeans(vectors, k, starts, seed)
-            rows.append((int(k), float(model.summary.trainingCost), float(judge.evaluate(model.transform(vectors)))))
+        best = fit_kmeans(vectors, list(ks), starts, seed)
+
+        def judge(model):
+            rater = ClusteringEvaluator(featuresCol="z", predictionCol="cluster")
+            return lambda: rater.evaluate(model.transform(vectors))
+
+        scores = in_parallel([judge(m) for m in best.values()])
     finally:
         vectors.unpersist()
+    rows = [(int(k), float(m.summary.trainingCost), float(s)) for (k, m), s in zip(best.items(), scores)]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -59,7 +68,7 @@ def segment_customers(df: DataFrame, k: int = 4, starts: int = 20, seed: int = 4
     vectors = segment_vectors(df)
     training = vectors.select("z").cache()
     try:
-        model = fit_kmeans(training, k, starts, seed)
+        model = fit_kmeans(training, [k], starts, seed)[k]
     finally:
         training.unpersist()
     position = D.SEGMENT_FEATURES.index("tenure")

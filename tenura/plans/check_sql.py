@@ -199,7 +199,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT user_id,
                date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) AS duration,
                CASE WHEN date_diff('day', CAST(max(ts) AS DATE),
-                        (SELECT CAST(max(ts) AS DATE) FROM events)) > 3 THEN 1 ELSE 0 END AS stopped
+                        (SELECT CAST(max(ts) AS DATE) FROM events)) > 0 THEN 1 ELSE 0 END AS stopped
         FROM events GROUP BY user_id"""),
 }
 

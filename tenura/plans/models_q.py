@@ -27,8 +27,10 @@ def fitted(w, name):
     at = (id(w), name)
     if at not in _fitted:
         train = train_of(w).cache()
-        _fitted[at] = models.fit(name, train, SETTINGS)
-        train.unpersist()
+        try:
+            _fitted[at] = models.fit(name, train, SETTINGS)
+        finally:
+            train.unpersist()
     return _fitted[at]
 
 
@@ -95,17 +97,17 @@ def _(w):
     return E.permutation_importance(test, inputs, lambda df: models.with_probability(model, df))
 
 
-_codes = ", ".join(f"CASE WHEN {c} = 'Two year' THEN 0 ELSE (SELECT count(DISTINCT {c}) FROM base t WHERE t.{c} <= m.{c}) END "
+_codes = ", ".join(f"CASE WHEN {c} = 'Two year' THEN 0 ELSE (SELECT count(DISTINCT {c}) FROM known t WHERE t.{c} <= m.{c}) END "
                    f"AS code_{c}" if c == "contract_type" else
-                   f"(SELECT count(DISTINCT {c}) FROM base t WHERE t.{c} <= m.{c}) AS code_{c}" for c in D.MODEL_LABELS)
-_zs = ", ".join(r(f"(CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM base)) / "
-                  f"(SELECT CASE stddev_pop(CAST({c} AS DOUBLE)) WHEN 0 THEN 1 ELSE stddev_pop(CAST({c} AS DOUBLE)) END FROM base)", 6)
+                   f"(SELECT count(DISTINCT {c}) FROM known t WHERE t.{c} <= m.{c}) AS code_{c}" for c in D.MODEL_LABELS)
+_zs = ", ".join(r(f"(CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM known)) / "
+                  f"(SELECT CASE stddev_pop(CAST({c} AS DOUBLE)) WHEN 0 THEN 1 ELSE stddev_pop(CAST({c} AS DOUBLE)) END FROM known)", 6)
                 + f" AS z_{c}" for c in ["tenure", "monthly_charges", "n_services"])
 
 
 @query("categorical_codes", sql(
     f"SELECT customer_id, {_codes}, {_zs} FROM mart m", "mart",
-    extra={"base": "SELECT * FROM mart WHERE contract_type <> 'Two year'"}))
+    extra={"known": "SELECT * FROM mart WHERE contract_type <> 'Two year'"}))
 def _(w):
     """Codes fitted on customers without two-year contracts: that level is unseen and becomes 0."""
     numbers = ["tenure", "monthly_charges", "n_services"]

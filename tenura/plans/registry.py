@@ -1,7 +1,7 @@
 """All registered queries. Importing the area modules registers them."""
 
 from tenura.plans import catalog
-from tenura.plans import breakdowns_q, contract_q, evaluate_q, features_q, models_q  # noqa: F401
+from tenura.plans import breakdowns_q, contract_q, evaluate_q, features_q, models_q, sources_q  # noqa: F401
 
 
 def queries():

@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _local_folder: dict[str, str] = {}
@@ -45,7 +47,19 @@ def written_table(spark: SparkSession, df, *partition_by: str):
 
     Cuts the lineage and lets Catalyst see real sizes. Each call takes a new folder.
     """
-    path = f"{shared_folder(spark)}/tenura/{spark.sparkContext.applicationId}/work-{uuid.uuid4().hex}"
+    path = work_folder(spark)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+
+def work_folder(spark: SparkSession, name: str = "work") -> str:
+    """A new folder path for one output, below the shared folder."""
+    return f"{shared_folder(spark)}/tenura/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def in_parallel(tasks: list, threads: int = 8) -> list:
+    """Run driver calls that each submit Spark jobs (model fits) side by side, results in order."""
+    with ThreadPool(min(threads, max(len(tasks), 1))) as pool:
+        return pool.map(inheritable_thread_target(lambda task: task()), tasks)

@@ -127,4 +127,4 @@ class Warehouse:
         return self.mart().withColumn("segment_id", scoring.rule_segment())
 
     def activity(self) -> DataFrame:
-        return snapshot.activity_spans(self.source("events"))
+        return snapshot.activity_spans(self.source("events"), quiet_days=0)
