@@ -8,7 +8,10 @@ Three ideas carry everything here:
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-VALUE_BUCKETS = 256
+from tenura.session import pinned, written_table
+
+BUCKET_SIDE = 16            # 16 x 16 = 256 value buckets
+ONE_WINDOW_ROWS = 200_000   # a table of distinct values up to this size needs no buckets
 PREFIX_CHARS = 4            # 16**4 = 65,536 hash buckets: the proven size of every bucket table
 
 
@@ -24,18 +27,43 @@ def value_aggregate(df: DataFrame, keys: list[str], value: str, **sums: Column)
         F.count("*").alias("n"), *[e.alias(name) for name, e in sums.items()])
 
 
+def settled(counts: DataFrame) -> tuple[DataFrame, bool]:
+    """Write a table of distinct values once and tell whether one window can run over it.
+
+    Later steps read the written table instead of scanning the customers again, and the choice rests
+    on its real row count (a footer read).
+    """
+    table = written_table(counts.sparkSession, counts)
+    return table, table.count() <= ONE_WINDOW_ROWS
+
+
+def _bucket(cuts: str, value: Column, side: int) -> tuple[Column, Column]:
+    """How many of the side * side - 1 sorted cut points lie below the value: a coarse step over
+    every side-th cut, then a fine step inside it. Plain comparisons, so it stays in codegen."""
+    def below(position):
+        return (F.col(cuts)[position] < value).cast("int")
+
+    coarse, fine = F.lit(0), F.lit(0)
+    for i in range(1, side):
+        coarse = coarse + below(F.lit(side * i - 1))
+    for j in range(side - 1):
+        fine = fine + below(F.col("_coarse") * side + j)
+    return coarse, fine
+
+
 def running_totals(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
                    descending: bool = False, bounded: bool = False,
-                   buckets: int = VALUE_BUCKETS) -> DataFrame:
+                   side: int = BUCKET_SIDE) -> DataFrame:
     """Running sums (row included) over rows with distinct `order` values, per `keys`.
 
     bounded=True: the distinct values are few by nature (whole months, probabilities rounded to
     five digits), so one window per key is enough.
 
-    Otherwise the values are cut into `buckets` ranges of about equal row count. Bucket totals give
-    each bucket its starting amount, and the window runs inside a bucket. The tables of cut points
-    and starting amounts have at most (number of keys) x buckets rows, and callers pass feature
-    names or class labels as keys, so both are broadcast.
+    Otherwise the values are cut into side * side ranges of about equal row count. Bucket totals
+    give each bucket its starting amount, and the window runs inside a bucket. The tables of cut
+    points and starting amounts have at most (number of keys) x side * side rows, and callers pass
+    feature names or class labels as keys, so both are broadcast. df is read three times: pass a
+    written table (see `settled`).
     """
     if bounded:
         w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -44,17 +72,20 @@ def running_totals(df: DataFrame, keys: list[str], order: str, sums: dict[str, s
         return df.withColumns({new: F.sum(c).over(w) for new, c in sums.items()})
 
     by = [*keys, "_all"]
+    amounts = sorted(set(sums.values()))
     rows = df.withColumn("_all", F.lit(0))
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    grid = F.array(*[F.lit(i / side ** 2) for i in range(1, side ** 2)])
     cuts = rows.groupBy(*by).agg(
-        F.percentile_approx(F.col(order).cast("double"), grid, F.lit(100 * buckets)).alias("_cuts"))
-    rows = rows.join(F.broadcast(cuts), by).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
-    totals = rows.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in set(sums.values())])
+        F.percentile_approx(F.col(order).cast("double"), grid, F.lit(20 * side ** 2)).alias("_cuts"),
+)
+    coarse, fine = _bucket("_cuts", F.col(order).cast("double"), side)
+    rows = rows.join(F.broadcast(cuts), by).withColumn("_coarse", coarse) \
+        .withColumn("_bucket", F.col("_coarse") * side + fine)
+    totals = rows.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in amounts])
     direction = F.desc if descending else F.asc
     before = Window.partitionBy(*by).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*by, "_bucket", *[
-        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_s_{c}") for c in set(sums.values())])
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_s_{c}") for c in amounts])
     inside = Window.partitionBy(*by, "_bucket").orderBy(direction(order)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = rows.join(F.broadcast(starts), [*by, "_bucket"])
@@ -72,9 +103,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     names = names or [f"p{round(100 * p)}" for p in probs]
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = value_aggregate(rows, keys, "_v")
+    if not bounded:
+        counts, bounded = settled(counts)
     ranked = running_totals(counts, keys, "_v", {"_upto": "n"}, bounded=bounded) \
         .withColumn("_all", F.lit(0))
-    totals = rows.withColumn("_all", F.lit(0)).groupBy(*keys, "_all").agg(F.count("*").alias("_rows"))
+    totals = counts.withColumn("_all", F.lit(0)).groupBy(*keys, "_all").agg(F.sum("n").alias("_rows"))
     ranked = ranked.join(F.broadcast(totals), [*keys, "_all"])
 
     def at(rank: Column) -> Column:                 # value of the 0-based rank
@@ -112,19 +145,23 @@ def rank_cuts(df: DataFrame, by: list[str], tie: str, ranks: DataFrame,
     df has columns by, tie (a hash_order string) and optionally value; ranks has by, cut_id, rank
     (a handful of rows). Returns by, cut_id, cut_value, cut_tie: exactly `rank` rows of the group
     are at or before (cut_value, cut_tie). No row of df is shuffled except the members of one hash
-    bucket per cut: value counts find the tied value, hash-prefix counts find the bucket in it.
+    bucket per cut: value counts find the tied value, hash-prefix counts find the bucket in it. The
+    steps run one after the other, each handing on a few rows per cut, so every step is one scan.
     """
     v = value or "_one"
     rows = (df if value else df.withColumn("_one", F.lit(0))).select(*by, v, tie) \
         .withColumns({"_all": F.lit(0), "_prefix": F.substring(tie, 1, PREFIX_CHARS)})
     by_all = [*by, "_all"]
-    wanted = ranks.withColumn("_all", F.lit(0))
+    wanted = pinned(ranks).withColumn("_all", F.lit(0))
     if value:
-        counts = running_totals(value_aggregate(rows, by_all, v), by_all, v, {"_upto": "n"},
-                                descending=descending, bounded=bounded)
+        counts = value_aggregate(rows, by_all, v)
+        if not bounded:
+            counts, bounded = settled(counts)
+        counts = running_totals(counts, by_all, v, {"_upto": "n"}, descending=descending, bounded=bounded)
         wanted = counts.join(F.broadcast(wanted), by_all) \
             .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))) \
             .select(*by_all, "cut_id", v, (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("rank"))
+        wanted = pinned(wanted)
     else:
         wanted = wanted.withColumn("_one", F.lit(0))
 
@@ -136,11 +173,12 @@ def rank_cuts(df: DataFrame, by: list[str], tie: str, ranks: DataFrame,
     hit = buckets.withColumn("_upto", F.sum("n").over(upto)).join(F.broadcast(wanted), at) \
         .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))) \
         .select(*at, "cut_id", "_prefix", (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("_within"))
+    hit = pinned(hit)
     member = Window.partitionBy(*at, "_prefix").orderBy(tie)
     near = rows.join(F.broadcast(hit.select(*at, "_prefix").distinct()), [*at, "_prefix"]) \
         .withColumn("_within", F.row_number().over(member).cast("bigint"))
-    return near.join(F.broadcast(hit), [*at, "_prefix", "_within"]) \
-        .select(*by, "cut_id", F.col(v).alias("cut_value"), F.col(tie).alias("cut_tie"))
+    return pinned(near.join(F.broadcast(hit), [*at, "_prefix", "_within"])
+                  .select(*by, "cut_id", F.col(v).alias("cut_value"), F.col(tie).alias("cut_tie")))
 
 
 def ntile_ranks(df: DataFrame, by: list[str], tiles: int) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from tenura.functions.numeric import chi2_p_value, normal_two_sided_p
-from tenura.operators.ordering import exact_percentiles, running_totals
+from tenura.operators.ordering import running_totals, settled
 from tenura.session import written_table
 
 EXACT = "decimal(38,0)"
@@ -57,27 +57,32 @@ def mann_whitney(df: DataFrame, features: list[str], target: str = "churn", with
         .where(F.col("value").isNotNull() & F.col("in_first").isNotNull())
     counts = tall.groupBy("feature", "value").agg(
         F.count("*").alias("n"), F.sum(F.col("in_first").cast("bigint")).alias("n1"))
-    ranked = running_totals(counts, ["feature"], "value", {"upto": "n"})
+    counts, small = settled(counts)
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("rows"), F.sum("n1").alias("a"))
+    ranked = running_totals(counts, ["feature"], "value", {"upto": "n", "upto1": "n1"}, bounded=small) \
+        .join(F.broadcast(totals), "feature")
     n, n1 = F.col("n").cast("decimal(18,0)"), F.col("n1").cast("decimal(18,0)")
     double_rank = (2 * (F.col("upto") - F.col("n")) + F.col("n") + 1).cast("decimal(18,0)")   # 2 x mean rank
-    sums = ranked.groupBy("feature").agg(
+    b_count, upto0 = F.col("rows") - F.col("a"), F.col("upto") - F.col("upto1")
+
+    def median(upto, size):
+        low = F.min(F.when(upto > F.floor((size - 1) / 2), F.col("value")))
+        high = F.min(F.when(upto > F.ceil((size - 1) / 2), F.col("value")))
+        return (low + high) / 2
+
+    sums = ranked.groupBy("feature", "rows", "a").agg(
         F.sum((n1 * double_rank).cast(EXACT)).cast("double").alias("rank2"),
         F.sum((n * n * n - n).cast(EXACT)).cast("double").alias("ties"),
-        F.sum("n").alias("rows"), F.sum("n1").alias("a"))
-    a, rows = F.col("a").cast("double"), F.col("rows").cast("double")
-    b = rows - a
-    sums = sums.select("feature", "rows", a.alias("a"), b.alias("b"), "ties",
-                       (F.col("rank2") / 2 - a * (a + 1) / 2).alias("u"))
-    pairs = F.col("a") * F.col("b")
-    n_all = F.col("rows").cast("double")
+        median(F.col("upto1"), F.col("a")).alias("median_churned"),
+        median(upto0, b_count).alias("median_retained"))
+    a = F.col("a").cast("double")
+    sums = sums.select("*", (F.col("rank2") / 2 - a * (a + 1) / 2).alias("u"),
+                       (a * b_count.cast("double")).alias("pairs"), F.col("rows").cast("double").alias("all"))
+    pairs, n_all = F.col("pairs"), F.col("all")
     deviation = F.sqrt(F.try_divide(pairs, F.lit(12.0)) * (
         n_all + 1 - F.try_divide(F.col("ties"), n_all * (n_all - 1))))
     larger = F.greatest(F.col("u"), pairs - F.col("u"))
-    medians = exact_percentiles(tall, ["feature", "in_first"], "value", [0.5], ["median"]) \
-        .groupBy("feature").agg(
-            F.max(F.when(F.col("in_first") == 1, F.col("median"))).alias("median_churned"),
-            F.max(F.when(F.col("in_first") == 0, F.col("median"))).alias("median_retained"))
-    out = sums.join(F.broadcast(medians), "feature").select(
+    out = sums.select(
         "feature", "median_churned", "median_retained", F.col("u").alias("u"),
         (1.0 - F.try_divide(2.0 * F.col("u"), pairs)).alias("rank_biserial"),
         F.try_divide(larger - pairs / 2 - 0.5, deviation).alias("z"))
@@ -88,8 +93,8 @@ def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, value, rank): the mean rank of every distinct value of every column."""
     tall = df.select([F.col(c).cast("double").alias(c) for c in columns]) \
         .unpivot([], columns, "feature", "value").where(F.col("value").isNotNull())
-    counts = tall.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, ["feature"], "value", {"upto": "n"})
+    counts, small = settled(tall.groupBy("feature", "value").agg(F.count("*").alias("n")))
+    ranked = running_totals(counts, ["feature"], "value", {"upto": "n"}, bounded=small)
     return ranked.select("feature", "value", (F.col("upto") - (F.col("n") - 1) / 2).alias("rank"))
 
 

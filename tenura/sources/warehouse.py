@@ -93,8 +93,8 @@ class Warehouse:
         return self.stage(name, lambda: build(self.features()))
 
     def fact(self) -> DataFrame:
-        return star.fact_subscription(self.features(), self.dim("dim_contract"),
-                                      self.dim("dim_payment"), self.dim("dim_internet"))
+        return self.stage("fact_subscription", lambda: star.fact_subscription(
+            self.features(), self.dim("dim_contract"), self.dim("dim_payment"), self.dim("dim_internet")))
 
     def star(self) -> dict[str, DataFrame]:
         return {

@@ -48,7 +48,7 @@ def test_running_totals(spark, bounded, descending):
     rng = random.Random(3)
     rows = [(g, float(v), rng.randint(1, 9)) for g in ("a", "b") for v in rng.sample(range(5000), 700)]
     df = spark.createDataFrame(rows, "g string, v double, n long")
-    out = ordering.running_totals(df, ["g"], "v", {"cum": "n"}, descending=descending, bounded=bounded, buckets=16)
+    out = ordering.running_totals(df, ["g"], "v", {"cum": "n"}, descending=descending, bounded=bounded, side=4)
     got = {(r.g, r.v): r.cum for r in out.collect()}
     for g in ("a", "b"):
         total = 0
@@ -99,3 +99,14 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert ordering.ntile(df, "k", 4, "q", value="v").count() == 0
     assert ordering.hash_rank(df, "k", 1, "r").count() == 0
+
+
+def test_large_tables_take_the_bucket_path(spark, monkeypatch):
+    """Same answers when no table counts as small."""
+    monkeypatch.setattr(ordering, "ONE_WINDOW_ROWS", 0)
+    rows = hot_values(203)
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = ordering.exact_percentiles(df, [], "v", [0.25, 0.75], ["a", "b"]).first()
+    assert np.allclose([got.a, got.b], np.percentile([v for _, v in rows], [25, 75]))
+    sizes = {r.q: r["count"] for r in ordering.ntile(df, "k", 4, "q", value="v").groupBy("q").count().collect()}
+    assert sizes == {1: 51, 2: 51, 3: 51, 4: 50}
