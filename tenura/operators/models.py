@@ -54,7 +54,7 @@ def as_training(df: DataFrame, inputs: Inputs = Inputs()) -> DataFrame:
     return out.withColumn("label", F.col(inputs.target).cast("double")) if inputs.target in df.columns else out
 
 
-def feature_pipeline(train: DataFrame, inputs: Inputs = Inputs(), scale: bool = True) -> list:
+def feature_stages(train: DataFrame, inputs: Inputs = Inputs(), scale: bool = True) -> list:
     """Stages that turn labels and numbers into one vector.
 
     One-hot per level; a level never seen in training becomes all zeros (the indexer's extra slot is
@@ -94,13 +94,13 @@ def logistic_baseline(train: DataFrame, s: ModelSettings = ModelSettings(), inpu
     n = train.count()
     clf = LogisticRegression(regParam=1.0 / (s.logistic_c * max(n, 1)), elasticNetParam=0.0, standardization=False,
                              maxIter=s.logistic_iterations, tol=1e-8)
-    return Pipeline(stages=[*feature_pipeline(train, inputs), clf])
+    return Pipeline(stages=[*feature_stages(train, inputs), clf])
 
 
 def random_forest_baseline(train: DataFrame, s: ModelSettings = ModelSettings(), inputs: Inputs = Inputs()) -> Pipeline:
     clf = RandomForestClassifier(numTrees=s.forest_trees, maxDepth=s.forest_depth, minInstancesPerNode=s.forest_leaf,
                                  featureSubsetStrategy="sqrt", seed=s.seed)
-    return Pipeline(stages=[*feature_pipeline(train, inputs, scale=False), clf])
+    return Pipeline(stages=[*feature_stages(train, inputs, scale=False), clf])
 
 
 def gradient_boosting_baseline(train: DataFrame, s: ModelSettings = ModelSettings(),
@@ -109,7 +109,7 @@ def gradient_boosting_baseline(train: DataFrame, s: ModelSettings = ModelSetting
     clf = GBTClassifier(stepSize=s.boost_rate, maxIter=s.boost_iterations, maxDepth=s.boost_depth,
                         minInstancesPerNode=s.boost_leaf, validationIndicatorCol="held_out",
                         validationTol=s.boost_tolerance, seed=s.seed)
-    return Pipeline(stages=[*feature_pipeline(train, inputs, scale=False), clf])
+    return Pipeline(stages=[*feature_stages(train, inputs, scale=False), clf])
 
 
 def hold_out(train: DataFrame, fraction: float, seed, key: str = "customer_id") -> DataFrame:
@@ -120,7 +120,7 @@ def hold_out(train: DataFrame, fraction: float, seed, key: str = "customer_id")
 
 def mlp_baseline(train: DataFrame, s: ModelSettings = ModelSettings(), inputs: Inputs = Inputs()) -> Pipeline:
     """Neural net with two hidden layers."""
-    stages = feature_pipeline(train, inputs)
+    stages = feature_stages(train, inputs)
     width = len(feature_names(Pipeline(stages=stages[:1]).fit(train), inputs))
     clf = MultilayerPerceptronClassifier(layers=[width, *s.net_hidden, 2], maxIter=s.net_iterations, seed=s.seed)
     return Pipeline(stages=[*stages, clf])

@@ -38,10 +38,10 @@ def metrics(w, *names):
     return E.model_comparison(models.evaluation_rows({n: fitted(w, n) for n in names}, rows_of(w)))
 
 
-@query("feature_pipeline")
+@query("feature_vectors")
 def _(w):
     """Vector width per split: labels as one-hot columns, numbers scaled."""
-    prepared = models.Pipeline(stages=models.feature_pipeline(train_of(w))).fit(train_of(w))
+    prepared = models.Pipeline(stages=models.feature_stages(train_of(w))).fit(train_of(w))
     vectors = prepared.transform(models.as_training(rows_of(w)))
     size = F.size(models.vector_to_array("features"))
     return vectors.groupBy("split").agg(F.count("*").alias("n"), F.min(size).alias("width"))

@@ -18,9 +18,10 @@ def read_raw_subscriptions(spark: SparkSession, path: str, columns=tuple(D.RAW_C
     enforceSchema=False compares the header with the expected columns, so a file with swapped
     columns fails instead of being read wrongly.
     """
-    return (spark.read.schema(text_schema(list(columns)))
-            .option("header", True).option("enforceSchema", False)
-            .option("nullValue", KEEP_BLANKS).option("emptyValue", "").csv(path))
+    cells = (spark.read.schema(text_schema(list(columns)))
+             .option("header", True).option("enforceSchema", False)
+             .option("nullValue", KEEP_BLANKS).option("emptyValue", "").csv(path))
+    return cells.select([F.coalesce(c, F.lit("")).alias(c) for c in columns])   # an empty cell arrives as null
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
