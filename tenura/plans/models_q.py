@@ -8,6 +8,7 @@ from tenura.operators import evaluate as E
 from tenura.operators import models, segments, split
 from tenura.plans.catalog import query
 from tenura.plans.check_sql import r, sql
+from tenura.session import written_table
 
 SETTINGS = models.ModelSettings()
 _fitted: dict[tuple[int, str], object] = {}
@@ -35,7 +36,9 @@ def fitted(w, name):
 
 
 def metrics(w, *names):
-    return E.model_comparison(models.evaluation_rows({n: fitted(w, n) for n in names}, rows_of(w)))
+    """Scores are written once; the metrics read the table instead of scoring again for each."""
+    scored = models.evaluation_rows({n: fitted(w, n) for n in names}, rows_of(w))
+    return E.model_comparison(written_table(w.spark, scored))
 
 
 @query("feature_vectors")
