@@ -6,7 +6,7 @@ breaks it. All of them are single scans with map-side combined counts.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tenura.functions import domain as D
 
@@ -101,21 +101,31 @@ def validation_report(df: DataFrame) -> DataFrame:
         return frame.select(F.lit(check).alias("check_name"), column.alias("column_name"),
                             F.lit(severity).alias("severity"), n.cast("bigint").alias("n"))
 
-    numbers = check_numeric_parse(df)
-    blank = check_conditional_blank(df)
+    # everything that needs no grouping comes from one scan
+    low, high = D.EXPECTED_CHURN_RATE
+    bad_total, new = number("TotalCharges").isNull(), F.coalesce(number("tenure") == 0, F.lit(False))
+    rate = F.try_divide(F.count_if(F.col("Churn") == "Yes").cast("double"), F.count("*").cast("double"))
+    excused, not_excused = F.count_if(bad_total & new), F.count_if(bad_total & ~new)
+
+    def item(check, column, severity, n):
+        return F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
+                        F.lit(severity).alias("severity"), n.cast("bigint").alias("n"))
+
+    none = F.lit(0).cast("bigint")
+    single = df.agg(F.array(
+        *[item("numeric", c, "error", F.count_if(number(c).isNull())) for c in D.RAW_NUMBERS if c != "TotalCharges"],
+        *[item("negative", c, "error", F.count_if(number(c) < 0)) for c in D.RAW_NUMBERS],
+        # any total that is not excused by tenure 0 makes all unparsable totals an error
+        item("numeric", "TotalCharges", "error", F.when(not_excused > 0, excused + not_excused).otherwise(none)),
+        item("blank_total", "TotalCharges", "warning", F.when(not_excused == 0, excused).otherwise(none)),
+        item("churn_rate", "Churn", "warning",
+             (~F.coalesce((rate > low) & (rate < high), F.lit(False))).cast("bigint")),
+    ).alias("found")).select(F.explode("found").alias("f")).select("f.*")
     rows = [
         finding(check_unique_key(df, D.RAW_KEY), "unique_key", F.lit(D.RAW_KEY), "error", F.col("repeats")),
         finding(check_domains(df).groupBy("column_name").agg(F.count("*").alias("n")),
                 "domain", F.col("column_name"), "error", F.col("n")),
-        finding(numbers.where(F.col("column_name") != "TotalCharges"),
-                "numeric", F.col("column_name"), "error", F.col("non_numeric")),
-        finding(numbers, "negative", F.col("column_name"), "error", F.col("negative")),
-        # any total that is not excused by tenure 0 makes all unparsable totals an error
-        finding(blank.where(F.col("not_excused") > 0), "numeric", F.lit("TotalCharges"), "error",
-                F.col("excused") + F.col("not_excused")),
-        finding(blank.where(F.col("not_excused") == 0), "blank_total", F.lit("TotalCharges"), "warning",
-                F.col("excused")),
-        finding(check_rate_drift(df).where("off"), "churn_rate", F.lit("Churn"), "warning", F.lit(1)),
+        single,
     ]
     out = rows[0]
     for r in rows[1:]:
@@ -165,8 +175,8 @@ def reconcile_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    total = out.agg(F.max(F.when(F.col("_base"), F.col("n")))).scalar()
-    return out.select("table_name", "n", (F.col("n") == total).alias("matches"))
+    first = F.max(F.when(F.col("_base"), F.col("n"))).over(Window.partitionBy(F.lit(0)))   # one row per table
+    return out.select("table_name", "n", (F.col("n") == first).alias("matches"))
 
 
 def check_relationship(tables: dict[str, DataFrame], relationships=D.RELATIONSHIPS) -> DataFrame:
@@ -206,11 +216,12 @@ def check_table_rules(tables: dict[str, DataFrame], rules=D.TABLE_RULES) -> Data
         df = tables[name]
         parts = [check_primary_key(df, keys).agg(F.count("*").alias("n"))
                  .select(F.lit(f"unique {', '.join(keys)}").alias("rule"), "n") for keys in rule["unique"]]
-        parts.append(check_not_null(df, rule["required"]).select(
-            F.concat(F.lit("not null "), F.col("column_name")).alias("rule"), F.col("nulls").alias("n")))
-        parts += [check_value_in(df, c, [0, 1]).select(F.lit(f"0/1 {c}").alias("rule"),
-                                                       F.col("outside").alias("n"))
-                  for c in rule.get("binary", [])]
+        # null and value rules of a table share one scan
+        rules_here = [(f"not null {c}", F.col(c).isNull()) for c in rule["required"]]
+        rules_here += [(f"0/1 {c}", ~F.col(c).isin(0, 1)) for c in rule.get("binary", [])]
+        found = df.agg(F.array(*[F.struct(F.lit(label).alias("rule"), F.count_if(broken).alias("n"))
+                                 for label, broken in rules_here]).alias("found"))
+        parts.append(found.select(F.explode("found").alias("f")).select("f.*"))
         for p in parts:
             p = p.select(F.lit(name).alias("table_name"), "rule", "n")
             out = p if out is None else out.unionByName(p)

@@ -333,16 +333,18 @@ def permutation_importance(rows: DataFrame, features: list[str], predict, repeat
     """
     ranked = hash_rank(rows.select(key, "y", *features), key, seed, "_rank").withColumn("_rank", F.col("_rank") - 1)
     n = rows.agg(F.count("*")).scalar()
-    tests = F.explode(F.array(*[
+    types = dict(rows.dtypes)
+    # Only (place, test, value) travels per test; the wide row travels once.
+    values = F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"),
-                 F.lit(shift_of(seed, i, r)).cast("bigint").alias("_shift"))
+                 F.lit(shift_of(seed, i, r)).cast("bigint").alias("_shift"), F.col(f).cast("string").alias("_value"))
         for i, f in enumerate(features) for r in range(1, repeats + 1)]))
-    asked = ranked.withColumn("_t", tests).select("*", "_t.*").drop("_t").withColumn(
-        "_donor", (F.col("_rank") + 1 + F.col("_shift") % F.greatest(n - 1, F.lit(1))) % n)
-    donors = ranked.select(F.col("_rank").alias("_donor"), *[F.col(f).alias(f"_new_{f}") for f in features])
-    mixed = asked.join(donors, "_donor").withColumns({
-        f: F.when(F.col("feature") == f, F.col(f"_new_{f}")).otherwise(F.col(f)) for f in features
-    }).drop(*[f"_new_{f}" for f in features])
+    donors = ranked.select("_rank", values.alias("_t")).select("_rank", "_t.*").select(
+        ((F.col("_rank") - 1 - F.col("_shift") % F.greatest(n - 1, F.lit(1)) + n) % n).alias("_rank"),
+        "feature", "repeat", "_value")
+    mixed = ranked.join(donors, "_rank").withColumns({
+        f: F.when(F.col("feature") == f, F.col("_value").cast(types[f])).otherwise(F.col(f)) for f in features
+    }).drop("_value")
     base = auc_of_counts(score_counts(predict(rows), []), [], "base").select("base").scalar()
     aucs = auc_of_counts(score_counts(predict(mixed), ["feature", "repeat"]), ["feature", "repeat"])
     drops = aucs.select("feature", (base - F.col("roc_auc")).alias("_drop"))

@@ -10,8 +10,11 @@ from pyspark.sql import SparkSession
 _local_folder: dict[str, str] = {}
 
 
-def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for tests and benchmarks; a cluster brings its own settings."""
+def local_session(cpus: int = 8, shuffle_partitions: int | None = None, **more: str) -> SparkSession:
+    """Session for tests and benchmarks; a cluster brings its own settings.
+
+    More settings go in with underscores for dots, e.g. spark_sql_ansi_enabled="true".
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName("tenura")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
@@ -20,6 +23,8 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> Spark
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
     )
+    for name, value in more.items():
+        builder = builder.config(name.replace("_", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

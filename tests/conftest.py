@@ -14,7 +14,8 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session()
+    # a few hundred rows: compiling generated code would take longer than running without it
+    session = local_session(4, 2, spark_sql_codegen_wholeStage="false")
     yield session
     session.stop()
 
