@@ -1,6 +1,7 @@
 """Properties of the physical plans that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tenura.sources.warehouse import Warehouse
@@ -42,3 +43,29 @@ def test_split_assignment_does_not_shuffle_customers(spark, data_dir):
     from tenura.operators import split
     text = plan(split.assign_split(w.mart(), "customer_id", "churn", w.split_cuts(), SplitSizes()))
     assert "hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_a_hot_part_is_split(spark, tmp_path):
+    """With the part table too large to broadcast, AQE splits the partition of a part holding a third
+    of all items (thresholds scaled down to the test data)."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5KB", "spark.sql.shuffle.partitions": "50",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    data, items = "/root/testdata/sf0.01", str(tmp_path / "items")
+    spark.read.parquet(f"{data}/lineitem.parquet").select(
+        "l_orderkey", F.when(F.col("l_suppkey") % 3 == 0, 11).otherwise(F.col("l_partkey")).cast("bigint").alias("l_partkey")) \
+        .repartition(20).write.parquet(items)
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        df = snapshot.addon_items(spark.read.parquet(f"{data}/orders.parquet"), spark.read.parquet(items),
+                                  spark.read.parquet(f"{data}/part.parquet"))
+        total = sum(sum(r[1:]) for r in df.collect())
+        final = plan(df).split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true) [l_partkey" in final
+    assert total == spark.read.parquet(items).count()
