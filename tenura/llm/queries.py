@@ -72,3 +72,12 @@ def packing(spark: SparkSession, data_dir: str) -> DataFrame:
     from tenura.llm.packing import pack
 
     return pack(table(spark, data_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+# -- 7 sentencepiece ----------------------------------------------------------------------------------
+
+@query("op7_sentencepiece")
+def sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.pieces import digests
+
+    return digests(table(spark, data_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
