@@ -66,15 +66,14 @@ class Groups:
         return new
 
 
-def blocks(df: DataFrame, sizes: DataFrame, key: str, member: str) -> DataFrame:
-    """Deal the members of each group to cells (block_i <= block_j) of its block grid.
+def blocks(members: DataFrame, member: str) -> DataFrame:
+    """Deal the members of groups to cells (block_i <= block_j) of their group's block grid.
 
-    `sizes` has one row per group with its number of blocks `n_blocks`. A member of block b goes to
-    every cell of row or column b, so each pair of members meets in exactly one cell, and no cell holds
-    more than two blocks. `side` is 0 for a row of block_i, 1 for block_j.
+    `members` has the number of blocks of its group in `n_blocks`. A member of block b goes to every cell
+    of row or column b, so each pair of members meets in exactly one cell, and no cell holds more than two
+    blocks. `side` is 0 for a row of block_i, 1 for block_j.
     """
-    dealt = df.join(sizes, key).withColumn(
-        "own_block", F.pmod(F.xxhash64(member, F.lit(17)), F.col("n_blocks")).cast("int"))
+    dealt = members.withColumn("own_block", F.pmod(F.xxhash64(member, F.lit(17)), F.col("n_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other_block")
     return (
         dealt.select("*", other)

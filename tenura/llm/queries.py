@@ -85,7 +85,27 @@ def sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
 
 # -- 4 WARC -------------------------------------------------------------------------------------------
 
-@query("op4_warc")
+WARC_SQL = """
+WITH page AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+    SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+        ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111']
+        [strpos('0123456789abcdef', substr(hex, i, 1))]), '') AS bits, max(page_id) OVER (PARTITION BY hex) AS response
+    FROM page
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+           + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INTEGER)
+           + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INTEGER)
+           + CAST(substr(bits, 5 * i + 5, 1) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM bits
+"""
+
+
+@query("op4_warc", WARC_SQL)
 def warc(spark: SparkSession, data_dir: str) -> DataFrame:
     from tenura.llm.warc import read_warc, write_warc
     from tenura.session import written_table
@@ -146,3 +166,86 @@ def toxicity(spark: SparkSession, data_dir: str) -> DataFrame:
 
     docs = table(spark, data_dir, "documents")
     return score_texts(docs, train(docs, table(spark, data_dir, "labels")))
+
+
+# -- 10 n-gram Jaccard join ---------------------------------------------------------------------------
+
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda w: w <> '') AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+), linked AS (
+    SELECT a, b, c = x.n AND c = y.n AS same FROM common JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id
+    WHERE c >= 0.8 * (x.n + y.n - c)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), least AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links, count(*) FILTER (WHERE same) AS n_same FROM linked GROUP BY a)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, coalesce(n_same, 0) + 1 AS n_copies, coalesce(n_links, 0) AS n_links,
+       class_id, d.doc_id = class_id AS kept
+FROM documents d JOIN least ON least.a = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN n ON n.a = d.doc_id
+"""
+
+
+@query("op10_jaccard_join", JACCARD_SQL)
+def jaccard_links(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.forest import jaccard_join
+
+    return jaccard_join(table(spark, data_dir, "documents")).drop("text_key")
+
+
+# -- 2 exact top-k, 5 embedding near-dedup ------------------------------------------------------------
+
+USABLE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+TOP_K_SQL = f"""
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND {USABLE}
+), scored AS (
+    SELECT q.vec_id AS query_id, x.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
+@query("op2_pivot_topk", TOP_K_SQL)
+def pivot_topk(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.pivots import top_k
+
+    return top_k(table(spark, data_dir, "embeddings"))
+
+
+NEAR_VECTORS_SQL = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE {USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.9
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM linked GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON least.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
+@query("op5_embedding_dedup", NEAR_VECTORS_SQL)
+def embedding_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.multiindex import near_vectors
+
+    return near_vectors(table(spark, data_dir, "embeddings"))
