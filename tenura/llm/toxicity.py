@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, max_featur
     there are so many; rows are chosen by hash of their id.
 
     Features are chosen by how much their share differs between the classes (chi-square over all training
-    rows of the sample, at least 10.83), at most `max_features`. Rows with a null id, label or text are not
+    rows of the sample, at least 30: beyond chance even among a million features), at most `max_features`. Rows with a null id, label or text are not
     learnt from; a repeated document or label counts as often as it occurs. Without labelled rows the model
     scores everything 0.5 less a little, so nothing is rejected.
     """
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, max_featur
     both = a + b
     chi2 = (F.lit(float(n1 + n0)) * F.pow(a * (n0 - b) - b * (n1 - a), 2)
             / (both * (n1 + n0 - both) * float(n1) * float(n0)))
-    strong = counts.where((both >= 3) & (both < n1 + n0)).select("feature", chi2.alias("chi2")).where("chi2 >= 10.83")
+    strong = counts.where((both >= 3) & (both < n1 + n0)).select("feature", chi2.alias("chi2")).where("chi2 >= 30")
     names = [r["feature"] for r in strong.orderBy(F.desc("chi2"), "feature").limit(max_features).collect()]
     index = {f: k for k, f in enumerate(names)}
     rows = sample.mapInArrow(lambda x: _encode(index, x), "toxic int, at array<int>, twin array<int>").toArrow()
