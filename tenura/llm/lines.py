@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.common import text_column
+from tenura.session import written_table
 
 #: What is stripped at the ends of a line: space, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\f\r"
@@ -43,6 +44,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
         per_doc.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("d").alias("stays"))
         .where(F.col("n") >= min_docs).select("k1", "k2", "stays")
     )
+    # Written, so that both sides of the next join come from a shuffle and the skew join may split a hot key.
+    marked = written_table(docs.sparkSession, marked)
     gone = (
         line.join(marked, ["k1", "k2"]).where(~F.col("d").eqNullSafe(F.col("stays")))
         .groupBy(F.col("d").alias("gone_d"), F.col("t").alias("gone_t"))
