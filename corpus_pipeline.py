@@ -2,10 +2,9 @@
 rest is packed. Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tenura.llm.forest import keep_one
-from tenura.llm.lines import dedup_lines
+from tenura.llm.lines import drop_shared_lines
 from tenura.llm.packing import pack
 from tenura.llm.queries import table, tokenizer_path
 from tenura.llm.toxicity import reject_toxic, train
@@ -19,13 +18,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, texts without the lines that another document keeps; n_chars follows a changed text."""
-    out = dedup_lines(docs)
-    changed = F.col("line_dedup.n_dropped") > 0
-    columns = {"text": F.when(changed, F.col("line_dedup.kept")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        n_chars = F.char_length("line_dedup.kept").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(changed, n_chars).otherwise(F.col("n_chars"))
-    return out.withColumns(columns).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return drop_shared_lines(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
