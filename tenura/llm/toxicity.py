@@ -180,8 +180,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, max_featur
     """Fit on labelled rows that are not held out, at most about `max_rows` of them, half for each class where
     there are so many; rows are chosen by hash of their id.
 
-    Features are chosen by how much their share differs between the classes (chi-square over all training
-    rows of the sample, at least 30: beyond chance even among a million features), at most `max_features`. Rows with a null id, label or text are not
+    Features are chosen by how much their share differs between the classes (chi-square over all rows of
+    the sample, beyond chance for as many features as were tested), at most `max_features`. Rows with a null id, label or text are not
     learnt from; a repeated document or label counts as often as it occurs. Without labelled rows the model
     scores everything 0.5 less a little, so nothing is rejected.
     """
@@ -203,7 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, max_featur
     both = a + b
     chi2 = (F.lit(float(n1 + n0)) * F.pow(a * (n0 - b) - b * (n1 - a), 2)
             / (both * (n1 + n0 - both) * float(n1) * float(n0)))
-    strong = counts.where((both >= 3) & (both < n1 + n0)).select("feature", chi2.alias("chi2")).where("chi2 >= 30")
+    tested = written_table(docs.sparkSession, counts.where((both >= 3) & (both < n1 + n0)).select("feature", chi2.alias("chi2")))
+    strong = tested.where(F.col("chi2") >= beyond_chance(tested.count()))
     names = [r["feature"] for r in strong.orderBy(F.desc("chi2"), "feature").limit(max_features).collect()]
     index = {f: k for k, f in enumerate(names)}
     rows = sample.mapInArrow(lambda x: _encode(index, x), "toxic int, at array<int>, twin array<int>").toArrow()
@@ -212,6 +213,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, max_featur
     return Model({f: float(x) for f, x in zip(names, w) if x}, float(bias))
 
 
+def beyond_chance(tests: int, p: float = 0.05) -> float:
+    """Chi-square (one degree of freedom) that none of so many tests reaches by chance, with probability 1 - p:
+    the tail p / tests by its leading terms."""
+    double = 2 * math.log(max(tests, 1) / p)
+    return double - math.log(double) - math.log(math.pi / 2)
+
+
 SCORED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
                        T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
