@@ -22,9 +22,18 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_name(c) for c in df.columns])
 
 
+#: Everything that counts as white space, as in the reference's strip: by rule, not by list.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+def strip(text: Column) -> Column:
+    """Without white space at both ends: tabs, line ends and the wide spaces too."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def trim_strings(df: DataFrame) -> DataFrame:
     return df.select([
-        F.trim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        strip(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in df.schema.fields
     ])
 
@@ -122,7 +131,8 @@ def add_features(df: DataFrame) -> DataFrame:
         return flag(F.col(c) == "Yes")
 
     out = df.withColumns({
-        "has_internet": flag(F.col("internet_service") != "No"),
+        # a missing label differs from every label
+        "has_internet": flag(~F.col("internet_service").eqNullSafe("No")),
         "multiple_lines_flag": is_yes("multiple_lines"),
         "n_addons": reduce(add, [is_yes(c) for c in D.ADDONS]),
         "has_protection_bundle": flag(reduce(add, [is_yes(c) for c in D.PROTECTION_ADDONS]) >= 2),
@@ -136,7 +146,7 @@ def add_features(df: DataFrame) -> DataFrame:
         "is_new_customer": flag(F.col("tenure") <= 6),
         "family": flag((F.col("partner") == 1) | (F.col("dependents") == 1)),
         "fiber_no_support": flag((F.col("internet_service") == "Fiber optic")
-                                 & (F.col("tech_support") != "Yes")),
+                                 & ~F.col("tech_support").eqNullSafe("Yes")),
     })
     out = out.withColumns({
         "n_services": F.col("phone_service") + F.col("multiple_lines_flag")

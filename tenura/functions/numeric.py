@@ -7,12 +7,16 @@ from pyspark.sql import Column, functions as F, types as T
 
 
 def half_up(value: Column | str, digits: int) -> Column:
-    """Round half away from zero in plain IEEE arithmetic (built-in rounding differs by engine)."""
+    """Round half away from zero in plain IEEE arithmetic (built-in rounding differs by engine).
+
+    From 2^53 / 10^digits on a double has no such digits left and stays as it is.
+    """
     x = F.col(value) if isinstance(value, str) else value
     x = x.cast("double")
     scale = float(10 ** digits)
     # + 0.0 turns a negative zero into zero
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale + 0.0
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale + 0.0
+    return F.when(F.abs(x) * scale < 2.0 ** 53, rounded).otherwise(x)
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -30,22 +34,16 @@ def share_pct(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def chi2_tail(stat: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution for whole degrees of freedom (finite sums)."""
+    """Upper tail of the chi-square distribution for whole degrees of freedom (finite sums, whose terms
+    are taken from their logarithms, so nothing overflows)."""
     if stat is None or dof is None or math.isnan(stat):
         return float("nan")
     half = stat / 2.0
-    if dof % 2 == 0:
-        term, total = 1.0, 1.0
-        for k in range(1, dof // 2):
-            term *= half / k
-            total += term
-        return math.exp(-half) * total
-    tail = math.erfc(math.sqrt(half))
-    term = math.exp(-half) * math.sqrt(half) / math.gamma(1.5)
-    for k in range(1, (dof + 1) // 2):
-        tail += term
-        term *= half / (k + 0.5)
-    return tail
+    if half <= 0:
+        return 1.0
+    start = 0.5 * (dof % 2)
+    terms = (math.exp((k + start) * math.log(half) - half - math.lgamma(k + start + 1)) for k in range(dof // 2))
+    return min(1.0, math.fsum(terms) + (math.erfc(math.sqrt(half)) if dof % 2 else 0.0))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tenura.functions import domain as D
 from tenura.functions import features as X
 from tenura.functions.numeric import half_up, mean_of, ratio, share_pct
-from tenura.operators.ordering import exact_percentiles, ntile
+from tenura.operators.ordering import exact_percentiles, join_same, ntile
+from tenura.session import written_table
 
 
 
@@ -146,19 +147,20 @@ def target_balance(df: DataFrame, target: str = "churn") -> DataFrame:
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles, max per column.
 
-    Deviation comes from sums of exact decimals, quartiles from value counts: nothing keeps all
+    Deviation comes from sums of decimals with six digits, so it does not depend on row order; extremes
+    and quartiles are those of the values themselves. Quartiles come from value counts: nothing keeps all
     values of a column in one task.
     """
-    tall = df.select([F.col(c).cast("decimal(20,6)").alias(c) for c in columns]) \
+    tall = df.select([F.col(c).cast("double").alias(c) for c in columns]) \
         .unpivot([], columns, "feature", "value").where(F.col("value").isNotNull())
-    v = F.col("value")
+    v = F.col("value").cast("decimal(20,6)")
     moments = tall.groupBy("feature").agg(
         F.count("*").alias("cnt"), F.sum(v).cast("double").alias("s"),
         F.sum((v * v).cast("decimal(38,6)")).cast("double").alias("ss"),
-        F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max"))
+        F.min("value").alias("min"), F.max("value").alias("max"))
     quarts = exact_percentiles(tall, ["feature"], "value", [0.25, 0.5, 0.75]).drop("n")
     n, s, ss = F.col("cnt"), F.col("s"), F.col("ss")
-    return moments.join(F.broadcast(quarts), "feature").select(
+    return moments.join(quarts, "feature").select(
         "feature", n.alias("count"), half_up(s / n, 2).alias("mean"),
         half_up(F.sqrt(F.greatest(ratio(ss - s * s / n, n - 1), F.lit(0.0))), 2).alias("std"),
         half_up("min", 2).alias("min"), half_up("p25", 2).alias("p25"), half_up("p50", 2).alias("p50"),
@@ -187,7 +189,7 @@ def density_histogram(df: DataFrame, value: str, bins: int = 36, by: str = "chur
     edges = rows.groupBy(by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("total")) \
         .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
     inside = F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("width")))
-    binned = rows.join(F.broadcast(edges), by).withColumn(
+    binned = join_same(rows, written_table(df.sparkSession, edges), [by]).withColumn(
         "bin", F.least(F.coalesce(inside, F.lit(0)), F.lit(bins - 1)).cast("int"))
     return binned.groupBy(by, "bin").agg(
         F.count("*").alias("n"), F.max("lo").alias("lo"), F.max("width").alias("width"),
@@ -208,7 +210,7 @@ def box_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     rows = df.select(*keys, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
     box = exact_percentiles(rows, keys, "v", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fenced = rows.join(F.broadcast(box), keys)
+    fenced = join_same(rows, written_table(df.sparkSession, box), keys)
     inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
     return fenced.groupBy(*keys).agg(
         F.max("n").alias("n"), *[half_up(F.max(c), 6).alias(c) for c in ("q1", "median", "q3")],

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tenura.functions import domain as D
+from tenura.functions.features import strip
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -50,16 +51,16 @@ def check_domains(df: DataFrame, domains: dict[str, list[str]] = D.RAW_DOMAINS)
     One pass over the extract for all columns: unpivot, count per (column, value), then an anti-join
     with the allowed values (a fixed table of a few dozen rows).
     """
-    tall = df.select([F.trim(F.col(c).cast("string")).alias(c) for c in domains]) \
+    tall = df.select([strip(F.col(c).cast("string")).alias(c) for c in domains]) \
         .unpivot([], list(domains), "column_name", "value")
     seen = tall.groupBy("column_name", "value").agg(F.count("*").alias("n"))
     allowed = domain_table(df.sparkSession, domains)
-    return seen.join(F.broadcast(allowed), ["column_name", "value"], "left_anti")
+    return seen.join(F.broadcast(allowed), ["column_name", "value"], "left_anti")   # fixed values only
 
 
 def number(column: str) -> Column:
     """The column as a number, null when it is not one ('5d', 'nan' and blanks are not)."""
-    text = F.trim(F.col(column).cast("string"))
+    text = strip(F.col(column).cast("string"))
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
@@ -168,7 +169,7 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
 
 
 def reconcile_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count per table and whether it equals the first one's."""
+    """Row count per table and whether it equals the first one's; `reconcile` fails where it does not."""
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n",
                                                     F.lit(i == 0).alias("_base"))
              for i, (name, df) in enumerate(tables.items())]
@@ -179,15 +180,27 @@ def reconcile_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out.select("table_name", "n", (F.col("n") == first).alias("matches"))
 
 
+def reconcile(tables: dict[str, DataFrame]) -> None:
+    """Stop a load that lost or repeated rows on the way."""
+    off = [f"{r.table_name}: {r.n}" for r in reconcile_row_counts(tables).where("NOT matches").collect()]
+    if off:
+        raise ContractError("row counts differ from the first table: " + "; ".join(sorted(off)))
+
+
+def _given(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    if name not in tables:
+        raise ContractError(f"table {name} is not given")
+    return tables[name]
+
+
 def check_relationship(tables: dict[str, DataFrame], relationships=D.RELATIONSHIPS) -> DataFrame:
     """Per declared relationship: repeated keys on the one side(s) and orphans on the many side.
 
-    Relationships whose tables are not given are left out.
+    A table that is not given is an error.
     """
     out = None
     for child, column, parent, parent_column, kind in relationships:
-        if child not in tables or parent not in tables:
-            continue
+        _given(tables, child), _given(tables, parent)
         name = F.lit(f"{child}.{column} -> {parent}.{parent_column}").alias("relationship")
         found = check_primary_key(tables[parent], [parent_column]).agg(F.count("*").alias("n")) \
             .select(name, F.lit("parent_not_unique").alias("problem"), "n")
@@ -211,9 +224,7 @@ def check_table_rules(tables: dict[str, DataFrame], rules=D.TABLE_RULES) -> Data
     """All declared key, null and value rules of the given tables: (table, rule, n)."""
     out = None
     for name, rule in rules.items():
-        if name not in tables:
-            continue
-        df = tables[name]
+        df = _given(tables, name)
         parts = [check_primary_key(df, keys).agg(F.count("*").alias("n"))
                  .select(F.lit(f"unique {', '.join(keys)}").alias("rule"), "n") for keys in rule["unique"]]
         # null and value rules of a table share one scan

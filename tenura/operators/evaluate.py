@@ -1,15 +1,16 @@
 """Ranking and threshold metrics of scored customers, and campaign economics.
 
-Input rows: model_name, y (0/1), p, and for money questions monthly_charges. Probabilities carry
-five digits, so `score_counts` has at most 100,001 rows per model and every curve, area and
-threshold table is a small window over it. All models are measured in the same pass.
+Input rows: model_name, y (0/1), p, and for money questions monthly_charges. Probabilities are taken
+with five digits (`score_counts` rounds them), so it has at most 100,001 rows per model and every curve,
+area and threshold table is a small window over it. All models are measured in the same pass.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenura.functions.domain import Economics
-from tenura.functions.numeric import mean_of, ratio
-from tenura.operators.ordering import exact_percentiles, hash_order, hash_rank, rank_cuts, running_totals
+from tenura.functions.numeric import half_up, ratio
+from tenura.operators.ordering import PREFIX_CHARS, exact_percentiles, hash_order, hash_rank, running_totals
+from tenura.session import written_table
 
 P5 = "decimal(9,5)"
 EXACT = "decimal(38,0)"
@@ -20,7 +21,7 @@ def score_counts(scored: DataFrame, keys: list[str] = ("model_name",)) -> DataFr
     y = F.col("y").cast("bigint")
     lost = F.sum(F.when(F.col("y") == 1, F.col("monthly_charges"))) if "monthly_charges" in scored.columns \
         else F.lit(None).cast("decimal(28,2)")
-    return scored.groupBy(*keys, "p").agg(
+    return scored.withColumn("p", half_up("p", 5)).groupBy(*keys, "p").agg(
         F.count("*").alias("n"), F.sum(y).alias("pos"), lost.alias("pos_charges"))
 
 
@@ -122,9 +123,10 @@ def calibration_table(scored: DataFrame, bins: int = 10) -> DataFrame:
     A bin holds the probabilities above its lower inner edge, up to and including the upper one.
     """
     inner = [f"e{i}" for i in range(1, bins)]
-    edges = exact_percentiles(scored, ["model_name"], "p", [i / bins for i in range(1, bins)], inner, bounded=True) \
+    edges = exact_percentiles(scored.withColumn("p", half_up("p", 5)), ["model_name"], "p",
+                              [i / bins for i in range(1, bins)], inner, bounded=True) \
         .select("model_name", F.array(*inner).alias("edges"))
-    binned = score_counts(scored).join(F.broadcast(edges), "model_name").withColumn(
+    binned = score_counts(scored).join(edges, "model_name").withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("p"))))
     weighted = F.sum((F.col("p").cast(P5) * F.col("n").cast("decimal(18,0)")).cast("decimal(38,5)"))
     return binned.groupBy("model_name", "bin").agg(
@@ -133,51 +135,64 @@ def calibration_table(scored: DataFrame, bins: int = 10) -> DataFrame:
 
 
 # ---------------------------------------------------------------- rank based
-def _at_or_before(cut: Column) -> Column:
-    """Is the row at or before a (probability, tie) cut, highest probability first?"""
-    p = F.col("p")
-    return (p > cut["cut_value"]) | ((p == cut["cut_value"]) & (F.col("_tie") <= cut["cut_tie"]))
+def _reached(scored: DataFrame, ranks: DataFrame, key: str) -> DataFrame:
+    """ranks (model_name, cut_id, rank) with pos: the positives among the `rank` rows with the highest
+    probabilities, ties in hash order of the key.
 
+    Counts per probability answer all but the cuts inside a tied value. For those, counts per hash prefix
+    find the place in the tie, and only the rows of one prefix are put in order.
+    """
+    spark, tie = scored.sparkSession, ["model_name", "p"]
+    cum = _from_top(score_counts(scored), ["model_name"])
+    at = cum.join(ranks, "model_name").where(F.col("rank").between(F.col("cum_n") - F.col("n") + 1, F.col("cum_n")))
+    at = written_table(spark, at.select(
+        *tie, "cut_id", "rank", "n", "pos", (F.col("tp") - F.col("pos")).alias("above"),
+        (F.col("rank") - (F.col("cum_n") - F.col("n"))).alias("within")))          # a row per cut
+    whole = at.where("within = n").select("model_name", "cut_id", "rank", (F.col("above") + F.col("pos")).alias("pos"))
+    inside = at.where("within < n")
+    rows = scored.withColumn("p", half_up("p", 5)).withColumn("_tie", hash_order("lift", key)) \
+        .select(*tie, F.col("y").cast("bigint").alias("y"), "_tie", F.substring("_tie", 1, PREFIX_CHARS).alias("_prefix")) \
+        .join(inside.select(*tie).distinct(), tie)
+    upto = Window.partitionBy(*tie).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    slots = rows.groupBy(*tie, "_prefix").agg(F.count("*").alias("_n"), F.sum("y").alias("_y")) \
+        .select(*tie, "_prefix", "_n", F.sum("_n").over(upto).alias("_upto"), (F.sum("_y").over(upto) - F.col("_y")).alias("_before"))
+    hit = slots.join(inside, tie).where(F.col("within").between(F.col("_upto") - F.col("_n") + 1, F.col("_upto")))
+    hit = written_table(spark, hit.select(
+        *tie, "cut_id", "rank", "_prefix", (F.col("above") + F.col("_before")).alias("above"),
+        (F.col("within") - (F.col("_upto") - F.col("_n"))).alias("_nth")))
+    member = Window.partitionBy(*tie, "_prefix").orderBy("_tie")
+    near = rows.join(hit.select(*tie, "_prefix").distinct(), [*tie, "_prefix"]).select(
+        *tie, "_prefix", F.row_number().over(member).alias("_nth"),
+        F.sum("y").over(member.rowsBetween(Window.unboundedPreceding, 0)).alias("_y"))
+    part = near.join(hit, [*tie, "_prefix", "_nth"]).select("model_name", "cut_id", "rank", (F.col("above") + F.col("_y")).alias("pos"))
+    return whole.unionByName(part)
+
+
+def _model_sizes(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("model_name").agg(F.count("*").alias("n"), F.sum(F.col("y").cast("bigint")).alias("positives"),
+                                            F.count("y").alias("known"))
 
-def top_decile_lift(scored: DataFrame, fraction: float = 0.10, key: str = "customer_id") -> DataFrame:
-    """Positive rate among the top share of customers over the base rate.
 
-    The last row of the top share is found exactly (ties in hash order of the key), then one
-    conditional count per model: no sort of all customers.
-    """
-    rows = scored.withColumn("_tie", hash_order("lift", key))
+def top_decile_lift(scored: DataFrame, fraction: float = 0.10, key: str = "customer_id") -> DataFrame:
+    """Positive rate among the top share of customers over the base rate, ties in hash order of the key."""
+    sizes = _model_sizes(scored)
     n_top = F.greatest(F.floor(F.col("n") * F.lit(fraction) + 1e-9), F.lit(1))
-    ranks = rows.groupBy("model_name").agg(F.count("*").alias("n")).select(
-        "model_name", F.lit(1).alias("cut_id"), n_top.alias("rank"))
-    cuts = rank_cuts(rows, ["model_name"], "_tie", ranks, value="p", descending=True, bounded=True) \
-        .select("model_name", F.struct("cut_value", "cut_tie").alias("cut"))
-    tagged = rows.join(F.broadcast(cuts), "model_name").withColumn("top", _at_or_before(F.col("cut")))
-    return tagged.groupBy("model_name").agg(
-        F.try_divide(ratio(F.sum(F.when(F.col("top"), F.col("y"))), F.count_if("top")),
-                     mean_of(F.col("y"))).alias("top_decile_lift"))
+    reached = _reached(scored, sizes.select("model_name", F.lit(1).alias("cut_id"), n_top.alias("rank")), key)
+    return reached.join(sizes, "model_name").select(
+        "model_name", F.try_divide(ratio(F.col("pos"), F.col("rank")),
+                                   ratio(F.col("positives"), F.col("known"))).alias("top_decile_lift"))
 
 
 def cumulative_gains(scored: DataFrame, steps: int = 100, key: str = "customer_id") -> DataFrame:
     """Share of positives reached when contacting the top k of `steps` equal shares."""
-    rows = scored.withColumn("_tie", hash_order("lift", key))
-    sizes = rows.groupBy("model_name").agg(F.count("*").alias("n"))
-    ranks = sizes.select("model_name", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("cut_id"), "n").select(
-        "model_name", "cut_id", F.floor(F.col("n") * F.col("cut_id") / steps).alias("rank"))
-    cuts = rank_cuts(rows, ["model_name"], "_tie", ranks.where(F.col("rank") > 0), value="p",
-                     descending=True, bounded=True)
-    packed = cuts.groupBy("model_name").agg(
-        F.collect_list(F.struct("cut_id", "cut_value", "cut_tie")).alias("cuts"))    # at most `steps` structs
-    # a row belongs to the first cut at or after it
-    first = F.array_min(F.transform(F.filter("cuts", _at_or_before), lambda c: c["cut_id"]))
-    reached = rows.join(F.broadcast(packed), "model_name").groupBy("model_name", first.alias("cut_id")).agg(
-        F.sum(F.col("y").cast("bigint")).alias("pos"), F.count("*").alias("members"))
-    upto = Window.partitionBy("model_name").orderBy("cut_id").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("model_name")
-    return ranks.join(reached, ["model_name", "cut_id"], "left").select(
+    sizes = _model_sizes(scored)
+    ranks = sizes.select("model_name", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("cut_id"), "n", "positives").select(
+        "model_name", "cut_id", "positives", F.floor(F.col("n") * F.col("cut_id") / steps).alias("rank"))
+    reached = _reached(scored, ranks.where(F.col("rank") > 0).select("model_name", "cut_id", "rank"), key)
+    return ranks.join(reached.drop("rank"), ["model_name", "cut_id"], "left").select(
         "model_name", F.col("cut_id").alias("step"),
         ratio(F.col("cut_id"), F.lit(steps)).alias("share_contacted"), F.col("rank").alias("contacted"),
-        ratio(F.sum(F.coalesce("pos", F.lit(0))).over(upto),
-              F.sum(F.coalesce("pos", F.lit(0))).over(whole)).alias("share_reached"))
+        ratio(F.coalesce("pos", F.lit(0)), F.col("positives")).alias("share_reached"))
 
 
 # ---------------------------------------------------------------- campaign
@@ -241,8 +256,8 @@ def best_threshold(curve: DataFrame, keys: list[str] = ("model_name",)) -> DataF
 
 def campaign_vs_contact_all(valid: DataFrame, test: DataFrame, econ: Economics = Economics()) -> DataFrame:
     """Per model: threshold chosen on one split, its value on another, and the value of contacting all."""
-    best = best_threshold(profit_curve(valid, econ)).select("model_name", "threshold")
-    rows = test.join(F.broadcast(best), "model_name")          # one row per model
+    best = written_table(test.sparkSession, best_threshold(profit_curve(valid, econ)).select("model_name", "threshold"))
+    rows = test.join(best, "model_name")
     hit, churned = F.col("p") >= F.col("threshold"), F.col("y") == 1
 
     def value(chosen: Column) -> Column:
@@ -276,11 +291,11 @@ def campaign_simulator(scored: DataFrame, threshold: float, econ: Economics = Ec
 def classification_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """All metrics per model."""
     keys = ["model_name"]
-    counts = score_counts(scored, keys)
+    counts = written_table(scored.sparkSession, score_counts(scored, keys))
     out = auc_of_counts(counts, keys)
     for part in (ap_of_counts(counts, keys), brier_of_counts(counts, keys),
                  threshold_of_counts(counts, keys, threshold), top_decile_lift(scored)):
-        out = out.join(F.broadcast(part), keys)                 # one row per model
+        out = out.join(part, keys)
     return out
 
 
@@ -288,7 +303,7 @@ def model_comparison(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Test metrics and validation AUC of every model, best validation AUC first."""
     test = classification_metrics(scored.where(F.col("split") == "test"), threshold)
     valid = auc_of_counts(score_counts(scored.where(F.col("split") == "valid")), ["model_name"], "valid_roc_auc")
-    return test.join(F.broadcast(valid), "model_name").orderBy(F.desc("valid_roc_auc"), "model_name")
+    return test.join(valid, "model_name").orderBy(F.desc("valid_roc_auc"), "model_name")
 
 
 def select_best_model(comparison: DataFrame) -> DataFrame:
@@ -315,8 +330,7 @@ def run_summary(scored: DataFrame, econ: Economics = Economics()) -> DataFrame:
     at_t = called.select(
         "model_name", F.coalesce(ratio(F.col("tp"), F.col("called")), F.lit(0.0)).alias("precision"),
         F.coalesce(ratio(F.col("tp"), F.col("positives")), F.lit(0.0)).alias("recall"))
-    out = values.join(F.broadcast(auc_of_counts(counts, ["model_name"])), "model_name") \
-        .join(F.broadcast(at_t), "model_name") \
+    out = values.join(auc_of_counts(counts, ["model_name"]), "model_name").join(at_t, "model_name") \
         .select(F.col("model_name").alias("best_model"), "threshold", "roc_auc", "precision", "recall",
                 "campaign_value", "contact_all_value")
     return out.withColumn("summary", F.to_json(F.struct(*out.columns)))
@@ -332,6 +346,7 @@ def permutation_importance(rows: DataFrame, features: list[str], predict, repeat
     in one plan. Nothing is sampled.
     """
     ranked = hash_rank(rows.select(key, "y", *features), key, seed, "_rank").withColumn("_rank", F.col("_rank") - 1)
+    ranked = written_table(rows.sparkSession, ranked)           # read on both sides of the join
     n = rows.agg(F.count("*")).scalar()
     types = dict(rows.dtypes)
     # Only (place, test, value) travels per test; the wide row travels once.

@@ -134,8 +134,8 @@ MONTHS = list(range(1, 25))
 THRESHOLDS = [k / 100 for k in range(5, 96)]
 
 
-def campaign_what_if(scored: DataFrame, thresholds=THRESHOLDS, costs=OFFER_COSTS, acceptance=(0.30,),
-                     months=(8,)) -> DataFrame:
+def campaign_what_if(scored: DataFrame, thresholds=THRESHOLDS, costs=OFFER_COSTS, acceptance=ACCEPTANCE,
+                     months=MONTHS) -> DataFrame:
     """Campaign measures for every combination of slider values.
 
     Customers are summed up per threshold first; the other parameters are generated from those few

@@ -4,15 +4,39 @@ Three ideas carry everything here:
 * count rows per distinct value first, so ties (however hot) shrink on the map side;
 * split the ordered values into buckets, total the buckets, and run the window inside each bucket;
 * break ties by md5 of the key, whose hex prefix spreads any group of rows evenly.
+
+The plan is the same for every table size. Nulls are ordered like the smallest value: first ascending,
+last descending. A null group is a group. Tables of cut rows and totals never pass through the driver.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from tenura.session import written_table
+
+PREFIX_CHARS = 4            # 16**4 = 65,536 hash buckets inside one tied value
+
+
+def bucket_side(spark: SparkSession) -> int:
+    """Value buckets are side x side. About two for each shuffle partition: the setting that says into how
+    many tasks the data is to be cut, so buckets stay as small as any other task's rows. It moves work
+    between tasks and never changes a result."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(4, min(64, round((2 * partitions) ** 0.5 + 0.499)))
 
-from tenura.session import pinned, written_table
 
-BUCKET_SIDE = 16            # 16 x 16 = 256 value buckets
-ONE_WINDOW_ROWS = 200_000   # a table of distinct values up to this size needs no buckets
-PREFIX_CHARS = 4            # 16**4 = 65,536 hash buckets: the proven size of every bucket table
+def join_same(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi join in which null equals null. Keeps the columns of the left and the other ones of the right."""
+    right = right.withColumnsRenamed({c: f"_same_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in on])
+    return left.join(right, same, how).drop(*[f"_same_{c}" for c in on])
+
+
+def _side(df: DataFrame, by: list[str]) -> DataFrame:
+    """A table with a few rows per group, as the side of a join. Without groups its size is known and it is
+    broadcast. With groups their number decides: it is written, and Catalyst chooses by its real size."""
+    return written_table(df.sparkSession, df) if by else F.broadcast(df)
 
 
 def hash_order(seed, key: Column | str) -> Column:
@@ -27,16 +51,6 @@ def value_aggregate(df: DataFrame, keys: list[str], value: str, **sums: Column)
         F.count("*").alias("n"), *[e.alias(name) for name, e in sums.items()])
 
 
-def settled(counts: DataFrame) -> tuple[DataFrame, bool]:
-    """Write a table of distinct values once and tell whether one window can run over it.
-
-    Later steps read the written table instead of scanning the customers again, and the choice rests
-    on its real row count (a footer read).
-    """
-    table = written_table(counts.sparkSession, counts)
-    return table, table.count() <= ONE_WINDOW_ROWS
-
-
 def _bucket(cuts: str, value: Column, side: int) -> tuple[Column, Column]:
     """How many of the side * side - 1 sorted cut points lie below the value: a coarse step over
     every side-th cut, then a fine step inside it. Plain comparisons, so it stays in codegen."""
@@ -52,43 +66,40 @@ def _bucket(cuts: str, value: Column, side: int) -> tuple[Column, Column]:
 
 
 def running_totals(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
-                   descending: bool = False, bounded: bool = False,
-                   side: int = BUCKET_SIDE) -> DataFrame:
+                   descending: bool = False, bounded: bool = False, side: int | None = None) -> DataFrame:
     """Running sums (row included) over rows with distinct `order` values, per `keys`.
 
-    bounded=True: the distinct values are few by nature (whole months, probabilities rounded to
-    five digits), so one window per key is enough.
+    bounded=True: the distinct values are few by construction (labels, whole months, probabilities rounded
+    to five digits), so one window per key is enough. Callers round or check, they don't assume.
 
-    Otherwise the values are cut into side * side ranges of about equal row count. Bucket totals
-    give each bucket its starting amount, and the window runs inside a bucket. The tables of cut
-    points and starting amounts have at most (number of keys) x side * side rows, and callers pass
-    feature names or class labels as keys, so both are broadcast. df is read three times: pass a
-    written table (see `settled`).
+    Otherwise the values are cut into side * side ranges of about equal row count (see `bucket_side`).
+    Bucket totals give each bucket its starting amount, and the window runs inside a bucket. df is read
+    three times: pass a written table.
     """
+    direction = F.desc if descending else F.asc
     if bounded:
         w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        w = w.orderBy(F.desc(order) if descending else F.asc(order)) \
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        w = w.orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({new: F.sum(c).over(w) for new, c in sums.items()})
 
+    side = side or bucket_side(df.sparkSession)
     by = [*keys, "_all"]
     amounts = sorted(set(sums.values()))
     rows = df.withColumn("_all", F.lit(0))
     grid = F.array(*[F.lit(i / side ** 2) for i in range(1, side ** 2)])
     cuts = rows.groupBy(*by).agg(
-        F.percentile_approx(F.col(order).cast("double"), grid, F.lit(20 * side ** 2)).alias("_cuts"),
-)
+        F.percentile_approx(F.col(order).cast("double"), grid, F.lit(20 * side ** 2)).alias("_cuts"))
     coarse, fine = _bucket("_cuts", F.col(order).cast("double"), side)
-    rows = rows.join(F.broadcast(cuts), by).withColumn("_coarse", coarse) \
-        .withColumn("_bucket", F.col("_coarse") * side + fine)
+    # a null value lies before the first bucket
+    rows = join_same(rows, _side(cuts, keys), by).withColumn("_coarse", coarse) \
+        .withColumn("_bucket", F.coalesce(F.col("_coarse") * side + fine, F.lit(-1)))
     totals = rows.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in amounts])
-    direction = F.desc if descending else F.asc
     before = Window.partitionBy(*by).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*by, "_bucket", *[
         F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_s_{c}") for c in amounts])
     inside = Window.partitionBy(*by, "_bucket").orderBy(direction(order)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = rows.join(F.broadcast(starts), [*by, "_bucket"])
+    joined = join_same(rows, _side(starts, keys), [*by, "_bucket"])
     return joined.withColumns(
         {new: F.sum(c).over(inside) + F.col(f"_s_{c}") for new, c in sums.items()}
     ).select(*df.columns, *sums)
@@ -104,11 +115,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = value_aggregate(rows, keys, "_v")
     if not bounded:
-        counts, bounded = settled(counts)
+        counts = written_table(df.sparkSession, counts)
     ranked = running_totals(counts, keys, "_v", {"_upto": "n"}, bounded=bounded) \
         .withColumn("_all", F.lit(0))
     totals = counts.withColumn("_all", F.lit(0)).groupBy(*keys, "_all").agg(F.sum("n").alias("_rows"))
-    ranked = ranked.join(F.broadcast(totals), [*keys, "_all"])
+    ranked = join_same(ranked, _side(totals, keys), [*keys, "_all"])
 
     def at(rank: Column) -> Column:                 # value of the 0-based rank
         return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
@@ -142,43 +153,47 @@ def rank_cuts(df: DataFrame, by: list[str], tie: str, ranks: DataFrame,
               value: str | None = None, descending: bool = False, bounded: bool = False) -> DataFrame:
     """Where does row number `rank` fall when each group is ordered by (value, tie)?
 
-    df has columns by, tie (a hash_order string) and optionally value; ranks has by, cut_id, rank
-    (a handful of rows). Returns by, cut_id, cut_value, cut_tie: exactly `rank` rows of the group
-    are at or before (cut_value, cut_tie). No row of df is shuffled except the members of one hash
-    bucket per cut: value counts find the tied value, hash-prefix counts find the bucket in it. The
-    steps run one after the other, each handing on a few rows per cut, so every step is one scan.
+    df has columns by, tie (a hash_order string) and optionally value; ranks has by, cut_id, rank.
+    Returns by, cut_id, cut_value, cut_tie: exactly `rank` rows of the group are at or before
+    (cut_value, cut_tie). No row of df is shuffled except the members of one hash bucket per cut: value
+    counts find the tied value, hash-prefix counts find the bucket in it. There may be any number of
+    groups; rows meet the cuts in joins and nothing is collected.
     """
     v = value or "_one"
     rows = (df if value else df.withColumn("_one", F.lit(0))).select(*by, v, tie) \
         .withColumns({"_all": F.lit(0), "_prefix": F.substring(tie, 1, PREFIX_CHARS)})
     by_all = [*by, "_all"]
-    wanted = pinned(ranks).withColumn("_all", F.lit(0))
+    ranks = ranks.withColumn("_all", F.lit(0))
     if value:
         counts = value_aggregate(rows, by_all, v)
         if not bounded:
-            counts, bounded = settled(counts)
-        counts = running_totals(counts, by_all, v, {"_upto": "n"}, descending=descending, bounded=bounded)
-        wanted = counts.join(F.broadcast(wanted), by_all) \
+            counts = written_table(df.sparkSession, counts)
+        upto = running_totals(counts, by, v, {"_upto": "n"}, descending=descending, bounded=bounded)
+        wanted = join_same(upto, _side(ranks, by), by_all) \
             .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))) \
             .select(*by_all, "cut_id", v, (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("rank"))
-        wanted = pinned(wanted)
     else:
-        wanted = wanted.withColumn("_one", F.lit(0))
+        wanted = ranks.withColumn("_one", F.lit(0))
+    wanted = _side(wanted, by)
 
     # Several cuts may fall on one tied value, so rows meet the distinct values only.
     at = [*by_all, v]
-    buckets = rows.join(F.broadcast(wanted.select(*at).distinct()), at) \
+    buckets = join_same(rows, _hint(wanted.select(*at).distinct(), by), at) \
         .groupBy(*at, "_prefix").agg(F.count("*").alias("n"))
     upto = Window.partitionBy(*at).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = buckets.withColumn("_upto", F.sum("n").over(upto)).join(F.broadcast(wanted), at) \
+    hit = join_same(buckets.withColumn("_upto", F.sum("n").over(upto)), wanted, at) \
         .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))) \
         .select(*at, "cut_id", "_prefix", (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("_within"))
-    hit = pinned(hit)
+    hit = _side(hit, by)
     member = Window.partitionBy(*at, "_prefix").orderBy(tie)
-    near = rows.join(F.broadcast(hit.select(*at, "_prefix").distinct()), [*at, "_prefix"]) \
+    near = join_same(rows, _hint(hit.select(*at, "_prefix").distinct(), by), [*at, "_prefix"]) \
         .withColumn("_within", F.row_number().over(member).cast("bigint"))
-    return pinned(near.join(F.broadcast(hit), [*at, "_prefix", "_within"])
-                  .select(*by, "cut_id", F.col(v).alias("cut_value"), F.col(tie).alias("cut_tie")))
+    return join_same(near, hit, [*at, "_prefix", "_within"]) \
+        .select(*by, "cut_id", F.col(v).alias("cut_value"), F.col(tie).alias("cut_tie"))
+
+
+def _hint(df: DataFrame, by: list[str]) -> DataFrame:
+    return df if by else F.broadcast(df)
 
 
 def ntile_ranks(df: DataFrame, by: list[str], tiles: int) -> DataFrame:
@@ -200,11 +215,11 @@ def ntile(df: DataFrame, key: str, tiles: int, out: str, value: str | None = Non
     by = list(by)
     rows = df.withColumn("_tie", hash_order(seed, key))
     cuts = rank_cuts(rows, by, "_tie", ntile_ranks(df, by, tiles), value=value)
-    cuts = cuts.withColumn("_all", F.lit(0)).groupBy(*by, "_all").agg(
+    cuts = cuts.withColumn("_all", F.lit(0)).groupBy(*by, "_all").agg(          # at most tiles - 1 structs
         F.array_sort(F.collect_list(F.struct("cut_value", "cut_tie"))).alias("_cuts"))
     here = F.struct((F.col(value) if value else F.lit(0)).alias("cut_value"),
                     F.col("_tie").alias("cut_tie"))
-    return rows.withColumn("_all", F.lit(0)).join(F.broadcast(cuts), [*by, "_all"], "left") \
+    return join_same(rows.withColumn("_all", F.lit(0)), _side(cuts, by), [*by, "_all"], "left") \
         .withColumn(out, F.lit(1) + F.coalesce(
             F.size(F.filter("_cuts", lambda c: c < here)), F.lit(0))) \
         .drop("_tie", "_cuts", "_all")
@@ -221,14 +236,39 @@ def hash_rank(df: DataFrame, key: str, seed, out: str, by: list[str] = ()) -> Da
         .orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, "_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*by, "_prefix").orderBy("_tie")
-    return rows.join(F.broadcast(starts), [*by, "_prefix"]) \
+    return join_same(rows, _side(starts, by), [*by, "_prefix"]) \
         .withColumn(out, F.row_number().over(inside) + F.col("_start")) \
         .drop("_tie", "_prefix", "_start")
 
 
+def ordinals(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Row number 1..n in order of a column of any orderable type, for rows with distinct values.
+
+    Rows are dealt to ranges and written once; counts per range give each its start.
+    """
+    spark = df.sparkSession
+    ranges = df.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
+    ranges = written_table(spark, ranges)
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("_range").agg(F.count("*").alias("_n"))         # one row per range
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(order)
+    return ranges.join(F.broadcast(starts), "_range").withColumn(
+        out, (F.row_number().over(inside) + F.col("_start")).cast("int")).drop("_range", "_start")
+
+
 def bounded_sample(df: DataFrame, n: int, seed, key: str) -> DataFrame:
-    """At most n rows, the same ones however the data is partitioned (a sampling operator)."""
-    return df.withColumn("_tie", hash_order(seed, key)).orderBy("_tie").limit(n).drop("_tie")
+    """At most n rows, the same ones however the data is partitioned (a sampling operator).
+
+    Counts per hash prefix (at most 65,536) tell up to which prefix n rows lie; only rows up to there, about
+    n in all, are sorted.
+    """
+    rows = df.withColumn("_tie", hash_order(seed, key)).withColumn("_prefix", F.substring("_tie", 1, PREFIX_CHARS))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = rows.groupBy("_prefix").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
+    last = counts.agg(F.min(F.when(F.col("_upto") >= n, F.col("_prefix")))).scalar()
+    return rows.where(F.coalesce(F.col("_prefix") <= last, F.lit(True)) | F.col("_prefix").isNull()) \
+        .orderBy("_tie").limit(n).drop("_tie", "_prefix")
 
 
 def top_k(df: DataFrame, k: int, score: Column, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tenura.functions import domain as D
 from tenura.functions.numeric import mean_of
-from tenura.session import in_parallel
+from tenura.session import in_parallel, written_table
 
 SCALED = [f"z_{c}" for c in D.SEGMENT_FEATURES]
 
@@ -133,5 +133,6 @@ def name_segments(labelled: DataFrame) -> DataFrame:
 
 
 def label_with_names(labelled: DataFrame, profile: DataFrame) -> DataFrame:
-    """Adds segment_name to every customer; the profile has one row per segment."""
-    return labelled.join(F.broadcast(profile.select("segment_id", "segment_name")), "segment_id")
+    """Adds segment_name to every customer. The profile is written, so Catalyst joins it by its size."""
+    names = written_table(labelled.sparkSession, profile.select("segment_id", "segment_name"))
+    return labelled.join(names, "segment_id")

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tenura.functions.domain import SplitSizes
-from tenura.operators.ordering import hash_order, ntile, rank_cuts
+from tenura.operators.ordering import hash_order, join_same, ntile, rank_cuts
+from tenura.session import written_table
 
 
 def split_quotas(df: DataFrame, label: str, sizes: SplitSizes) -> DataFrame:
@@ -17,7 +18,7 @@ def split_quotas(df: DataFrame, label: str, sizes: SplitSizes) -> DataFrame:
 
     def share(frame, rows, total, out):
         """Largest-remainder share of `total` in proportion to `rows`."""
-        exact = F.col(total) * F.col(rows) / F.sum(rows).over(one)
+        exact = F.col(total).cast("double") * F.col(rows) / F.sum(rows).over(one)
         frame = frame.withColumns({"_floor": F.floor(exact), "_rest": exact - F.floor(exact)})
         order = Window.partitionBy(F.lit(0)).orderBy(F.desc("_rest"), F.asc(label))
         extra = F.col(total) - F.sum("_floor").over(one)
@@ -45,22 +46,23 @@ def split_cuts(df: DataFrame, key: str, label: str, sizes: SplitSizes) -> DataFr
     )).alias("c")).select(label, "c.cut_id", "c.rank")
     rows = df.select(label, hash_order(sizes.seed, key).alias("_tie"))
     cuts = rank_cuts(rows, [label], "_tie", ranks.where(F.col("rank") > 0))
-    return quotas.select(label).join(cuts, label, "left").groupBy(label).agg(
+    return join_same(quotas.select(label), cuts, [label], "left").groupBy(label).agg(
         F.max(F.when(F.col("cut_id") == 1, F.col("cut_tie"))).alias("test_end"),
         F.max(F.when(F.col("cut_id") == 2, F.col("cut_tie"))).alias("valid_end"))
 
 
 def assign_split(df: DataFrame, key: str, label: str, cuts: DataFrame, sizes: SplitSizes) -> DataFrame:
-    """Adds the split column: a projection against two cut values per label, no shuffle."""
+    """Adds the split column: a projection against two cut values per label. `cuts` comes from a written
+    table, so Catalyst broadcasts it by its size. Customers without a label are a stratum of their own."""
     order = hash_order(sizes.seed, key)
-    return df.join(F.broadcast(cuts), label).withColumn(
+    return join_same(df, cuts, [label]).withColumn(
         "split", F.when(order <= F.col("test_end"), "test")
         .when(order <= F.col("valid_end"), "valid").otherwise("train")).drop("test_end", "valid_end")
 
 
 def stratified_split(df: DataFrame, key: str = "customer_id", label: str = "churn",
                      sizes: SplitSizes = SplitSizes()) -> DataFrame:
-    return assign_split(df, key, label, split_cuts(df, key, label, sizes), sizes)
+    return assign_split(df, key, label, written_table(df.sparkSession, split_cuts(df, key, label, sizes)), sizes)
 
 
 def split_assignment(df: DataFrame, key: str = "customer_id") -> DataFrame:

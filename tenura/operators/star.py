@@ -5,16 +5,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tenura.functions import domain as D
 from tenura.functions import features as X
 from tenura.functions.numeric import half_up, ratio
+from tenura.operators.ordering import join_same, ordinals
 
 
 def build_dimension(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
-    """Distinct labels in alphabetical order with keys 1..n.
-
-    The window has no partition: it runs over the distinct labels only, which are limited by the
-    label domains the contract checks enforce.
-    """
+    """Distinct labels in alphabetical order with keys 1..n, however many labels there are."""
     labels = df.select(F.col(value).alias(name)).where(F.col(value).isNotNull()).distinct()
-    return labels.select(F.row_number().over(Window.orderBy(name)).alias(key), name)
+    return ordinals(labels, name, key).select(key, name)
 
 
 def dim_contract(features: DataFrame) -> DataFrame:
@@ -43,13 +40,13 @@ def dim_tenure_band(spark: SparkSession) -> DataFrame:
 
 def fact_subscription(features: DataFrame, contracts: DataFrame, payments: DataFrame,
                       internets: DataFrame) -> DataFrame:
-    """Features with labels replaced by keys. The dimensions come from written tables, so Catalyst
-    sees their size and broadcasts them by itself."""
+    """Features with labels replaced by keys, null for a missing label: no customer is lost. The
+    dimensions come from written tables, so Catalyst sees their size and broadcasts them by itself."""
     return (
         features
-        .join(contracts.select("contract_key", F.col("contract_type").alias("contract")), "contract")
-        .join(payments.select("payment_key", "payment_method"), "payment_method")
-        .join(internets, "internet_service")
+        .join(contracts.select("contract_key", F.col("contract_type").alias("contract")), "contract", "left")
+        .join(payments.select("payment_key", "payment_method"), "payment_method", "left")
+        .join(internets, "internet_service", "left")
         .select("customer_id", "contract_key", "payment_key", "internet_key", "tenure",
                 "tenure_band", "phone_service", "multiple_lines", "paperless_billing", "n_addons",
                 "n_services", "monthly_charges", "total_charges", "charge_drift", "churn")
@@ -70,8 +67,8 @@ def customer_360(fact: DataFrame, customers: DataFrame, contracts: DataFrame,
                  payments: DataFrame, internets: DataFrame) -> DataFrame:
     """One wide row per customer: small dimensions first (broadcast), then the 1:1 customer join."""
     return (
-        fact.join(contracts, "contract_key").join(payments, "payment_key")
-        .join(internets, "internet_key").join(customers, "customer_id")
+        fact.join(contracts, "contract_key", "left").join(payments, "payment_key", "left")
+        .join(internets, "internet_key", "left").join(customers, "customer_id")
         .select("customer_id", "gender", "senior_citizen", "partner", "dependents", "family",
                 "contract_type", "contract_months", "payment_method", "auto_pay",
                 "internet_service", "tenure", "tenure_band", "phone_service", "multiple_lines",
@@ -102,14 +99,15 @@ def tenure_ranks(c360: DataFrame) -> DataFrame:
 
 def price_vs_peers(c360: DataFrame, peers: DataFrame) -> DataFrame:
     """Charge minus the average of customers on the same product and contract. Joining the small
-    averages back avoids a window that would send a whole product line to one task."""
-    return c360.join(peers, ["internet_service", "contract_type"]).withColumn(
+    averages back avoids a window that would send a whole product line to one task; `peers` comes from a
+    written table, so it is broadcast by its size."""
+    return join_same(c360, peers, ["internet_service", "contract_type"]).withColumn(
         "price_vs_peers",
         half_up(F.col("monthly_charges").cast("double") - F.col("peer_charge"), 4)).drop("peer_charge")
 
 
 def tenure_pct_in_contract(c360: DataFrame, ranks: DataFrame) -> DataFrame:
-    return c360.join(ranks, ["contract_type", "tenure"]).withColumn(
+    return join_same(c360, ranks, ["contract_type", "tenure"]).withColumn(
         "tenure_pct_in_contract", half_up(F.col("pct_rank"), 4)).drop("pct_rank")
 
 

@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from tenura.functions.numeric import chi2_p_value, normal_two_sided_p
-from tenura.operators.ordering import running_totals, settled
-from tenura.session import written_table
+from tenura.operators.ordering import running_totals
+from tenura.session import work_folder, written_table
 
 EXACT = "decimal(38,0)"
 
@@ -28,9 +28,9 @@ def cramers_v(df: DataFrame, features: list[str], target: str = "churn", with_p:
     joined = cells.join(rows, ["feature", "level"]).join(cols, ["feature", "outcome"]) \
         .join(total, "feature").join(col_side, "feature")
     n, o = F.col("n"), F.col("o")
-    expected = F.col("row_n") * F.col("col_n") / n
+    expected = F.col("row_n").cast("double") * F.col("col_n") / n
     sums = joined.groupBy("feature", "n", "n_rows", "n_cols", "inv_rows", "inv_cols").agg(
-        F.sum(o * o / (F.col("row_n") * F.col("col_n").cast("double"))).alias("fit"),
+        F.sum(o.cast("double") * o / (F.col("row_n").cast("double") * F.col("col_n"))).alias("fit"),
         F.max(F.abs(o - expected)).alias("off"))
     two_by_two = (F.col("n_rows") == 2) & (F.col("n_cols") == 2)
     corrected = F.greatest(F.col("off") - 0.5, F.lit(0.0))
@@ -57,10 +57,10 @@ def mann_whitney(df: DataFrame, features: list[str], target: str = "churn", with
         .where(F.col("value").isNotNull() & F.col("in_first").isNotNull())
     counts = tall.groupBy("feature", "value").agg(
         F.count("*").alias("n"), F.sum(F.col("in_first").cast("bigint")).alias("n1"))
-    counts, small = settled(counts)
+    counts = written_table(df.sparkSession, counts)
     totals = counts.groupBy("feature").agg(F.sum("n").alias("rows"), F.sum("n1").alias("a"))
-    ranked = running_totals(counts, ["feature"], "value", {"upto": "n", "upto1": "n1"}, bounded=small) \
-        .join(F.broadcast(totals), "feature")
+    ranked = running_totals(counts, ["feature"], "value", {"upto": "n", "upto1": "n1"}) \
+        .join(F.broadcast(totals), "feature")                  # one row per feature named by the caller
     n, n1 = F.col("n").cast("decimal(18,0)"), F.col("n1").cast("decimal(18,0)")
     double_rank = (2 * (F.col("upto") - F.col("n")) + F.col("n") + 1).cast("decimal(18,0)")   # 2 x mean rank
     b_count, upto0 = F.col("rows") - F.col("a"), F.col("upto") - F.col("upto1")
@@ -93,28 +93,36 @@ def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, value, rank): the mean rank of every distinct value of every column."""
     tall = df.select([F.col(c).cast("double").alias(c) for c in columns]) \
         .unpivot([], columns, "feature", "value").where(F.col("value").isNotNull())
-    counts, small = settled(tall.groupBy("feature", "value").agg(F.count("*").alias("n")))
-    ranked = running_totals(counts, ["feature"], "value", {"upto": "n"}, bounded=small)
+    counts = written_table(df.sparkSession, tall.groupBy("feature", "value").agg(F.count("*").alias("n")))
+    ranked = running_totals(counts, ["feature"], "value", {"upto": "n"})
     return ranked.select("feature", "value", (F.col("upto") - (F.col("n") - 1) / 2).alias("rank"))
 
 
 def spearman_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rank correlation of every pair of columns, long format (x, y, rho).
 
-    The rank table is written once, split by feature, so its sizes are known: few-valued columns
-    join by broadcast, a continuous one by shuffle with AQE splitting hot values. The built-in
-    correlation of ML buffers all rows of a tied value in one task, which a 0/1 column at scale
-    does not survive.
+    Each feature's ranks are a table of their own, so Catalyst sees its real size: few-valued ones are
+    broadcast and only a continuous one shuffles the rows, with AQE splitting hot values. The built-in
+    correlation of ML buffers all rows of a tied value in one task, which a 0/1 column at scale does not
+    survive.
     """
-    ranks = written_table(df.sparkSession, average_ranks(df, columns), "feature")
+    spark = df.sparkSession
+    ranks = average_ranks(df, columns)
+    path = work_folder(spark)
+    ranks.write.partitionBy("feature").parquet(path)
     wide = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    folders = {r["feature"] for r in spark.read.parquet(path).select("feature").distinct().collect()}
     for c in columns:
-        one = ranks.where(F.col("feature") == c).select(F.col("value").alias(c), F.col("rank").alias(f"rank_{c}"))
-        wide = wide.join(one, c, "left").drop(c)
+        if c in folders:
+            one = spark.read.schema("value double, rank double").parquet(f"{path}/feature={c}")
+            one = one.select(F.col("value").alias(c), F.col("rank").alias(f"rank_{c}"))
+            wide = wide.join(one, c, "left").drop(c)
+        else:                                       # nothing but nulls
+            wide = wide.withColumn(f"rank_{c}", F.lit(None).cast("double")).drop(c)
     pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
     one_row = wide.agg(*[F.corr(f"rank_{x}", f"rank_{y}").alias(f"{x}|{y}") for x, y in pairs])
-    tall = one_row.unpivot([], [F.col(f"`{x}|{y}`") for x, y in pairs], "pair", "rho")
-    xy = tall.select(F.split("pair", "\\|").alias("xy"), "rho")
-    upper = xy.select(F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"), "rho")
-    return upper.select("x", "y", "rho").unionByName(
-        upper.where(F.col("x") != F.col("y")).select(F.col("y").alias("x"), F.col("x").alias("y"), "rho"))
+    cells = []
+    for x, y in pairs:
+        both = [(x, y)] if x == y else [(x, y), (y, x)]
+        cells += [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{x}|{y}`").alias("rho")) for a, b in both]
+    return one_row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")

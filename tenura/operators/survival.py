@@ -1,13 +1,15 @@
 """Retention curves and the log-rank test, from counts per duration.
 
-Durations are whole months or days, so after the first group-by everything runs over a few hundred
-rows per group however many customers there are.
+After the first group-by everything runs over the distinct durations. Whole months or days (an integer
+column) are a few hundred per group however many customers there are, so one window each is enough; any
+other type may have as many as there are customers and goes through value buckets.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 from tenura.functions.numeric import chi2_p_value
 from tenura.operators.ordering import running_totals
+from tenura.session import written_table
 
 Z95 = 1.96
 
@@ -17,6 +19,12 @@ def _by_duration(df: DataFrame, by: list[str], duration: str, event: str) -> Dat
         F.count("*").alias("n"), F.sum(F.col(event).cast("bigint")).alias("events"))
 
 
+def _counted(df: DataFrame, duration: str, counts: DataFrame) -> tuple[DataFrame, bool]:
+    """Counts per duration and whether one window per group can run over them."""
+    whole = dict(df.dtypes)[duration] in ("tinyint", "smallint", "int", "bigint")
+    return (counts if whole else written_table(df.sparkSession, counts)), whole
+
+
 def km_by_group(df: DataFrame, group: list[str], duration: str = "tenure", event: str = "churn") -> DataFrame:
     """One Kaplan-Meier curve per group: t, at_risk, events, survival, ci_low, ci_high.
 
@@ -25,15 +33,17 @@ def km_by_group(df: DataFrame, group: list[str], duration: str = "tenure", event
     the curve.
     """
     by = list(group)
-    counts = _by_duration(df, by, duration, event)
-    at_risk = running_totals(counts, by, "t", {"at_risk": "n"}, descending=True, bounded=True)
+    counts, whole = _counted(df, duration, _by_duration(df, by, duration, event))
+    at_risk = running_totals(counts, by, "t", {"at_risk": "n"}, descending=True, bounded=whole)
     d, n = F.col("events"), F.col("at_risk")
     steps = at_risk.where(d > 0).select(
         *by, "t", "at_risk", "events",
         F.when(d < n, F.log1p(-d / n)).otherwise(0.0).alias("log_step"),
-        F.when(d < n, d / (n * (n - d))).otherwise(0.0).alias("var_step"),
+        F.when(d < n, d / (n.cast("double") * (n - d))).otherwise(0.0).alias("var_step"),
         (d == n).cast("int").alias("gone"))
-    steps = running_totals(steps, by, "t", {"log_s": "log_step", "var": "var_step", "ended": "gone"}, bounded=True)
+    if not whole:
+        steps = written_table(df.sparkSession, steps)
+    steps = running_totals(steps, by, "t", {"log_s": "log_step", "var": "var_step", "ended": "gone"}, bounded=whole)
     spread = F.exp(Z95 * F.sqrt("var") / F.abs("log_s"))
     curve = steps.select(
         *by, "t", "at_risk", "events",
@@ -81,7 +91,8 @@ def logrank_test(df: DataFrame, in_first: str, duration: str = "tenure", event:
     flag, e = F.col(in_first).cast("bigint"), F.col(event).cast("bigint")
     counts = df.groupBy(F.col(duration).cast("double").alias("t")).agg(
         F.count("*").alias("n"), F.sum(flag).alias("n1"), F.sum(e).alias("d"), F.sum(e * flag).alias("d1"))
-    risk = running_totals(counts, [], "t", {"r": "n", "r1": "n1"}, descending=True, bounded=True)
+    counts, whole = _counted(df, duration, counts)
+    risk = running_totals(counts, [], "t", {"r": "n", "r1": "n1"}, descending=True, bounded=whole)
     r, d = F.col("r"), F.col("d")
     share = F.col("r1") / r
     one = risk.where(d > 0).agg(

@@ -86,7 +86,7 @@ def _(w):
            CAST(sum(churn) AS BIGINT) AS churned,
            {r(f"100.0e0 * {ratio('sum(churn)', 'count(*)')}", 2)} AS churn_rate_pct,
            {r(f'{LOST0} * 12', 0)} AS annualised_revenue_lost
-    FROM (SELECT *, ntile(4) OVER (ORDER BY monthly_charges, md5('tie:' || customer_id), customer_id) AS q FROM mart)
+    FROM (SELECT *, ntile(4) OVER (ORDER BY monthly_charges NULLS FIRST, md5('tie:' || customer_id), customer_id) AS q FROM mart)
     WHERE q = 4 GROUP BY contract_type, internet_service""", "mart"))
 def _(w):
     return B.high_value_at_risk(w.customer_360())

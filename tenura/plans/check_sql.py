@@ -16,7 +16,7 @@ def r(expr: str, digits: int) -> str:
     """Round half away from zero in plain double arithmetic."""
     scale = float(10 ** digits)
     x = f"CAST({expr} AS DOUBLE)"
-    return f"(sign({x}) * floor(abs({x}) * {scale} + 0.5) / {scale} + 0.0)"
+    return f"(CASE WHEN abs({x}) * {scale} < 9007199254740992.0 THEN sign({x}) * floor(abs({x}) * {scale} + 0.5) / {scale} + 0.0 ELSE {x} END)"
 
 
 def dbl(expr: str) -> str:
@@ -27,6 +27,14 @@ def ratio(a: str, b: str) -> str:
     return f"(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0))"
 
 
+# what Python's strip() removes, as DuckDB's trim(text, characters)
+_blanks = "' ' || " + " || ".join(f"chr({c})" for c in range(0x3001) if chr(c).isspace() and c != 32)
+
+
+def strip(expr: str) -> str:
+    return f"trim({expr}, {_blanks})"
+
+
 _item_counts = ", ".join(
     f"sum(CASE WHEN split_part(p_type, ' ', 1) = '{f}' THEN 1 ELSE 0 END) AS {a}"
     for f, a in zip(FAMILIES, ADDONS))
@@ -34,7 +42,7 @@ _raw_addons = ", ".join(
     f"""CASE WHEN internet = 'No' THEN 'No internet service'
          WHEN coalesce({a}, 0) >= 8 THEN 'Yes' ELSE 'No' END AS "{raw}" """
     for raw, a in zip(RAW_ADDONS, ADDONS))
-_snake_addons = ", ".join(f'trim("{raw}") AS {a}' for raw, a in zip(RAW_ADDONS, ADDONS))
+_snake_addons = ", ".join(f'{strip(chr(34) + raw + chr(34))} AS {a}' for raw, a in zip(RAW_ADDONS, ADDONS))
 _addon_yes = {a: f"(CASE WHEN {a} = 'Yes' THEN 1 ELSE 0 END)" for a in ADDONS}
 
 CTES: dict[str, tuple[list[str], str]] = {
@@ -91,26 +99,26 @@ CTES: dict[str, tuple[list[str], str]] = {
                CASE WHEN gone THEN 'Yes' ELSE 'No' END AS "Churn"
         FROM base"""),
     "cleaned": (["raw"], f"""
-        SELECT trim("customerID") AS customer_id, trim("gender") AS gender,
+        SELECT {strip('"customerID"')} AS customer_id, {strip('"gender"')} AS gender,
                CAST("SeniorCitizen" AS INTEGER) AS senior_citizen,
-               CASE WHEN trim("Partner") = 'Yes' THEN 1 ELSE 0 END AS partner,
-               CASE WHEN trim("Dependents") = 'Yes' THEN 1 ELSE 0 END AS dependents,
-               CAST(trim("tenure") AS INTEGER) AS tenure,
-               CASE WHEN trim("PhoneService") = 'Yes' THEN 1 ELSE 0 END AS phone_service,
-               trim("MultipleLines") AS multiple_lines,
-               trim("InternetService") AS internet_service, {_snake_addons},
-               trim("Contract") AS contract,
-               CASE WHEN trim("PaperlessBilling") = 'Yes' THEN 1 ELSE 0 END AS paperless_billing,
-               trim("PaymentMethod") AS payment_method,
-               CAST(trim("MonthlyCharges") AS DECIMAL(18,2)) AS monthly_charges,
-               CASE WHEN TRY_CAST(trim("TotalCharges") AS DECIMAL(18,2)) IS NULL
-                         AND CAST(trim("tenure") AS INTEGER) = 0 THEN CAST(0 AS DECIMAL(18,2))
-                    ELSE TRY_CAST(trim("TotalCharges") AS DECIMAL(18,2)) END AS total_charges,
-               CASE WHEN trim("Churn") = 'Yes' THEN 1 ELSE 0 END AS churn
+               CASE WHEN {strip('"Partner"')} = 'Yes' THEN 1 ELSE 0 END AS partner,
+               CASE WHEN {strip('"Dependents"')} = 'Yes' THEN 1 ELSE 0 END AS dependents,
+               CAST({strip('"tenure"')} AS INTEGER) AS tenure,
+               CASE WHEN {strip('"PhoneService"')} = 'Yes' THEN 1 ELSE 0 END AS phone_service,
+               {strip('"MultipleLines"')} AS multiple_lines,
+               {strip('"InternetService"')} AS internet_service, {_snake_addons},
+               {strip('"Contract"')} AS contract,
+               CASE WHEN {strip('"PaperlessBilling"')} = 'Yes' THEN 1 ELSE 0 END AS paperless_billing,
+               {strip('"PaymentMethod"')} AS payment_method,
+               CAST({strip('"MonthlyCharges"')} AS DECIMAL(18,2)) AS monthly_charges,
+               CASE WHEN TRY_CAST({strip('"TotalCharges"')} AS DECIMAL(18,2)) IS NULL
+                         AND CAST({strip('"tenure"')} AS INTEGER) = 0 THEN CAST(0 AS DECIMAL(18,2))
+                    ELSE TRY_CAST({strip('"TotalCharges"')} AS DECIMAL(18,2)) END AS total_charges,
+               CASE WHEN {strip('"Churn"')} = 'Yes' THEN 1 ELSE 0 END AS churn
         FROM raw"""),
     "feat0": (["cleaned"], f"""
         SELECT *,
-               CASE WHEN internet_service <> 'No' THEN 1 ELSE 0 END AS has_internet,
+               CASE WHEN internet_service IS DISTINCT FROM 'No' THEN 1 ELSE 0 END AS has_internet,
                CASE WHEN multiple_lines = 'Yes' THEN 1 ELSE 0 END AS multiple_lines_flag,
                {' + '.join(_addon_yes.values())} AS n_addons,
                CASE WHEN {_addon_yes['online_security']} + {_addon_yes['tech_support']}
@@ -125,7 +133,7 @@ CTES: dict[str, tuple[list[str], str]] = {
                     ELSE CAST(monthly_charges AS DOUBLE) END AS avg_historic_charge,
                CASE WHEN tenure <= 6 THEN 1 ELSE 0 END AS is_new_customer,
                CASE WHEN partner = 1 OR dependents = 1 THEN 1 ELSE 0 END AS family,
-               CASE WHEN internet_service = 'Fiber optic' AND tech_support <> 'Yes'
+               CASE WHEN internet_service = 'Fiber optic' AND tech_support IS DISTINCT FROM 'Yes'
                     THEN 1 ELSE 0 END AS fiber_no_support
         FROM cleaned"""),
     "feat": (["feat0"], """

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tenura.functions import domain as D
 from tenura.operators import contract, star
 from tenura.plans.catalog import query
-from tenura.plans.check_sql import sql
+from tenura.plans.check_sql import sql, strip
 
 # The planted faults: every rule finds something, on every data set.
 FAULTY = {
@@ -13,7 +13,7 @@ FAULTY = {
         SELECT CASE WHEN CAST("customerID" AS BIGINT) % 50 = 7 THEN '7' ELSE "customerID" END AS "customerID",
                * EXCLUDE ("customerID", "Contract", "PaymentMethod", "tenure", "MonthlyCharges", "TotalCharges"),
                CASE WHEN CAST("customerID" AS BIGINT) % 20 = 3 THEN 'Three year' ELSE "Contract" END AS "Contract",
-               CASE WHEN CAST("customerID" AS BIGINT) % 30 = 4 THEN ' Mailed check ' ELSE "PaymentMethod" END
+               CASE WHEN CAST("customerID" AS BIGINT) % 30 = 4 THEN chr(9) || 'Mailed check ' || chr(10) ELSE "PaymentMethod" END
                    AS "PaymentMethod",
                CASE WHEN CAST("customerID" AS BIGINT) % 40 = 5 THEN 'n/a' ELSE "tenure" END AS "tenure",
                CASE WHEN CAST("customerID" AS BIGINT) % 25 = 6 THEN '-' || "MonthlyCharges"
@@ -31,7 +31,7 @@ def faulty(raw):
     changed = {
         "customerID": swap("customerID", 50, 7, F.lit("7")),
         "Contract": swap("Contract", 20, 3, F.lit("Three year")),
-        "PaymentMethod": swap("PaymentMethod", 30, 4, F.lit(" Mailed check ")),
+        "PaymentMethod": swap("PaymentMethod", 30, 4, F.lit("\tMailed check \n")),
         "tenure": swap("tenure", 40, 5, F.lit("n/a")),
         "MonthlyCharges": swap("MonthlyCharges", 25, 6, F.concat(F.lit("-"), "MonthlyCharges")),
         "TotalCharges": swap("TotalCharges", 35, 8, F.lit(" ")),
@@ -40,11 +40,11 @@ def faulty(raw):
 
 
 _allowed = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, trim(\"{c}\") AS value, [" + ", ".join(f"'{v}'" for v in values)
+    f"SELECT '{c}' AS column_name, {strip(chr(34) + c + chr(34))} AS value, [" + ", ".join(f"'{v}'" for v in values)
     + "] AS allowed FROM {t}" for c, values in D.RAW_DOMAINS.items())
 _domain_sql = ("SELECT column_name, value, count(*) AS n FROM (" + _allowed
                + ") WHERE NOT list_contains(allowed, value) GROUP BY 1, 2")
-_num = 'TRY_CAST(trim("{c}") AS DOUBLE)'
+_num = f'TRY_CAST({strip(chr(34) + "{c}" + chr(34))} AS DOUBLE)'
 _parse_sql = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER ({_num.format(c=c)} IS NULL) AS non_numeric, "
     f"count(*) FILTER ({_num.format(c=c)} < 0) AS negative FROM faulty" for c in D.RAW_NUMBERS)
@@ -166,8 +166,21 @@ def _(w):
     SELECT unnest(['extract', 'fact_subscription', 'feature_mart']) AS table_name, count(*) AS n,
            true AS matches FROM feat""", "feat"))
 def _(w):
-    return contract.reconcile_row_counts(
-        {"extract": w.raw(), "fact_subscription": w.fact(), "feature_mart": w.mart()})
+    """The load is stopped by `reconcile` if a table differs; the mart counted is the joined view."""
+    tables = {"extract": w.raw(), "fact_subscription": w.fact(), "feature_mart": w.mart_view()}
+    contract.reconcile(tables)
+    return contract.reconcile_row_counts(tables)
+
+
+@query("reconcile_row_counts_faulty", sql("""
+    SELECT 'extract' AS table_name, count(*) AS n, true AS matches FROM feat
+    UNION ALL SELECT 'fact_subscription', count(*), false FROM feat WHERE CAST(customer_id AS BIGINT) % 9 <> 4
+    UNION ALL SELECT 'feature_mart', 2 * count(*), false FROM feat""", "feat"))
+def _(w):
+    """Lost rows in one table and repeated ones in another."""
+    return contract.reconcile_row_counts({
+        "extract": w.raw(), "fact_subscription": w.fact().where(F.col("customer_id").cast("bigint") % 9 != 4),
+        "feature_mart": w.mart().unionByName(w.mart())})
 
 
 _rel = [("fact_subscription.contract_key -> dim_contract.contract_key", False),
@@ -179,13 +192,49 @@ _rel = [("fact_subscription.contract_key -> dim_contract.contract_key", False),
         ("bridge_customer_service.customer_id -> fact_subscription.customer_id", False)]
 
 
+_rel.insert(5, ("fact_subscription.customer_id -> dim_segment.customer_id", True))
+
+
+def _related(w):
+    """All tables that take part in a relationship."""
+    segments = w.segments().select("customer_id", "segment_id")
+    return {**w.star(), "fact_churn_score": w.best_scores(), "dim_segment": segments}
+
+
 @query("check_relationship", sql(
     "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{name}' AS relationship, unnest(['parent_not_unique', 'orphans'"
         f"{', ' + repr('child_not_unique') if one else ''}]) AS problem, "
         f"(SELECT count(*) - count(DISTINCT customer_id) FROM feat) AS n" for name, one in _rel) + ")", "feat"))
 def _(w):
-    return contract.check_relationship({**w.star(), "fact_churn_score": w.best_scores()})
+    return contract.check_relationship(_related(w))
+
+
+_id = "CAST(customer_id AS BIGINT)"
+
+
+@query("check_relationship_faulty", sql(f"""
+    SELECT relationship, problem, CASE
+        WHEN problem = 'orphans' AND relationship LIKE '%dim_payment%' THEN (SELECT count(*) FROM feat WHERE payment_method = 'Mailed check')
+        WHEN problem = 'orphans' AND relationship LIKE '%dim_segment%' THEN (SELECT count(*) FROM feat WHERE {_id} % 9 = 4)
+        WHEN problem = 'orphans' AND relationship LIKE 'bridge%' THEN (SELECT 6 * count(*) FROM feat WHERE {_id} % 7 = 2)
+        WHEN problem = 'parent_not_unique' AND relationship LIKE '%dim_customer%' THEN (SELECT count(*) FROM feat WHERE {_id} % 11 = 3)
+        ELSE 0 END AS n
+    FROM (""" + " UNION ALL ".join(
+        f"SELECT '{name}' AS relationship, unnest(['parent_not_unique', 'orphans'"
+        f"{', ' + repr('child_not_unique') if one else ''}]) AS problem" for name, one in _rel) + """)
+""", "feat"))
+def _(w):
+    """Planted: a payment method without its row, segments and facts that are missing, customers there twice."""
+    key = F.col("customer_id").cast("bigint")
+    t = _related(w)
+    t["dim_payment"] = t["dim_payment"].where(F.col("payment_method") != "Mailed check")
+    t["dim_segment"] = t["dim_segment"].where(key % 9 != 4)
+    t["dim_customer"] = t["dim_customer"].unionByName(t["dim_customer"].where(key % 11 == 3))
+    # the fact stays whole for the other relationships: the bridge has customers of its own instead
+    lost = t["bridge_customer_service"].where(key % 7 == 2).withColumn("customer_id", F.concat(F.lit("x"), "customer_id"))
+    t["bridge_customer_service"] = t["bridge_customer_service"].where(key % 7 != 2).unionByName(lost)
+    return contract.check_relationship(t)
 
 
 @query("check_bridge_cardinality", sql("""
@@ -203,6 +252,24 @@ _rules = [(t, rule) for t, spec in D.TABLE_RULES.items() for rule in
           + [f"0/1 {c}" for c in spec.get("binary", [])]]
 
 
+@query("check_table_rules_faulty", sql(
+    "SELECT table_name, rule, CASE WHEN table_name = 'fact_subscription' AND rule = 'unique customer_id' "
+    f"THEN (SELECT count(*) FROM feat WHERE {_id} % 11 = 3) "
+    f"WHEN table_name = 'fact_subscription' AND rule = 'not null tenure' THEN (SELECT count(*) FROM feat WHERE {_id} % 11 = 3) "
+    f"WHEN table_name = 'dim_customer' AND rule = 'not null gender' THEN (SELECT count(*) FROM feat WHERE {_id} % 13 = 1) "
+    f"WHEN table_name = 'fact_subscription' AND rule = '0/1 churn' THEN (SELECT count(*) FROM feat WHERE {_id} % 11 = 3) "
+    "ELSE 0 END AS n FROM (VALUES "
+    + ", ".join(f"('{t}', '{rule}')" for t, rule in _rules) + ") AS v(table_name, rule)", "feat"))
+def _(w):
+    """Planted: facts there twice, the second time without tenure and with a wrong flag; customers without gender."""
+    key = F.col("customer_id").cast("bigint")
+    t = {**w.star(), "model_scores": w.model_scores()}
+    again = t["fact_subscription"].where(key % 11 == 3).withColumns({"tenure": F.lit(None).cast("int"), "churn": F.lit(2)})
+    t["fact_subscription"] = t["fact_subscription"].unionByName(again)
+    t["dim_customer"] = t["dim_customer"].withColumn("gender", F.when(key % 13 != 1, F.col("gender")))
+    return contract.check_table_rules(t)
+
+
 @query("check_table_rules", sql(
     "SELECT table_name, rule, (SELECT count(*) - count(customer_id) FROM feat) AS n FROM (VALUES "
     + ", ".join(f"('{t}', '{rule}')" for t, rule in _rules) + ") AS v(table_name, rule)", "feat"))

@@ -581,9 +581,10 @@ _whatif = {"per": f"""SELECT k / 100.0e0 AS threshold, count(*) FILTER (p >= k /
 
 
 @query("campaign_what_if", sql("""
-    SELECT *, revenue_saved - cost AS net_value, (revenue_saved - cost) / nullif(cost, 0) AS roi FROM grid
-    WHERE acceptance = 0.3 AND months = 8""", "best", extra=_whatif))
+    SELECT *, revenue_saved - cost AS net_value, (revenue_saved - cost) / nullif(cost, 0) AS roi FROM grid""",
+                                "best", extra=_whatif))
 def _(w):
+    """Every combination of threshold, offer cost, acceptance and months."""
     return M.campaign_what_if(evaluation(w).where(F.col("model_name") == "scorecard"))
 
 
@@ -594,8 +595,7 @@ def _(w):
     GROUP BY offer_cost, acceptance, months""", "best", extra=_whatif))
 def _(w):
     """Best threshold for every slider combination of the full grid."""
-    grid = M.campaign_what_if(evaluation(w).where(F.col("model_name") == "scorecard"),
-                              acceptance=M.ACCEPTANCE, months=M.MONTHS)
+    grid = M.campaign_what_if(evaluation(w).where(F.col("model_name") == "scorecard"))
     best = F.max(F.struct("net_value", (-F.col("threshold")).alias("minus"))).alias("b")
     return grid.groupBy("offer_cost", "acceptance", "months").agg(best).select(
         "offer_cost", "acceptance", "months", "b.net_value", (-F.col("b.minus")).alias("threshold"))

@@ -165,10 +165,11 @@ def _(w):
 @query("dim_tenure_band", sql("""
     SELECT * FROM (VALUES ('0-6m', 1), ('7-12m', 2), ('13-24m', 3), ('25-48m', 4), ('49-60m', 5), ('61m+', 6))
         AS t(tenure_band, band_order)
-    WHERE tenure_band IN (SELECT tenure_band FROM feat)""", "feat"))
+    LEFT JOIN (SELECT tenure_band, count(*) AS customers FROM feat GROUP BY tenure_band) USING (tenure_band)""", "feat"))
 def _(w):
-    seen = w.features().select("tenure_band").distinct()
-    return star.dim_tenure_band(w.spark).join(seen, "tenure_band", "left_semi")
+    """All six bands, with the customers in each; a band without any stays."""
+    sizes = w.features().groupBy("tenure_band").agg(F.count("*").alias("customers"))
+    return star.dim_tenure_band(w.spark).join(sizes, "tenure_band", "left")
 
 
 @query("dim_customer", sql(
@@ -233,18 +234,18 @@ def _(w):
 @query("price_vs_peers", sql("SELECT customer_id, price_vs_peers FROM mart", "mart"))
 def _(w):
     c360 = w.customer_360()
-    return star.price_vs_peers(c360, star.peer_prices(c360)).select("customer_id", "price_vs_peers")
+    return star.price_vs_peers(c360, w.peer_prices()).select("customer_id", "price_vs_peers")
 
 
 @query("tenure_pct_in_contract", sql("SELECT customer_id, tenure_pct_in_contract FROM mart", "mart"))
 def _(w):
     c360 = w.customer_360()
-    return star.tenure_pct_in_contract(c360, star.tenure_ranks(c360)) \
+    return star.tenure_pct_in_contract(c360, w.tenure_ranks()) \
         .select("customer_id", "tenure_pct_in_contract")
 
 
 @query("spend_quartile", sql("""
-    SELECT customer_id, CAST(ntile(4) OVER (ORDER BY monthly_charges, md5('tie:' || customer_id), customer_id)
+    SELECT customer_id, CAST(ntile(4) OVER (ORDER BY monthly_charges NULLS FIRST, md5('tie:' || customer_id), customer_id)
                              AS INTEGER) AS spend_quartile FROM mart""", "mart"))
 def _(w):
     return ordering.ntile(w.customer_360(), "customer_id", 4, "spend_quartile", value="monthly_charges") \

@@ -79,15 +79,15 @@ def _(w):
 def _(w):
     folded = split.stratified_folds(rows_of(w).where(F.col("split") == "train"))
     train = models.as_training(folded).cache()
-    out = models.cross_validate(["logistic_regression"], train, s=SETTINGS)
-    train.unpersist()
-    return out
+    try:
+        return models.cross_validate(["logistic_regression", "random_forest", "gradient_boosting"], train, s=SETTINGS)
+    finally:
+        train.unpersist()
 
 
 @query("score_all")
 def _(w):
-    names = ["logistic_regression", "random_forest"]
-    return models.score_all({n: fitted(w, n) for n in names}, rows_of(w))
+    return models.score_all({n: fitted(w, n) for n in models.BUILDERS}, rows_of(w))
 
 
 @query("model_permutation_importance")

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from tenura.functions import domain as D
+from tenura.functions.numeric import half_up
 from tenura.operators import breakdowns as B
 from tenura.operators import models
-from tenura.plans.catalog import query
+from tenura.plans import breakdowns_q  # noqa: F401  its check SQL is used here
+from tenura.plans.catalog import all_oracles, query
 from tenura.plans.check_sql import dbl, r, ratio, sql
 from tenura.plans.models_q import fitted, rows_of
 from tenura.session import work_folder
@@ -23,9 +25,12 @@ def _(w):
 
 
 @query("table_fingerprint", sql("""
-    SELECT count(*) AS n_rows, CAST(CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', """
-    + ", ".join(f'"{c}"' for c in sorted(D.RAW_COLUMNS)) + """)), 1, 12)) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS fingerprint
-    FROM raw""", "raw"))
+    SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(h, 1, 8) AS BIGINT)) * 4294967296
+               + sum(CAST('0x' || substr(h, 9, 8) AS BIGINT)) AS VARCHAR) || '-'
+           || CAST(sum(CAST('0x' || substr(h, 17, 8) AS BIGINT)) * 4294967296
+               + sum(CAST('0x' || substr(h, 25, 8) AS BIGINT)) AS VARCHAR) AS fingerprint
+    FROM (SELECT md5(""" + " || ".join(f"""coalesce(length("{c}") || ':' || "{c}", '-')""" for c in sorted(D.RAW_COLUMNS))
+    + """) AS h FROM raw)""", "raw"))
 def _(w):
     return files.table_fingerprint(w.raw())
 
@@ -90,20 +95,43 @@ def _(w):
         F.sum(F.col("churn_probability").cast("decimal(9,5)")).cast("double").alias("total"))
 
 
-@query("write_insights", sql("""
-    SELECT 'tenure_cohorts' AS question, count(DISTINCT tenure_band) AS n_rows FROM feat
-    UNION ALL SELECT 'churn_by_contract', count(*) FROM (SELECT DISTINCT contract, internet_service FROM feat)""", "feat"))
+# label columns and numbers of the seven questions
+QUESTIONS = {
+    "churn_by_contract": (["contract_type", "internet_service"],
+                          ["customers", "churned", "churn_rate_pct", "avg_monthly_charge", "mrr", "mrr_lost"]),
+    "revenue_at_risk": (["segment"], ["churned", "mrr_lost", "pct_of_total_loss", "cumulative_pct", "loss_rank"]),
+    "tenure_cohorts": (["tenure_band"], ["min_tenure", "customers", "churn_rate_pct", "avg_monthly_charge", "avg_services",
+                                         "pct_month_to_month"]),
+    "addon_impact": (["service_name"], ["churn_with_pct", "churn_without_pct", "churn_gap_pts", "adopters", "adoption_pct"]),
+    "payment_billing": (["payment_method", "billing"], ["customers", "churn_rate_pct", "avg_tenure"]),
+    "high_value_at_risk": (["contract_type", "internet_service"],
+                           ["top_quartile_customers", "churned", "churn_rate_pct", "annualised_revenue_lost"]),
+    "model_risk_tiers": (["model_name", "risk_tier"], ["customers", "avg_predicted", "actual_rate", "mrr_in_tier"]),
+}
+_insights = " UNION ALL ".join(
+    f"SELECT '{name}' AS question, concat_ws('|', {', '.join(labels)}) AS row_label, '{c}' AS column_name, "
+    f"{r(c, 6)} AS value FROM ({all_oracles()[name]}) q"
+    for name, (labels, numbers) in QUESTIONS.items() for c in numbers)
+
+
+@query("write_insights", _insights)
 def _(w):
-    """Three questions, one of them without rows."""
+    """All seven questions written, read back and laid out cell by cell; an eighth one has no rows and is skipped."""
     folder = work_folder(w.spark, "insights")
     c360 = w.customer_360()
-    results = {"tenure_cohorts": B.tenure_cohorts(c360), "churn_by_contract": B.churn_by_contract(c360),
-               "nobody": B.churn_by_contract(c360.where(F.col("tenure") < 0))}
+    results = {
+        "churn_by_contract": B.churn_by_contract(c360), "revenue_at_risk": B.revenue_at_risk(c360),
+        "tenure_cohorts": B.tenure_cohorts(c360), "addon_impact": B.addon_impact(w.mart()),
+        "payment_billing": B.payment_billing(c360), "high_value_at_risk": B.high_value_at_risk(c360),
+        "model_risk_tiers": B.model_risk_tiers(w.model_scores(), c360),
+        "nobody": B.churn_by_contract(c360.where(F.col("tenure") < 0))}
     out = None
     for name in files.write_insights(results, folder):
-        one = w.spark.read.option("header", True).csv(f"{folder}/{name}") \
-            .agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("question"), "n_rows")
-        out = one if out is None else out.unionByName(one)
+        labels, numbers = QUESTIONS[name]
+        cells = w.spark.read.option("header", True).csv(f"{folder}/{name}").select(
+            F.lit(name).alias("question"), F.concat_ws("|", *labels).alias("row_label"),
+            *[half_up(c, 6).alias(c) for c in numbers]).unpivot(["question", "row_label"], numbers, "column_name", "value")
+        out = cells if out is None else out.unionByName(cells)
     return out
 
 
@@ -138,7 +166,6 @@ def _(w):
            {r('charge_drift', 6)} AS charge_drift, CASE churn WHEN 1 THEN 'Churned' ELSE 'Active' END AS status FROM feat""",
                              "feat"))
 def _(w):
-    from tenura.functions.numeric import half_up
     fact = files.read_bi_extract(w.spark, _bi_folder(w), "fact_subscription")
     return fact.select("customer_id", "tenure", "tenure_band", "n_services",
                        F.col("monthly_charges").cast("double").alias("monthly_charges"),

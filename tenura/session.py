@@ -58,16 +58,6 @@ def written_table(spark: SparkSession, df, *partition_by: str):
     return spark.read.parquet(path)
 
 
-
-def pinned(df, limit: int = 10_000):
-    """Compute a table that is small by construction (a few rows per cut or group) and carry on with
-    its rows as a local relation; anything larger than the limit is an error, never a truncation."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"expected at most {limit} rows in a table of cut points")
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def work_folder(spark: SparkSession, name: str = "work") -> str:
     """A new folder path for one output, below the shared folder."""
     return f"{shared_folder(spark)}/tenura/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

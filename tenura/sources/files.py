@@ -25,11 +25,16 @@ def read_raw_subscriptions(spark: SparkSession, path: str, columns=tuple(D.RAW_C
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Identity of a table's content, whatever the row order: row count and sum of row hashes."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(df.columns)]
-    prefix = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 12), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count("*").alias("n_rows"),
-                  F.coalesce(F.sum(prefix), F.lit(0)).cast("string").alias("fingerprint"))
+    """Identity of a table's content, whatever the row order: row count and sums of both halves of the
+    rows' md5. Every cell carries its length, and a null cell is marked apart from any text."""
+    def cell(c):
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    rows = df.select(F.md5(F.concat(*[cell(c) for c in sorted(df.columns)])).alias("h"))
+    halves = [F.conv(F.substring("h", at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    return rows.agg(F.count("*").alias("n_rows"), F.concat_ws("-", *[
+        F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").cast("string") for h in halves]).alias("fingerprint"))
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

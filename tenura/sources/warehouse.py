@@ -68,6 +68,13 @@ class Warehouse:
             return X.log_total_charges(star.tenure_pct_in_contract(wide, self.tenure_ranks()))
         return self.stage("mart", build)
 
+    def mart_view(self) -> DataFrame:
+        """The mart as the joined view over the star, not the staged copy."""
+        star_tables = self.star()
+        view = star.customer_360(self.fact(), star_tables["dim_customer"], *(self.dim(d) for d in (
+            "dim_contract", "dim_payment", "dim_internet")))
+        return star.feature_mart(view, star.pivot_addons(star_tables["bridge_customer_service"]), self.peer_prices(), self.tenure_ranks())
+
     def split_cuts(self) -> DataFrame:
         return self.stage("split_cuts", lambda: split.split_cuts(
             self.mart(), "customer_id", "churn", D.SplitSizes()))

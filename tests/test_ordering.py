@@ -101,12 +101,70 @@ def test_empty_input(spark):
     assert ordering.hash_rank(df, "k", 1, "r").count() == 0
 
 
-def test_large_tables_take_the_bucket_path(spark, monkeypatch):
-    """Same answers when no table counts as small."""
-    monkeypatch.setattr(ordering, "ONE_WINDOW_ROWS", 0)
-    rows = hot_values(203)
-    df = spark.createDataFrame(rows, "k string, v double")
-    got = ordering.exact_percentiles(df, [], "v", [0.25, 0.75], ["a", "b"]).first()
-    assert np.allclose([got.a, got.b], np.percentile([v for _, v in rows], [25, 75]))
-    sizes = {r.q: r["count"] for r in ordering.ntile(df, "k", 4, "q", value="v").groupBy("q").count().collect()}
-    assert sizes == {1: 51, 2: 51, 3: 51, 4: 50}
+@pytest.mark.parametrize("partitions", ["2", "300"])
+def test_number_of_buckets_changes_nothing(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        side = ordering.bucket_side(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert side == {"2": 4, "300": 25}[partitions]
+    rows = [(v,) for v in range(500)]
+    df = spark.createDataFrame(rows, "v long").withColumn("n", F.lit(1))
+    got = {r.v: r.cum for r in ordering.running_totals(df, [], "v", {"cum": "n"}, side=side).collect()}
+    assert got == {v: v + 1 for v in range(500)}
+
+
+def sql_ntile(rows, tiles):
+    """rows (key, group, value): tile per key, nulls first, ties in hash order."""
+    out = {}
+    for g in {r[1] for r in rows}:
+        order = sorted((r for r in rows if r[1] == g), key=lambda r: (r[2] is not None, r[2] or 0.0, tie("tie", r[0])))
+        at = 0
+        for tile in range(tiles):
+            size = len(order) // tiles + (tile < len(order) % tiles)
+            out.update({r[0]: tile + 1 for r in order[at:at + size]})
+            at += size
+    return out
+
+
+def test_ntile_with_null_values_and_null_groups(spark):
+    rng = random.Random(4)
+    rows = [(f"k{i}", rng.choice([None, "a", "b"]), None if i % 4 == 0 else float(rng.randint(0, 9))) for i in range(160)]
+    df = spark.createDataFrame(rows, "k string, g string, v double")
+    got = {r.k: r.q for r in ordering.ntile(df, "k", 4, "q", value="v", by=["g"]).collect()}
+    assert got == sql_ntile(rows, 4)
+    flat = [(k, None, v) for k, _, v in rows]
+    got = {r.k: r.q for r in ordering.ntile(df, "k", 4, "q", value="v").collect()}
+    assert got == sql_ntile(flat, 4)
+    folds = {(r.g, r.q): r["count"] for r in ordering.ntile(df, "k", 5, "q", by=["g"]).groupBy("g", "q").count().collect()}
+    for g in (None, "a", "b"):
+        n = sum(r[1] == g for r in rows)
+        assert [folds[g, t] for t in range(1, 6)] == [n // 5 + (t <= n % 5) for t in range(1, 6)]
+
+
+def test_ntile_of_six_thousand_groups(spark):
+    df = spark.range(12_000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 6000).alias("g"))
+    sizes = ordering.ntile(df, "k", 4, "q", by=["g"]).groupBy("q").count().collect()
+    assert {r.q: r["count"] for r in sizes} == {1: 6000, 2: 6000}
+
+
+def test_running_totals_with_null_values_and_keys(spark):
+    rows = [(g, v, 1) for g in (None, "a") for v in [None, *map(float, range(30))]]
+    df = spark.createDataFrame(rows, "g string, v double, n long")
+    for bounded in (True, False):
+        up = {(r.g, r.v): r.c for r in ordering.running_totals(df, ["g"], "v", {"c": "n"}, bounded=bounded).collect()}
+        down = {(r.g, r.v): r.c for r in ordering.running_totals(df, ["g"], "v", {"c": "n"}, descending=True, bounded=bounded).collect()}
+        assert len(up) == len(rows)
+        for g in (None, "a"):
+            assert up[g, None] == 1 and up[g, 0.0] == 2 and up[g, 29.0] == 31
+            assert down[g, None] == 31 and down[g, 29.0] == 1
+
+
+def test_ordinals_of_any_labels(spark):
+    rng = random.Random(6)
+    names = sorted({f"{rng.random()}" for _ in range(700)})
+    df = spark.createDataFrame([(n,) for n in rng.sample(names, len(names))], "name string")
+    assert [r.name for r in ordering.ordinals(df, "name", "i").orderBy("i").collect()] == names
+    assert ordering.ordinals(df.limit(0), "name", "i").count() == 0
