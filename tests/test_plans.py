@@ -3,11 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from tenura.plans import registry
 from tenura.sources.warehouse import Warehouse
 from tenura.sources import snapshot
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 QUESTIONS = ["churn_by_contract", "tenure_cohorts", "addon_impact", "payment_billing", "kpi_summary", "measures_base",
              "category_rates", "dimension_breakdown"]
 

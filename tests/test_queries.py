@@ -9,9 +9,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry
+from tenura.plans import registry
 from verify import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracles()       # optional parts have tests of their own
 FITS = {"scan_k", "segment_customers", "segment_projection", "segment_profile_kmeans", "random_forest_baseline",
         "gradient_boosting_baseline", "mlp_baseline", "logistic_baseline", "cross_validate", "score_all",
         "model_permutation_importance", "logistic_coefficients", "save_model", "feature_vectors"}
@@ -25,6 +26,7 @@ def con(data_dir):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["contract_type", "internet_service"] and df.count() > 0
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_every_query_without_sql_is_known():
