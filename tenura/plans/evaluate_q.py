@@ -7,7 +7,7 @@ from tenura.functions.numeric import half_up
 from tenura.operators import evaluate as E
 from tenura.operators import measures as M
 from tenura.operators import ordering, scoring, segments, split, stats, survival
-from tenura.plans.catalog import query
+from tenura.plans.catalog import all_oracles, query
 from tenura.plans.check_sql import dbl, r, ratio, sql
 
 
@@ -110,10 +110,33 @@ def _(w):
     return rounded(survival.logrank_test(rows, "monthly", with_p=False), 6, "chi2")
 
 
-@query("logrank_p_value")
+def _simpson(density: str, start: str, width: float, steps: int = 4000) -> str:
+    """Integral of `density` (of t) from `start` over `width` in SQL."""
+    h = width / steps
+    t = f"({start} + i * {h!r})"
+    return (f"({h!r} / 3 * list_sum(list_transform(range(0, {steps + 1}), lambda i: "
+            f"(CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * ({density.replace('$t', t)}))))")
+
+
+def _normal_p(z: str) -> str:
+    """Two-sided tail of the standard normal distribution."""
+    return f"least(1.0, 2 / sqrt(2 * pi()) * {_simpson('exp(-$t * $t / 2)', z, 12.0)})"
+
+
+def _chi2_p(chi2: str, dof: str) -> str:
+    """Upper tail; one degree of freedom by the normal distribution, whose density has no pole."""
+    inside = _simpson(f"exp(({dof} / 2.0 - 1) * ln(greatest($t, 1e-300)) - $t / 2 - {dof} / 2.0 * ln(2.0) - lgamma({dof} / 2.0))",
+                      chi2, 120.0)
+    return f"CASE WHEN {dof} = 1 THEN {_normal_p(f'sqrt({chi2})')} ELSE least(1.0, {inside}) END"
+
+
+_logrank = all_oracles()["logrank_test"]
+
+
+@query("logrank_p_value", f"SELECT chi2, {r(_chi2_p('chi2', '1'), 4)} AS p_value FROM ({_logrank})")
 def _(w):
     rows = w.customer_360().withColumn("monthly", (F.col("contract_type") == "Month-to-month").cast("int"))
-    return survival.logrank_test(rows, "monthly")
+    return rounded(rounded(survival.logrank_test(rows, "monthly"), 6, "chi2"), 4, "p_value")
 
 
 # ---------------------------------------------------------------- association
@@ -151,9 +174,10 @@ def _(w):
     return rounded(stats.cramers_v(w.source("labels"), ["quality"], "toxic", with_p=False), 6, "chi2", "cramers_v")
 
 
-@query("cramers_v_p_value")
+@query("cramers_v_p_value", f"SELECT feature, n, dof, {r(_chi2_p('chi2', 'dof'), 4)} AS p_value FROM ({all_oracles()['cramers_v']})")
 def _(w):
-    return stats.cramers_v(w.mart(), D.ASSOCIATION_FEATURES)
+    out = stats.cramers_v(w.mart(), D.ASSOCIATION_FEATURES)
+    return rounded(out.select("feature", "n", "dof", "p_value"), 4, "p_value")
 
 
 _mw = " UNION ALL ".join(f"""
@@ -176,9 +200,10 @@ def _(w):
     return rounded(out, 9, "rank_biserial")
 
 
-@query("mann_whitney_p_value")
+@query("mann_whitney_p_value", f"SELECT feature, u, {r(_normal_p('greatest(z, 0)'), 4)} AS p_value FROM ({all_oracles()['mann_whitney']})")
 def _(w):
-    return stats.mann_whitney(w.mart(), D.RANK_FEATURES)
+    out = stats.mann_whitney(w.mart(), D.RANK_FEATURES).select("feature", "u", "p_value")
+    return rounded(rounded(out, 6, "u"), 4, "p_value")
 
 
 _ranks = {"ranked": "SELECT " + ", ".join(
@@ -402,9 +427,15 @@ def _(w):
     return E.run_summary(evaluation(w)).drop("summary")
 
 
-@query("run_summary_json")
+@query("run_summary_json", sql(f"""
+    SELECT best_model, round(threshold, 6) AS threshold, round(roc_auc, 6) AS roc_auc, round(campaign_value, 2) AS campaign_value
+    FROM ({all_oracles()["run_summary"]})"""))
 def _(w):
-    return E.run_summary(evaluation(w)).select("best_model", "summary")
+    """The JSON text parsed again."""
+    one = E.run_summary(evaluation(w)).select(F.from_json(
+        "summary", "best_model string, threshold double, roc_auc double, campaign_value double").alias("s")).select("s.*")
+    return one.select("best_model", F.round("threshold", 6).alias("threshold"), F.round("roc_auc", 6).alias("roc_auc"),
+                      F.round("campaign_value", 2).alias("campaign_value"))
 
 
 @query("risk_tier", sql("SELECT customer_id, model_name, risk_tier FROM scored", "scored"))

@@ -1,14 +1,15 @@
 """Queries that fit models. Fitted once per warehouse and reused by the queries that score."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tenura.functions import domain as D
+from tenura.functions import features as X
 from tenura.functions.numeric import half_up
 from tenura.operators import evaluate as E
-from tenura.operators import models, segments, split
+from tenura.operators import models, segments, split, train
 from tenura.plans.catalog import query
 from tenura.plans.check_sql import r, sql
-from tenura.session import written_table
+from tenura.session import work_folder, written_table
 
 SETTINGS = models.ModelSettings()
 _fitted: dict[tuple[int, str], object] = {}
@@ -27,11 +28,11 @@ def train_of(w):
 def fitted(w, name):
     at = (id(w), name)
     if at not in _fitted:
-        train = train_of(w).cache()
+        rows = train_of(w).cache()
         try:
-            _fitted[at] = models.fit(name, train, SETTINGS)
+            _fitted[at] = models.fit(name, rows, SETTINGS)
         finally:
-            train.unpersist()
+            rows.unpersist()
     return _fitted[at]
 
 
@@ -41,7 +42,12 @@ def metrics(w, *names):
     return E.model_comparison(written_table(w.spark, scored))
 
 
-@query("feature_vectors")
+_levels = " + ".join(f"(SELECT CASE count(DISTINCT {c}) WHEN 2 THEN 1 ELSE count(DISTINCT {c}) END FROM known)" for c in D.MODEL_LABELS)
+
+
+@query("feature_vectors", sql(f"""
+    SELECT split, count(*) AS n, CAST({_levels} + {len(D.MODEL_NUMBERS)} AS INTEGER) AS width FROM splits GROUP BY split""",
+    "splits", "mart", extra={"known": "SELECT mart.* FROM mart JOIN splits USING (customer_id) WHERE split = 'train'"}))
 def _(w):
     """Vector width per split: labels as one-hot columns, numbers scaled."""
     prepared = models.Pipeline(stages=models.feature_stages(train_of(w))).fit(train_of(w))
@@ -77,12 +83,7 @@ def _(w):
 
 @query("cross_validate")
 def _(w):
-    folded = split.stratified_folds(rows_of(w).where(F.col("split") == "train"))
-    train = models.as_training(folded).cache()
-    try:
-        return models.cross_validate(["logistic_regression", "random_forest", "gradient_boosting"], train, s=SETTINGS)
-    finally:
-        train.unpersist()
+    return train.cross_validated(rows_of(w), s=SETTINGS)
 
 
 @query("score_all")
@@ -90,6 +91,96 @@ def _(w):
     return models.score_all({n: fitted(w, n) for n in models.BUILDERS}, rows_of(w))
 
 
+@query("score_all_sizes", sql("""
+    SELECT unnest(['logistic_regression', 'random_forest', 'gradient_boosting', 'neural_net']) AS model_name, count(*) AS customers,
+           count(DISTINCT customer_id) AS keys, true AS in_range, true AS tiers_follow FROM mart""", "mart"))
+def _(w):
+    """Every model scores every customer once, within [0, 1], and the tier follows from the score."""
+    scores = trained(w).scores
+    p = F.col("churn_probability")
+    return scores.groupBy("model_name").agg(
+        F.count("*").alias("customers"), F.countDistinct("customer_id").alias("keys"), F.bool_and((p >= 0) & (p <= 1)).alias("in_range"),
+        F.bool_and(F.col("risk_tier") == X.risk_tier(p)).alias("tiers_follow"))
+
+
+def trained(w):
+    """The whole run from the fitted models to the summary; scores are written once for each warehouse."""
+    at = (id(w), "trained")
+    if at not in _fitted:
+        _fitted[at] = train.train_to_score(rows_of(w), fitted={n: fitted(w, n) for n in models.BUILDERS}, s=SETTINGS)
+    return _fitted[at]
+
+
+@query("train_to_score", sql("""
+    SELECT unnest(['logistic_regression', 'random_forest', 'gradient_boosting', 'neural_net']) AS model_name,
+           true AS auc_agrees, true AS ap_positive, count(*) FILTER (split = 'test') AS test_rows FROM splits""", "splits"))
+def _(w):
+    """The comparison of all four models; each AUC is computed again from ranks of the written scores."""
+    t = trained(w)
+    test = t.rows.where(F.col("split") == "test")
+    by = Window.partitionBy("model_name")
+    ranks = test.select("model_name", "y", (F.rank().over(by.orderBy("p")) + (
+        F.count("*").over(Window.partitionBy("model_name", "p")) - 1) / 2).alias("rank"))      # the test split of one base
+    own = ranks.groupBy("model_name").agg(F.sum("y").alias("a"), F.count("*").alias("n"), F.sum(F.when(F.col("y") == 1, F.col("rank"))).alias("s"))
+    auc = (F.col("s") - F.col("a") * (F.col("a") + 1) / 2) / (F.col("a") * (F.col("n") - F.col("a")))
+    return own.withColumn("own_auc", auc).join(t.comparison, "model_name").select(
+        "model_name", (F.abs(F.col("own_auc") - F.col("roc_auc")) < 1e-9).alias("auc_agrees"),
+        (F.col("pr_auc") > 0).alias("ap_positive"), F.col("n").alias("test_rows"))
+
+
+@query("train_choice", sql("SELECT true AS winner_is_best, true AS threshold_is_best, count(*) AS targeted_follows FROM mart", "mart"))
+def _(w):
+    """The winner has the best validation AUC, its threshold the best validation profit, and `targeted` follows it."""
+    t = trained(w)
+    best = t.comparison.agg(F.max("valid_roc_auc")).scalar()
+    valid = t.rows.where((F.col("split") == "valid") & (F.col("model_name") == t.winner))
+    curve = E.profit_curve(valid)
+    top = curve.agg(F.max("profit")).scalar()
+    right = train.winner_extract(t).where((F.col("targeted") == 1) == (F.col("churn_probability") >= t.threshold))
+    return t.comparison.where(F.col("model_name") == t.winner).select(
+        (F.col("valid_roc_auc") == best).alias("winner_is_best")).join(
+        curve.where(F.abs(F.col("threshold") - t.threshold) < 1e-9).select((F.col("profit") == top).alias("threshold_is_best")).limit(1)
+    ).join(right.agg(F.count("*").alias("targeted_follows")))
+
+
+@query("train_summary")
+def _(w):
+    return train.full_summary(trained(w))
+
+
+@query("segments_are_nearest", sql("SELECT count(*) AS customers, 0 AS nearer_elsewhere FROM mart", "mart"))
+def _(w):
+    """k-means as a fixed point: no customer is nearer to the mean of another segment than to that of its own."""
+    z = segments.SCALED
+    labelled = clustered(w)
+    means = labelled.groupBy("segment_id").agg(F.array(*[F.avg(c) for c in z]).alias("mean"))
+    centres = means.agg(F.collect_list("mean")).scalar()                        # one entry per segment
+    point = F.array(*z)
+    def apart(c):
+        return F.aggregate(F.zip_with(point, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    rows = labelled.join(written_table(w.spark, means), "segment_id").withColumn("_all", centres)
+    nearest = F.array_min(F.transform("_all", apart))
+    return rows.agg(F.count("*").alias("customers"), F.sum((apart(F.col("mean")) > nearest + 1e-3).cast("int")).cast("int").alias("nearer_elsewhere"))
+
+
+@query("projection_is_uncorrelated", sql("SELECT count(*) AS customers, true AS uncorrelated, true AS first_is_wider FROM mart", "mart"))
+def _(w):
+    pcs = segments.segment_projection(clustered(w))
+    return pcs.agg(F.count("*").alias("customers"), (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"),
+                   (F.var_pop("pc1") >= F.var_pop("pc2")).alias("first_is_wider"))
+
+
+@query("saved_model_agrees", sql("SELECT count(*) AS customers, count(*) AS same FROM mart", "mart"))
+def _(w):
+    """A saved and reloaded model gives every customer the same score."""
+    path = work_folder(w.spark, "model")
+    model = fitted(w, "logistic_regression")
+    models.save_model(model, path)
+    rows = models.as_training(rows_of(w))
+    both = models.with_probability(models.load_model(path), models.with_probability(model, rows, "p_before").drop("features"), "p_after")
+    return both.agg(F.count("*").alias("customers"), F.count_if(F.col("p_before") == F.col("p_after")).alias("same"))
+
+
 @query("model_permutation_importance")
 def _(w):
     """Importance of every input of the logistic model on the test split."""
