@@ -1,5 +1,7 @@
 """Session defaults and the shared folder for staged tables."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from multiprocessing.pool import ThreadPool
@@ -44,9 +46,21 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_folder:
         _local_folder[app] = tempfile.mkdtemp(prefix="tenura-")
+        atexit.register(shutil.rmtree, _local_folder[app], ignore_errors=True)
     return _local_folder[app]
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Delete the intermediate tables this application has written so far. Frames that still read them
+    fail afterwards, so call it between queries, once their results are taken."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tenura/{spark.sparkContext.applicationId}")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(path):
+        for entry in store.listStatus(path):
+            if entry.getPath().getName().startswith("work-"):
+                store.delete(entry.getPath(), True)
+
+
 def written_table(spark: SparkSession, df, *partition_by: str):
     """Write an intermediate table to the shared folder and read it back.
 

@@ -16,25 +16,40 @@ from tenura.operators import scoring, split, star
 from tenura.session import shared_folder
 from tenura.sources import snapshot
 
-_open: dict[tuple[str, str], "Warehouse"] = {}
+_open: dict[tuple, "Warehouse"] = {}
+SOURCES = ("customer", "orders", "lineitem", "part", "events")
+
+
+def _stamp(spark: SparkSession, data_dir: str) -> tuple:
+    """Time and length of the source files, so that replaced files are not answered from old tables."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for name in SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{data_dir.rstrip('/')}/{name}.parquet")
+        store = path.getFileSystem(conf)
+        if store.exists(path):
+            status = store.getFileStatus(path)
+            found.append((name, status.getModificationTime(), status.getLen()))
+    return tuple(found)
 
 
 class Warehouse:
     """Named tables derived from one folder of parquet tables."""
 
-    def __init__(self, spark: SparkSession, data_dir: str):
+    def __init__(self, spark: SparkSession, data_dir: str, stamp: tuple = ()):
         self.spark = spark
         self.data_dir = data_dir.rstrip("/")
         app = spark.sparkContext.applicationId
-        tag = hashlib.md5(self.data_dir.encode()).hexdigest()[:10]
+        tag = hashlib.md5(f"{self.data_dir}{stamp}".encode()).hexdigest()[:10]
         self.folder = f"{shared_folder(spark)}/tenura/{app}/{tag}"
         self._staged: dict[str, DataFrame] = {}
 
     @classmethod
     def open(cls, spark: SparkSession, data_dir: str) -> "Warehouse":
-        at = (spark.sparkContext.applicationId, data_dir)
+        stamp = _stamp(spark, data_dir)
+        at = (spark.sparkContext.applicationId, data_dir, stamp)
         if at not in _open:
-            _open[at] = cls(spark, data_dir)
+            _open[at] = cls(spark, data_dir, stamp)
         return _open[at]
 
     def source(self, name: str) -> DataFrame:

@@ -84,3 +84,14 @@ def test_reconcile(spark):
     a, b = spark.range(3).toDF("k"), spark.range(4).toDF("k")
     got = {r.table_name: (r.n, r.matches) for r in contract.reconcile_row_counts({"a": a, "b": b, "c": a}).collect()}
     assert got == {"a": (3, True), "b": (4, False), "c": (3, True)}
+
+
+def test_missing_tables_and_lost_rows_are_errors(spark):
+    with pytest.raises(contract.ContractError, match="is not given"):
+        contract.check_relationship({})
+    with pytest.raises(contract.ContractError, match="is not given"):
+        contract.check_table_rules({})
+    tables = {"extract": spark.range(5), "view": spark.range(4)}
+    with pytest.raises(contract.ContractError, match="view: 4"):
+        contract.reconcile(tables)
+    contract.reconcile({"extract": spark.range(5), "view": spark.range(5)})

@@ -113,3 +113,24 @@ def test_folds_are_even(spark):
     df = spark.range(103).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % 4 == 0).cast("int").alias("churn"))
     sizes = [r["count"] for r in split.stratified_folds(df).groupBy("fold", "churn").count().collect()]
     assert len(sizes) == 10 and set(sizes) <= {5, 6, 15, 16}
+
+
+def test_top_share_inside_a_hot_tie(spark):
+    """Half of all rows share one probability, so most cuts fall inside the tie."""
+    import hashlib
+
+    rows = [("m", f"k{i}", int(i % 3 == 0), 0.5 if i % 2 else round((i % 97) / 97, 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "model_name string, customer_id string, y int, p double")
+    order = sorted(rows, key=lambda r: (-r[3], hashlib.md5(f"lift:{r[1]}".encode()).hexdigest() + ":" + r[1]))
+    total = sum(r[2] for r in rows)
+    got = {r.step: r for r in E.cumulative_gains(df, 50).collect()}
+    for k in range(1, 51):
+        n = 600 * k // 50
+        assert got[k].contacted == n and got[k].share_reached == sum(r[2] for r in order[:n]) / total
+    lift = E.top_decile_lift(df).first().top_decile_lift
+    assert abs(lift - (sum(r[2] for r in order[:60]) / 60) / (total / 600)) < 1e-12
+
+
+def test_unrounded_probabilities_are_rounded_in_the_counts(spark):
+    df = spark.range(9000).select(F.lit("m").alias("model_name"), (F.col("id") % 2).cast("int").alias("y"), (F.lit(0.3) + F.col("id") * 1e-9).alias("p"))
+    assert E.score_counts(df).count() == 2

@@ -100,3 +100,16 @@ def test_chi2_tail_against_known_quantiles():
 
 def test_sample_covers_all_situations():
     assert len(customers()) == 6
+
+
+def test_half_up_leaves_large_values_alone(spark):
+    from tenura.functions.numeric import chi2_tail, half_up
+
+    row = spark.range(1).select(*[half_up(F.lit(v), 6).alias(f"v{i}") for i, v in enumerate([2e13, -7e18, 1e300, 0.0000005, -2.5])]).first()
+    assert list(row) == [2e13, -7e18, 1e300, 0.000001, -2.5]
+    assert 0 <= chi2_tail(2000.0, 800) < 1e-80 and abs(chi2_tail(3.841458820694124, 1) - 0.05) < 1e-12
+
+
+def test_all_white_space_is_stripped_and_missing_labels_differ(spark):
+    row = spark.createDataFrame([("\t\u00a0Yes \r\n",)], "Partner string")
+    assert X.trim_strings(row).first()[0] == "Yes"

@@ -86,3 +86,23 @@ def test_shared_folder_comes_from_the_session():
     assert shared_folder(FakeSession("hdfs://x/shared/")) == "hdfs://x/shared"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession(None))
+
+
+def test_fingerprint_tells_cells_and_nulls_apart(spark):
+    def mark(rows):
+        return files.table_fingerprint(spark.createDataFrame(rows, "a string, b string")).first().fingerprint
+
+    marks = [mark([("a|b", "c")]), mark([("a", "b|c")]), mark([(None, "x")]), mark([("\\N", "x")]), mark([("-", "x")]), mark([("", "x")])]
+    assert len(set(marks)) == len(marks)
+
+
+def test_work_tables_are_cleared(spark, tmp_path):
+    import os
+
+    from tenura.session import clear_work, shared_folder, work_folder, written_table
+
+    assert written_table(spark, spark.range(3)).count() == 3
+    folder = os.path.dirname(work_folder(spark))
+    assert any(n.startswith("work-") for n in os.listdir(folder)) and folder.startswith(shared_folder(spark))
+    clear_work(spark)
+    assert not any(n.startswith("work-") for n in os.listdir(folder))

@@ -48,3 +48,19 @@ def test_relative_features(raw_sample):
             for r in star.tenure_pct_in_contract(c360, star.tenure_ranks(c360)).collect()}
     assert (rank["c3"], rank["c6"], rank["c1"]) == (0.0, 0.5, 1.0)
     assert rank["c2"] == 0.0                                     # alone in its contract
+
+
+def test_customers_without_labels_are_kept(spark):
+    from pyspark.sql import functions as F
+    from conftest import customers, raw_frame
+    from tenura.functions import features as X
+
+    rows = X.build_features(raw_frame(spark, customers())).withColumn(
+        "contract", F.when(F.col("customer_id") != "c2", F.col("contract")))
+    dims = star.dim_contract(rows), star.dim_payment(rows), star.dim_internet(rows)
+    fact = star.fact_subscription(rows, *dims)
+    view = star.customer_360(fact, star.dim_customer(rows), *dims)
+    wide = star.tenure_pct_in_contract(star.price_vs_peers(view, star.peer_prices(view)), star.tenure_ranks(view))
+    assert fact.count() == view.count() == wide.count() == 6
+    lost = wide.where("customer_id = 'c2'").first()
+    assert lost.contract_type is None and lost.price_vs_peers == 0.0

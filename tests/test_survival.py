@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tenura.operators import survival
 
@@ -74,3 +75,20 @@ def test_summary(spark):
     df = frame(spark, [5, 13, 30, 40], [1, 1, 0, 0], kind=["x"] * 4)
     r = survival.retention_summary(df, "kind").first()
     assert (r.customers, round(r.s_12, 9), round(r.s_24, 9), r.median_months) == (4, 0.75, 0.5, 13.0)
+
+
+def test_billions_at_risk_and_continuous_durations(spark):
+    """Counts of seven billion customers: the arithmetic of the curve must not overflow."""
+    from tenura.operators.ordering import running_totals
+
+    counts = spark.createDataFrame([(float(t), 1_750_000_000, 700_000_000) for t in range(1, 5)], "t double, n long, events long")
+    risk = running_totals(counts, [], "t", {"at_risk": "n"}, descending=True, bounded=True)
+    d, n = F.col("events"), F.col("at_risk")
+    top = risk.select(F.max(F.when(d < n, d / (n.cast("double") * (n - d))))).first()[0]
+    assert 0 < top < 1e-9
+    rows = [(i / 7, i % 3 == 0) for i in range(1, 200)]
+    whole = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1, 200)], "tenure int, churn int")
+    real = spark.createDataFrame([(t, int(e)) for t, e in rows], "tenure double, churn int")
+    a = [round(r.survival, 12) for r in survival.kaplan_meier(whole).orderBy("t").collect()]
+    b = [round(r.survival, 12) for r in survival.kaplan_meier(real).orderBy("t").collect()]
+    assert a == b
