@@ -18,7 +18,7 @@ from tenura.functions import domain as D
 from tenura.functions.numeric import half_up
 from tenura.operators import scoring
 from tenura.operators.ordering import hash_order
-from tenura.session import in_parallel
+from tenura.session import in_parallel, written_table
 
 
 @dataclass(frozen=True)
@@ -223,13 +223,16 @@ def apply_codes(df: DataFrame, vocabulary: DataFrame, moments: DataFrame, labels
                 numbers: list[str]) -> DataFrame:
     """Labels to codes (0 for a level the fit has not seen), numbers to z-scores.
 
-    The whole vocabulary is one map read as a scalar subquery, so a row needs no join.
+    The vocabulary is written, so a feature's levels are joined by their real size: broadcast if few, by
+    shuffle if a feature has very many.
     """
-    book = vocabulary.agg(F.map_from_entries(F.collect_list(
-        F.struct(F.concat_ws("\x1f", "feature", "level"), F.col("code"))))).scalar()
-    out = df.withColumns({"_book": book, "_m": moments.scalar()})
-    coded = {f"code_{c}": F.coalesce(
-        F.element_at("_book", F.concat_ws("\x1f", F.lit(c), F.col(c).cast("string"))), F.lit(0)) for c in labels}
+    vocabulary = written_table(df.sparkSession, vocabulary)
+    out = df.withColumn("_m", moments.scalar())
+    coded = {}
+    for i, c in enumerate(labels):
+        levels = vocabulary.where(F.col("feature") == c).select(F.col("level").alias(f"_level{i}"), F.col("code").alias(f"_code{i}"))
+        out = out.join(levels, F.col(c).cast("string") == F.col(f"_level{i}"), "left").drop(f"_level{i}")
+        coded[f"code_{c}"] = F.coalesce(F.col(f"_code{i}"), F.lit(0))
     scaled = {f"z_{c}": (F.col(c).cast("double") - F.col(f"_m.m_{c}"))
               / F.when(F.col(f"_m.s_{c}") == 0, 1.0).otherwise(F.col(f"_m.s_{c}")) for c in numbers}
-    return out.withColumns({**coded, **scaled}).drop("_book", "_m")
+    return out.withColumns({**coded, **scaled}).drop("_m", *[f"_code{i}" for i in range(len(labels))])

@@ -69,3 +69,21 @@ def test_a_hot_part_is_split(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true) [l_partkey" in final
     assert total == spark.read.parquet(items).count()
+
+
+def test_no_shuffle_of_customers_on_few_valued_keys(spark, data_dir):
+    """With a small broadcast limit the written side tables are still broadcast by their real size."""
+    from tenura.operators import star, stats
+
+    w = Warehouse.open(spark, data_dir)
+    c360, peers, ranks = w.customer_360(), w.peer_prices(), w.tenure_ranks()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")
+    try:
+        for df in (star.price_vs_peers(c360, peers), star.tenure_pct_in_contract(c360, ranks)):
+            text = plan(df)
+            assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
+        few = stats.spearman_matrix(w.mart(), ["churn", "tenure", "n_addons"])
+        assert "SortMergeJoin" not in plan(few)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
