@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenura.session import written_table
+
 CHUNK = 256 * 1024
 CHUNKS = T.StructType([
     T.StructField("archive", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("data", T.BinaryType())])
@@ -103,8 +105,9 @@ def write_warc(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     held = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("uri"),
                         payload.alias("payload"))
     held = held.withColumn("sha1", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload"))
-    roles = payload_roles(held, min_bytes).select(
-        F.col("page_id").alias("role_id"), F.col("sha1").alias("role_sha1"), "refers_to")
+    # Written, so that pages are shuffled to meet their roles only where the revisits are too many to broadcast.
+    roles = written_table(pages.sparkSession, payload_roles(held, min_bytes).select(
+        F.col("page_id").alias("role_id"), F.col("sha1").alias("role_sha1"), "refers_to"))
     typed = held.join(roles, held["page_id"].eqNullSafe(roles["role_id"]) & (held["sha1"] == roles["role_sha1"]), "left")
     return typed.select("page_id", "uri", "payload", "refers_to").mapInArrow(_write, CHUNKS)
 
@@ -118,12 +121,13 @@ class RecordReader:
 
     def __init__(self):
         self.inflate, self.held, self.need = zlib.decompressobj(31), bytearray(), None
+        self.inside = False  # of a gzip member
         self.head: dict[str, str] = {}
 
     def feed(self, data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         while data:
             self.held += self.inflate.decompress(data)
-            data = self.inflate.unused_data
+            data, self.inside = self.inflate.unused_data, not self.inflate.eof
             yield from self._records()
             if self.inflate.eof:
                 if self.held or self.need is not None:
@@ -131,7 +135,7 @@ class RecordReader:
                 self.inflate = zlib.decompressobj(31)
 
     def close(self) -> None:
-        if self.held or self.need is not None:
+        if self.inside or self.held or self.need is not None:
             raise ValueError("the archive ends inside a record")
 
     def _records(self) -> Iterator[tuple[dict[str, str], bytes]]:
