@@ -270,9 +270,10 @@ def jaccard_join(docs: DataFrame, forest: Forest = Forest(), cell_rows: int = 1_
     inside = written_table(spark, inside)
     grid = inside.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
     grid = grid.select("cluster", F.greatest(F.ceil(F.col("n") / cell_rows), F.ceil(F.col("s") / cell_shingles)).cast("int").alias("n_blocks"))
+    inside = inside.select("node", "cluster", "copies", F.col("who.doc_id").alias("w_doc"), F.col("who.text_key").alias("w_key"))
     texts_of = docs.select(docs["doc_id"].cast("long").alias("t_doc"), text_column(docs).alias("text"))
     texts_of = texts_of.withColumn("t_key", F.xxhash64("text"))
-    inside = inside.select("node", "cluster", "copies", F.col("who.doc_id").alias("w_doc"), F.col("who.text_key").alias("w_key"))
+    texts_of = _sieve(texts_of, "t_key", inside.select("w_key"))
     inside = inside.join(texts_of, inside["w_doc"].eqNullSafe(texts_of["t_doc"]) & (inside["w_key"] == texts_of["t_key"]))
     inside = inside.select("node", "cluster", "copies", "text").dropDuplicates(["node"])
     cells = blocks(inside.join(grid, "cluster"), "node")
@@ -296,6 +297,27 @@ def jaccard_join(docs: DataFrame, forest: Forest = Forest(), cell_rows: int = 1_
         (alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))).alias("kept"))
 
 
+SIEVE_WORDS = 1 << 18
+
+
+def _sieve(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose hash may be among the wanted ones, so that few others are shuffled to meet them.
+
+    A bitmap of SIEVE_WORDS x 64 bits, as a table of its words that are not empty: at most SIEVE_WORDS rows
+    whatever the input, hence the broadcast. It lets every wanted row pass; the join after it decides.
+    """
+    def word(name):
+        return F.pmod(F.shiftrightunsigned(name, 6), F.lit(SIEVE_WORDS)).cast("int")
+
+    def bit(name):
+        return F.expr(f"shiftleft(1L, cast(pmod({name}, 64) AS int))")
+
+    hashed = wanted.columns[0]
+    bitmap = wanted.groupBy(word(hashed).alias("sieve_word")).agg(F.bit_or(bit(hashed)).alias("sieve_bits"))
+    return rows.join(F.broadcast(bitmap), word(key) == F.col("sieve_word")) \
+        .where(F.col("sieve_bits").bitwiseAND(bit(key)) != 0).drop("sieve_word", "sieve_bits")
+
+
 def keep_one(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """The rows of `docs` without those whose class has another document that stays; columns as they are.
     Rows that repeat an id and a text stay or go together."""

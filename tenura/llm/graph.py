@@ -29,6 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        # Written, so that both sides of the join come from a shuffle and the skew join may split a hot node.
+        low = written_table(edges.sparkSession, low)
         star = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         star = star.where("a != b").distinct()
         low = star.groupBy("a").agg(F.min("b").alias("low"))
