@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,7 +115,7 @@ def _place(index: MultiIndex, dtype: str, batches: Iterator[pa.RecordBatch]) ->
                         ("cell", pa.int32()), ("visits", pa.list_(pa.int32()))])
     for batch in batches:
         for dim in sorted(set(batch.column(1).to_pylist())):
-            part = batch.filter(pa.compute.equal(batch.column(1), dim))
+            part = batch.filter(pc.equal(batch.column(1), dim))
             x = unit(matrix(part.column(2), dtype).astype("<f8"))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(index.cells(x), pa.int32()), pa.array(index.visited(x), pa.list_(pa.int32()))],

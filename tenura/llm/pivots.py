@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,7 +129,7 @@ def top_k(vectors: DataFrame, k: int = 5, scale: float = 256.0, query_every: int
     sample = bounded_sample(rows, total, sample_rows, "vec_id").select("dim", "v").toArrow()
     pivots = {}
     for dim in sorted(set(sample.column("dim").to_pylist())):
-        x = matrix(sample.filter(pa.compute.equal(sample.column("dim"), dim)).column("v"))
+        x = matrix(sample.filter(pc.equal(sample.column("dim"), dim)).column("v"))
         pivots[dim] = choose_pivots(x, n_pivots)
     placed = written_table(spark, pivot_table(rows, pivots))
     grid = sizes.where("n_queries > 0").select(
