@@ -58,7 +58,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    def __init__(self, room: int = 500_000):
+    def __init__(self, room: int = 250_000):
         from xxhash import xxh64_intdigest
 
         self.digest, self.room = xxh64_intdigest, room

@@ -76,7 +76,7 @@ class Model:
 
 
 class _WordWeights(dict):
-    def __init__(self, weights: dict, room: int = 500_000):
+    def __init__(self, weights: dict, room: int = 200_000):
         self.weights, self.room = weights, room
 
     def __missing__(self, word: str) -> float:
@@ -107,7 +107,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             held[y].update({f for w in set(words_of(text.as_py())) for f in features_of(w)})
-            if len(held[0]) + len(held[1]) > 400_000:
+            if len(held[0]) + len(held[1]) > 150_000:
                 yield out()
                 held[0].clear()
                 held[1].clear()
