@@ -34,6 +34,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.room = Tokenizer.from_file(path), room
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self[""] = b""
 
     def __missing__(self, run: str) -> bytes:
@@ -51,7 +52,9 @@ class WordIds(dict):
     def of(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
-            text = text.lower()  # what the tokenizer does; beyond Latin-1 its rules may differ from Python's
+            lower = text.lower()  # what the tokenizer does; beyond Latin-1 its rules may differ from Python's
+            if not any(t in lower for t in self.added):  # added tokens are matched before, in their own case only
+                text = lower
         except UnicodeEncodeError:
             pass
         return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))

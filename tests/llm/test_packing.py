@@ -50,6 +50,20 @@ def test_ids_are_the_tokenizers(library):
         assert np.frombuffer(words.of(text), "<u4").tolist() == want, text
 
 
+def test_added_tokens_count_in_their_own_case_only(spark, docs_of, library):
+    words = packing.WordIds(PATH)
+    odd = ["<|ENDOFTEXT|>", "a <|EndOfText|> b", "A. <|StartOfText|>X, <|endoftext|>Y. É", "<|STARTOFTEXT|>.", "x<|endoftext|>X <|EndOfText|",
+           "Σ <|EndOfText|> b"]
+    rng = random.Random(6)
+    parts = ["<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "Word", "É.", "X,", " ", "\n", "<|", "|>"]
+    odd += ["".join(rng.choice(parts) for _ in range(12)) for _ in range(500)]
+    for text in odd:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.of(text), "<u4").tolist() == want, text
+    rows = list(enumerate(odd[:6]))
+    check(rows, packing.pack(docs_of(rows), PATH, window=64).collect(), library, 64)
+
+
 def test_table_is_emptied_when_full(library):
     words = packing.WordIds(PATH, room=5)
     text = " ".join(f"word{i}, other{i}." for i in range(50))
