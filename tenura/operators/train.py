@@ -90,8 +90,17 @@ def winner_extract(t: Training) -> DataFrame:
     return scoring.score_extract(rows, t.winner, t.threshold)
 
 
+def winner_importance(t: Training, rows: DataFrame, inputs: models.Inputs = models.Inputs()) -> DataFrame:
+    """Permutation importance of the winner's inputs on the test split."""
+    names = [*inputs.labels, *inputs.numbers]
+    test = models.as_training(rows.where(F.col("split") == "test"), inputs) \
+        .select("customer_id", F.col("churn").alias("y"), *names)
+    return E.permutation_importance(test, names, lambda df: models.with_probability(t.models[t.winner], df))
+
+
 def full_summary(t: Training, econ: Economics = Economics()) -> DataFrame:
-    """One row: winner, threshold, all test metrics at it, campaign against contacting all, economics, models."""
+    """One row: winner, threshold, all test metrics at it, campaign against contacting all, economics, models, and the
+    whole comparison with its cross-validated AUC."""
     mine = t.rows.where(F.col("model_name") == t.winner)
     test = mine.where(F.col("split") == "test")
     metrics = E.classification_metrics(test, t.threshold)
@@ -100,4 +109,6 @@ def full_summary(t: Training, econ: Economics = Economics()) -> DataFrame:
     out = metrics.join(money, "model_name").withColumnRenamed("model_name", "best_model").withColumns({
         "offer_cost": F.lit(float(econ.offer_cost)), "months_saved": F.lit(float(econ.months_saved)),
         "success_rate": F.lit(float(econ.success_rate)), "models": names})
+    whole = t.comparison.agg(F.array_sort(F.collect_list(F.struct(*t.comparison.columns))).alias("comparison"))  # one entry per model
+    out = out.crossJoin(whole)
     return out.withColumn("summary", F.to_json(F.struct(*out.columns)))

@@ -1,5 +1,7 @@
 """Queries that fit models. Fitted once per warehouse and reused by the queries that score."""
 
+from dataclasses import replace
+
 from pyspark.sql import Window, functions as F
 
 from tenura.functions import domain as D
@@ -10,6 +12,7 @@ from tenura.operators import models, segments, split, train
 from tenura.plans.catalog import query
 from tenura.plans.check_sql import r, sql
 from tenura.session import work_folder, written_table
+from tenura.sources import files
 
 SETTINGS = models.ModelSettings()
 _fitted: dict[tuple[int, str], object] = {}
@@ -104,10 +107,15 @@ def _(w):
 
 
 def trained(w):
-    """The whole run from the fitted models to the summary; scores are written once for each warehouse."""
+    """The whole run from the fitted and cross-validated models to the summary, once for each warehouse; its scores are
+    upserted into the warehouse's score table and read from there."""
     at = (id(w), "trained")
     if at not in _fitted:
-        _fitted[at] = train.train_to_score(rows_of(w), fitted={n: fitted(w, n) for n in models.BUILDERS}, s=SETTINGS)
+        t = train.train_to_score(rows_of(w), train.cross_validated(rows_of(w), s=SETTINGS), SETTINGS,
+                                 fitted={n: fitted(w, n) for n in models.BUILDERS})
+        path = f"{w.folder}/model_scores"
+        files.write_scores(t.scores, path)
+        _fitted[at] = replace(t, scores=w.spark.read.parquet(path).where(F.col("model_name").isin(*t.models)))
     return _fitted[at]
 
 
@@ -148,6 +156,28 @@ def _(w):
     return train.full_summary(trained(w))
 
 
+@query("train_comparison", sql("""
+    SELECT unnest(['logistic_regression', 'random_forest', 'gradient_boosting', 'neural_net']) AS model_name,
+           unnest([true, true, true, false]) AS cross_validated, count(*) AS upserted FROM mart""", "mart"))
+def _(w):
+    """The comparison's CV columns, there for three models and in range, beside the customers in the written score table."""
+    t = trained(w)
+    written = t.scores.groupBy("model_name").agg(F.countDistinct("customer_id").alias("upserted"))
+    mean, deviation = F.col("cv_auc_mean"), F.col("cv_auc_std")
+    return t.comparison.join(written, "model_name").select("model_name", F.coalesce(
+        mean.between(0, 1) & deviation.between(0, 0.5), F.lit(False)).alias("cross_validated"), "upserted")
+
+
+_inputs = [*D.MODEL_LABELS, *D.MODEL_NUMBERS]
+
+
+@query("train_importance", f"SELECT unnest({_inputs}) AS feature, true AS in_range")
+def _(w):
+    """Permutation importance of the winner on the test split: a drop of AUC for every input."""
+    drops = train.winner_importance(trained(w), rows_of(w))
+    return drops.select("feature", F.col("auc_drop").between(-1, 1).alias("in_range"))
+
+
 @query("segments_are_nearest", sql("SELECT count(*) AS customers, 0 AS nearer_elsewhere FROM mart", "mart"))
 def _(w):
     """k-means as a fixed point: no customer is nearer to the mean of another segment than to that of its own."""
