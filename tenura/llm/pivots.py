@@ -53,35 +53,56 @@ def pivot_table(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     return vectors.select("vec_id", "dim", "v").mapInArrow(run, "vec_id long, dim int, v binary, d binary")
 
 
+def _bounds(q: np.ndarray, q_far: np.ndarray, x: np.ndarray, x_far: np.ndarray) -> np.ndarray:
+    """Upper bounds of the inner products, above any rounding: of the distances too, whose error grows with the
+    pivot's own distance. Where doubles overflow the bound is infinite."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        square = (q * q).sum() + (x * x).sum(axis=1)
+        near = np.abs(x_far - q_far) - (x_far + q_far) * ((len(q) + 8) * 2.0 ** -52)
+        near = np.where(np.isfinite(near) & (near > 0), near, 0.0)
+        near = near.max(axis=1) if near.shape[1] else np.zeros(len(x))
+        bound = (square - near * near) / 2 + square * 1e-9 + 1
+    return np.where(np.isnan(bound), np.inf, bound)
+
+
+def _whole(q: np.ndarray, x: np.ndarray) -> list[int]:
+    """Inner products by whole numbers of any size, held at the range's end."""
+    a = [int(c) for c in q]
+    return [max(-LONG - 1, min(LONG, sum(c * int(d) for c, d in zip(a, row)))) for row in x]
+
+
 def top_of_block(q: np.ndarray, q_far: np.ndarray, x: np.ndarray, x_far: np.ndarray, ids: np.ndarray, own: int, k: int,
                  step: int = 256) -> tuple[np.ndarray, np.ndarray, int]:
-    """Ids and scores of the k best rows of x for q, ties to the smaller id, and how many were evaluated."""
-    near = np.abs(x_far - q_far).max(axis=1) if x_far.shape[1] else np.zeros(len(x))
-    square = (q * q).sum() + (x * x).sum(axis=1)
-    bound = (square - near * near) / 2 + square * 1e-9 + 1  # above any rounding of the distances
+    """Ids and scores of the k best rows of x for q, ties to the smaller id, and how many were evaluated. Only rows
+    whose product may round in doubles are evaluated by whole numbers."""
+    bound = _bounds(q, q_far, x, x_far)
     bound[ids == own] = -np.inf
     order = np.argsort(-bound, kind="stable")
-    got_ids, got, seen = np.zeros(0, np.int64), np.zeros(0), 0
-    for at in range(0, len(order), step):
-        part = order[at:at + step]
+    with np.errstate(over="ignore"):
+        rounds = np.abs(x).max(axis=1, initial=0.0) * np.abs(q).max(initial=0.0) * x.shape[1] >= EXACT
+    got_ids, got, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    at, size = 0, step
+    while at < len(order):
+        size = min(size, 16) if rounds[order[at]] else step       # whole numbers are slow: fewer at a time
+        part = order[at:at + size]
+        at += size
         part = part[bound[part] > -np.inf]
-        if not len(part) or len(got) == k and bound[part[0]] < got[-1]:
+        # int() because a bound is compared with the exact score, not with its double; a score at the range's
+        # lower end may stand for a smaller one
+        if not len(part) or len(got) == k and got[-1] > -LONG - 1 and bound[part[0]] < int(got[-1]):
             break
-        got_ids, got = np.r_[got_ids, ids[part]], np.r_[got, x[part] @ q]
+        scores = np.zeros(len(part), np.int64)
+        large = rounds[part]
+        scores[~large] = (x[part[~large]] @ q).astype(np.int64)
+        if large.any():
+            scores[large] = _whole(q, x[part[large]])
+        got_ids, got = np.r_[got_ids, ids[part]], np.r_[got, scores]
         seen += len(part)
-        best = np.lexsort((got_ids, -got))[:k]
+        best = np.lexsort((got_ids, ~got))[:k]                    # ~ turns the order round without overflow
         got_ids, got = got_ids[best], got[best]
     return got_ids, got, seen
 
 
-def _exact_scores(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-    """The same by whole numbers of any size, for components so large that doubles would round."""
-    whole = [int(c) for c in q]
-    scored = [(max(-LONG - 1, min(LONG, sum(a * int(b) for a, b in zip(whole, row)))), int(i))
-              for row, i in zip(x, ids) if i != own]
-    return [(i, s) for s, i in sorted(scored, key=lambda t: (-t[0], t[1]))[:k]]
-
-
 def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([(f.name, pa.int64()) for f in FOUND.fields])
     for run in by_task(["dim", "query_block", "block"], batches):
@@ -91,14 +112,10 @@ def _search(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         ids, v, d = run.column("vec_id").to_numpy(), matrix(run.column("v")), matrix(run.column("d"))
         keys = run.column("query_key").to_numpy()
         x, x_far, x_ids = v[~is_query], d[~is_query], ids[~is_query]
-        most = np.abs(v).max() if v.size else 0.0
         rows = []
         for at in np.flatnonzero(is_query).tolist():
-            if most * most * v.shape[1] < EXACT:
-                got_ids, got, _ = top_of_block(v[at], d[at], x, x_far, x_ids, ids[at], k)
-                rows += [(ids[at], keys[at], i, s) for i, s in zip(got_ids.tolist(), got.astype(np.int64).tolist())]
-            else:
-                rows += [(ids[at], keys[at], i, s) for i, s in _exact_scores(v[at], x, x_ids, ids[at], k)]
+            got_ids, got, _ = top_of_block(v[at], d[at], x, x_far, x_ids, ids[at], k)
+            rows += [(ids[at], keys[at], i, s) for i, s in zip(got_ids.tolist(), got.tolist())]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 

@@ -69,3 +69,33 @@ def test_bounds_spare_most_evaluations():
     order = np.lexsort((np.arange(4000), -(x @ x[0])))
     want = [k for k in order if k != 0][:5]
     assert ids.tolist() == want and seen < 2000
+
+
+def test_a_large_component_spares_the_other_rows(monkeypatch):
+    rng = np.random.RandomState(4)
+    centres = rng.normal(size=(20, 8)) * 400
+    x = np.floor(centres[rng.randint(0, 20, 3000)] + rng.normal(size=(3000, 8)) * 4)
+    x = np.floor(x * 400 / np.sqrt((x * x).sum(axis=1, keepdims=True)))
+    x[7] = 2.0 ** 52                                                # one vector beyond doubles, and a pivot
+    x[11, 0] = -2.0 ** 60
+    p = np.r_[pivots.choose_pivots(x, 30), x[[7, 11]]]
+    far = np.sqrt(((x[:, None, :] - p[None]) ** 2).sum(axis=2))
+    ids, whole, counted = np.arange(3000), [[int(c) for c in row] for row in x], []
+    real = pivots._whole
+    monkeypatch.setattr(pivots, "_whole", lambda q, part: counted.append(len(part)) or real(q, part))
+    for at in (0, 1, 7, 11, 500):
+        counted.clear()
+        got, scores, seen = pivots.top_of_block(x[at], far[at], x, far, ids, at, 5)
+        exact = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(whole[at], row)))), k) for k, row in enumerate(whole) if k != at)
+        assert list(zip((-scores.astype(object)).tolist(), got.tolist())) == exact[:5]
+        assert sum(counted) < 3000 and (at in (7, 11) or sum(counted) <= 2)
+
+
+def test_a_far_pivot_does_not_hide_neighbours():
+    rng = np.random.RandomState(5)
+    x = np.floor(rng.normal(size=(600, 8)) * 300)
+    p = np.full((1, 8), 2.0 ** 68)
+    far = np.sqrt(((x[:, None, :] - p[None]) ** 2).sum(axis=2))
+    far[::3] = np.nextafter(far[::3], np.inf)                        # what rounding may do
+    want = [k for k in np.lexsort((np.arange(600), -(x @ x[1]))) if k != 1][:5]
+    assert pivots.top_of_block(x[1], far[1], x, far, np.arange(600), 1, 5, step=8)[0].tolist() == want
