@@ -185,6 +185,111 @@ def _(w):
         (F.sum("targeted").cast("double") / F.count("*").cast("double")).alias("targeted_share"))
 
 
+# Key columns of each written table; every other column is compared cell by cell.
+KEYS = {"dim_contract": ["contract_key"], "dim_payment": ["payment_key"], "dim_internet": ["internet_key"], "dim_tenure_band": ["tenure_band"],
+        "dim_customer": ["customer_id"], "fact_subscription": ["customer_id"], "bridge_customer_service": ["customer_id", "service_name"],
+        "fact_churn_score": ["customer_id", "model_name"], "dim_segment": ["customer_id"], "clean": ["customer_id"]}
+
+
+def _cells(df, name):
+    """Rows (table_name, row_key, column_name, value) of every column; doubles as decimals of six digits."""
+    shown = {c: (half_up(c, 6).cast("decimal(28,6)") if t == "double" else
+                 F.when(F.col(c).isNotNull(), "there") if t == "timestamp" else F.col(c)).cast("string")      # the time is that of the run
+             for c, t in df.dtypes if c not in KEYS[name]}
+    return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *KEYS[name]).alias("row_key"),
+                     *[v.alias(c) for c, v in shown.items()]).unpivot(["table_name", "row_key"], list(shown), "column_name", "value")
+
+
+def _all_cells(tables):
+    out = None
+    for name, df in tables.items():
+        out = _cells(df, name) if out is None else out.unionByName(_cells(df, name))
+    return out
+
+
+def _cells_sql(name, source, columns, **other):
+    """The same from the definitions: `columns` as they are, `other` by expression."""
+    shown = {c: c for c in columns} | other
+    names = ", ".join(f"'{c}'" for c in shown)
+    values = ", ".join(f"CAST({v} AS VARCHAR)" for v in shown.values())
+    key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in KEYS[name])
+    return f"SELECT '{name}' AS table_name, {key} AS row_key, unnest([{names}]) AS column_name, unnest([{values}]) AS value FROM {source}"
+
+
+def _six(expr):
+    return f"CAST({r(expr, 6)} AS DECIMAL(28,6))"
+
+
+_dims = {
+    "contracts": "SELECT *, row_number() OVER (ORDER BY contract_type) AS contract_key FROM "
+                 "(SELECT DISTINCT contract AS contract_type, contract_months FROM feat WHERE contract IS NOT NULL)",
+    "payments": "SELECT *, row_number() OVER (ORDER BY payment_method) AS payment_key FROM "
+                "(SELECT DISTINCT payment_method, auto_pay FROM feat WHERE payment_method IS NOT NULL)",
+    "internets": "SELECT *, row_number() OVER (ORDER BY internet_service) AS internet_key FROM "
+                 "(SELECT DISTINCT internet_service FROM feat WHERE internet_service IS NOT NULL)",
+    "bands": "SELECT unnest([" + ", ".join(f"'{b}'" for b, _ in D.TENURE_BANDS) + "]) AS tenure_band, "
+             f"unnest(range(1, {len(D.TENURE_BANDS) + 1})) AS band_order",
+    "facts": "SELECT f.*, contract_key, payment_key, internet_key FROM feat f LEFT JOIN contracts c ON f.contract = c.contract_type "
+             "LEFT JOIN payments p ON f.payment_method = p.payment_method LEFT JOIN internets i ON f.internet_service = i.internet_service",
+}
+_fact_columns = ["contract_key", "payment_key", "internet_key", "tenure", "tenure_band", "phone_service", "multiple_lines",
+                 "paperless_billing", "n_addons", "n_services", "monthly_charges", "total_charges", "churn"]
+_customer_columns = ["gender", "senior_citizen", "partner", "dependents", "family"]
+
+
+def _star_sql(derived):
+    """Cells of the star; with the columns that the BI layer derives, where asked for."""
+    def more(**columns):
+        return columns if derived else {}
+    return [
+        _cells_sql("dim_contract", "contracts", ["contract_type", "contract_months"]),
+        _cells_sql("dim_payment", "payments", ["payment_method", "auto_pay"], **more(payment_short="split_part(payment_method, ' (', 1)")),
+        _cells_sql("dim_internet", "internets", ["internet_service"]),
+        _cells_sql("dim_tenure_band", "bands", ["band_order"]),
+        _cells_sql("dim_customer", "feat", _customer_columns, **more(
+            age_group="CASE senior_citizen WHEN 1 THEN 'Senior' ELSE 'Under 65' END",
+            household="CASE 2 * partner + dependents WHEN 3 THEN 'Partner + dependents' WHEN 2 THEN 'Partner' WHEN 1 THEN 'Dependents' "
+                      "ELSE 'Single' END")),
+        _cells_sql("fact_subscription", "facts", _fact_columns, charge_drift=_six("charge_drift"), **more(
+            status="CASE churn WHEN 1 THEN 'Churned' ELSE 'Active' END")),
+        _cells_sql("bridge_customer_service", "bridge", ["status"], **more(
+            service="list_aggregate(list_transform(string_split(service_name, '_'), lambda x: upper(x[1]) || x[2:]), 'string_agg', ' ')")),
+    ]
+
+
+@query("write_clean_cells", sql(_cells_sql(
+    "clean", "feat", ["gender", "senior_citizen", "partner", "dependents", "tenure", "phone_service", "multiple_lines", "internet_service",
+                      *D.ADDONS, "contract", "paperless_billing", "payment_method", "monthly_charges", "total_charges", "churn",
+                      "has_internet", "multiple_lines_flag", "n_addons", "has_protection_bundle", "auto_pay", "contract_months", "tenure_band", "is_new_customer",
+                      "family", "fiber_no_support", "n_services"],
+    **{c: _six(c) for c in ("avg_historic_charge", "charge_drift", "charge_per_service")}), "feat"))
+def _(w):
+    """Every column of the clean frame, written and read back."""
+    path = work_folder(w.spark, "clean")
+    files.write_clean(w.features(), path)
+    return _cells(w.spark.read.parquet(path), "clean")
+
+
+@query("write_star_cells", sql(" UNION ALL ".join(_star_sql(False)), "feat", "bridge", extra=_dims))
+def _(w):
+    """Every cell of the seven written tables of the star."""
+    folder = _written_star(w)
+    return _all_cells({name: files.read_table(w.spark, folder, name) for name in w.star()})
+
+
+@query("bi_extract_cells", sql(" UNION ALL ".join([
+    *_star_sql(True),
+    _cells_sql("dim_segment", "seg", ["segment_id"], segment_name="'segment ' || segment_id"),
+    _cells_sql("fact_churn_score", "best", ["risk_tier", "split", "targeted"], churn_probability=_six("p"), scored_at="'there'",
+               tier_order="CASE risk_tier WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 ELSE 4 END",
+               probability_bucket=_six("floor(p * 10) / 10")),
+]), "feat", "bridge", "seg", "best", extra=_dims))
+def _(w):
+    """Every cell of the nine BI extracts, typed and with their derived columns."""
+    folder = _bi_folder(w)
+    return _all_cells({name: files.read_bi_extract(w.spark, folder, name) for name in files.BI_TYPES})
+
+
 @query("save_model")
 def _(w):
     """Scores of a saved and reloaded model beside the original's."""
