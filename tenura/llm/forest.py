@@ -1,8 +1,8 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""N-gram Jaccard join by MinHash banding, with exact verification.
 
-Every distinct shingle set has a signature in each of `trees` tries. Two sets are candidates if they share a
-prefix of their signatures in some trie. Prefixes start at full length and are shortened until the expected
-recall at the threshold reaches the target; equal prefixes are runs of the sorted tries. Within a run a
+Every distinct shingle set has `trees` signatures. Two sets are candidates if the first values of a signature are
+equal; how many is one number, the longest whose expected recall at the threshold reaches the target. This fixed
+length stands in for the adaptive descent of an LSH forest, which is not built. Within a run of equal prefixes a
 signature estimate far below the threshold rules pairs out, what is left is clustered, and inside each cluster
 all pairs are verified on the exact shingle sets. Pairs never become rows: tasks return link counts and the
 few edges that connect what they found.
@@ -33,7 +33,7 @@ class Forest:
     recall: float = 0.999
 
     def prefix(self) -> int:
-        """Shorten the matched prefix from full depth until 1 - (1 - t^d)^trees reaches the target recall."""
+        """The longest matched prefix for which 1 - (1 - t^d)^trees reaches the target recall; the same for all rows."""
         d = self.depth
         while d > 1 and 1 - (1 - self.threshold ** d) ** self.trees < self.recall:
             d -= 1
