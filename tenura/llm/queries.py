@@ -249,3 +249,42 @@ def embedding_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     from tenura.llm.multiindex import near_vectors
 
     return near_vectors(table(spark, data_dir, "embeddings"))
+
+
+# -- 11 fill-in-middle --------------------------------------------------------------------------------
+
+FIM_SQL = r"""
+WITH doc AS (
+    SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), E'\n') AS parts,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents
+), counted AS (
+    SELECT *, len(parts) - CAST(parts[len(parts)] = '' AS INTEGER) AS n,
+           list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(hex, k, 8) AS BIGINT)) AS h FROM doc
+), formed AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS lo, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS hi,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100
+                THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM counted
+), cut AS (
+    SELECT *, length(text) - CASE WHEN lo = n THEN 0 ELSE length(array_to_string(parts[lo + 1:], E'\n')) END AS one,
+           length(text) - CASE WHEN hi = n THEN 0 ELSE length(array_to_string(parts[hi + 1:], E'\n')) END AS two FROM formed
+), split AS (
+    SELECT *, substr(text, 1, one) AS p, substr(text, one + 1, two - one) AS m, substr(text, two + 1) AS s FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM split
+"""
+
+
+@query("op11_fim", FIM_SQL)
+def fim(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.fim import fill_in_middle, restored
+
+    out = restored(fill_in_middle(table(spark, data_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
