@@ -288,3 +288,65 @@ def fim(spark: SparkSession, data_dir: str) -> DataFrame:
     out = restored(fill_in_middle(table(spark, data_dir, "documents")))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+# -- 12 personal data ---------------------------------------------------------------------------------
+
+def _places(kind: str, order: int, pattern: str, valid: str, skip: str = "0") -> str:
+    """Matches of a pattern with their places; `m` is the match, `rest` what follows it, `skip` its first characters."""
+    return rf"""
+    SELECT doc_id, {order} AS nth, '{kind}' AS kind, pos + {skip} AS start, pos + length(m) AS stop FROM (
+        SELECT doc_id, m, pos, substr(text, CAST(pos + length(m) + 1 AS BIGINT), 1) AS rest FROM (
+            SELECT doc_id, text, ms[i] AS m, list_sum(list_transform(gaps[:i], lambda g: length(g)))
+                   + coalesce(list_sum(list_transform(ms[:i - 1], lambda x: length(x))), 0) AS pos
+            FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+                SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS gaps FROM doc)))
+    ) WHERE {valid}"""
+
+
+_DIGITS_OF = "string_split(regexp_replace(m, '[^0-9]', '', 'g'), '')"
+_IBAN_OF = "regexp_replace(replace(m, ' ', ''), '^[A-Za-z]{4}:*', '')"
+
+PERSONAL_SQL = rf"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), span AS (
+{_places("email", 1, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true")}
+UNION ALL
+{_places("ip", 2, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 "
+         "OR CAST('0' || right(ltrim(p, '0'), 3) AS INTEGER) > 255)) = 0")}
+UNION ALL
+{_places("card", 3, r"[0-9]([ -]?[0-9])+",
+         f"len({_DIGITS_OF}) BETWEEN 16 AND 19 AND list_sum(list_transform(list_reverse({_DIGITS_OF}), lambda d, k: CASE WHEN k % 2 = 1 "
+         "THEN CAST(d AS INTEGER) ELSE 2 * CAST(d AS INTEGER) - 9 * CAST(CAST(d AS INTEGER) > 4 AS INTEGER) END)) % 10 = 0")}
+UNION ALL
+{_places("phone", 4, r"\+[0-9][ ().0-9-]+[0-9]", f"len({_DIGITS_OF}) BETWEEN 8 AND 15")}
+UNION ALL
+{_places("account", 5, r"(?i)(account|acct)( (number|no\.?))?[:# ]{1,3}[0-9]+", f"len({_DIGITS_OF}) BETWEEN 6 AND 17",
+         "length(regexp_extract(m, '^[^0-9]*'))")}
+UNION ALL
+{_places("iban", 6, r"[Ii][Bb][Aa][Nn][: ]{1,3}[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?",
+         f"NOT regexp_matches(rest, '[A-Za-z0-9]') AND length({_IBAN_OF}) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, "
+         f"list_transform(string_split(substr({_IBAN_OF}, 5) || substr({_IBAN_OF}, 1, 4), ''), "
+         "lambda c: strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1)), "
+         "lambda a, v: CASE WHEN v > 9 THEN (a * 100 + v) % 97 ELSE (a * 10 + v) % 97 END) = 1",
+         "length(regexp_extract(m, '^[A-Za-z]{4}[: ]+'))")}
+UNION ALL
+{_places("url", 7, "[A-Za-z][A-Za-z0-9+.-]*://[A-Za-z0-9._~%!$&''*+,;=:-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)*", "true")}
+), listed AS (
+    SELECT doc_id, nth, start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM span
+)
+SELECT d.doc_id, count(*) FILTER (WHERE nth = 1) AS n_email, count(*) FILTER (WHERE nth = 2) AS n_ip,
+       count(*) FILTER (WHERE nth = 3) AS n_card, count(*) FILTER (WHERE nth = 4) AS n_phone,
+       sha256(coalesce(string_agg(span, ',' ORDER BY nth, start) FILTER (WHERE nth <= 4), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY nth, start), '') AS spans
+FROM documents d LEFT JOIN listed l ON d.doc_id = l.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op12_personal", PERSONAL_SQL)
+def personal(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.personal import BASE_KINDS, count_of, find_personal, listed
+
+    return find_personal(table(spark, data_dir, "documents")).select(
+        "doc_id", *[count_of(k).alias(f"n_{k}") for k in BASE_KINDS],
+        F.sha2(listed(BASE_KINDS), 256).alias("base_sha256"), listed().alias("spans"))
