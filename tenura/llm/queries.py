@@ -350,3 +350,47 @@ def personal(spark: SparkSession, data_dir: str) -> DataFrame:
     return find_personal(table(spark, data_dir, "documents")).select(
         "doc_id", *[count_of(k).alias(f"n_{k}") for k in BASE_KINDS],
         F.sha2(listed(BASE_KINDS), 256).alias("base_sha256"), listed().alias("spans"))
+
+
+# -- 13 source divergence audit -----------------------------------------------------------------------
+
+DIVERGENCE_SQL = r"""
+WITH doc AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), kept AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM doc) GROUP BY ALL HAVING count(*) >= 30
+), grp AS (SELECT DISTINCT lang, source FROM doc),
+occurs AS (
+    SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM doc) SEMI JOIN kept USING (lang, term)
+    GROUP BY ALL
+), dense AS (
+    SELECT lang, source, term, CAST(coalesce(n, 0) AS HUGEINT) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+           count(*) OVER (PARTITION BY lang, source) AS v
+    FROM grp JOIN kept USING (lang) LEFT JOIN occurs USING (lang, source, term)
+), p AS (
+    SELECT lang, source, term, n, 1 + 1000000000 * (n + 5) // CAST(total + 5 * v AS HUGEINT) AS p FROM dense
+), q AS (
+    SELECT lang, term, 1 + 1000000000 * (n + 5) // CAST(total + 5 * v AS HUGEINT) AS q FROM (
+        SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total,
+               count(*) OVER (PARTITION BY lang) AS v FROM dense GROUP BY lang, term)
+), pair AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (SELECT x.lang AS l, x.source AS s, y.source AS r, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y
+               ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL)
+    ON a.lang = l AND a.source = s AND b.source = r
+), both_parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pair
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op13_divergence", DIVERGENCE_SQL)
+def divergence(spark: SparkSession, data_dir: str) -> DataFrame:
+    from tenura.llm.divergence import audit
+
+    return audit(table(spark, data_dir, "documents"))
