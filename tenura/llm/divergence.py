@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.llm.common import by_task, text_column
+from tenura.llm.forest import _sieve
 from tenura.llm.lines import LOWER, UPPER
 from tenura.session import written_table
 
@@ -114,28 +115,44 @@ def terms_of(chunk: Column) -> Column:
     return F.regexp_extract_all(F.translate(chunk, UPPER, LOWER), F.lit(TERM), F.lit(0))
 
 
+def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Postings whose chunk is probably among the wanted ones, by a bitmap of bounded size; a join decides."""
+    def key(df):
+        return df.withColumn("key", F.xxhash64("lang", "chunk"))
+    return _sieve(key(rows), "key", key(wanted).select("key")).drop("key")
+
+
 def term_counts(docs: DataFrame, min_docs: int = 30, sizes: Sizes = Sizes()) -> DataFrame:
     """(lang, source, term, n): occurrences of the terms that at least `min_docs` documents of the language hold.
 
-    A chunk's documents added up over the chunks of a term are at least the term's documents. Where that sum
-    already falls short the term cannot be kept, and its chunks need not meet their counts again.
+    The documents of a term are at least those of one of its chunks and at most those of all its chunks added up.
+    Where one of these bounds decides, the documents need not be united; for the other terms they are, part by part,
+    because a document may hold a term in several chunks.
     """
     spark = docs.sparkSession
     counted = written_table(spark, postings(docs, sizes))
     held = written_table(spark, counted.groupBy("lang", "chunk").agg(F.sum(F.size("docs")).alias("held")))
     apart = held.select("chunk").distinct().select("chunk", terms_of(F.col("chunk")).alias("terms"))
-    term_of = written_table(spark, held.join(apart, "chunk").select("lang", "chunk", "held", F.explode("terms").alias("term")))
-    likely = (term_of.dropDuplicates(["lang", "chunk", "term"]).groupBy("lang", "term").agg(F.sum("held").alias("at_most"))
-              .where(F.col("at_most") >= min_docs).select("lang", "term"))
-    wanted = written_table(spark, term_of.join(likely, ["lang", "term"], "left_semi").select("lang", "chunk", "term"))
-    # a part's documents are united before they are counted: a document may hold a term in several chunks
-    by_part = written_table(spark, (
-        counted.join(wanted, ["lang", "chunk"]).groupBy("lang", "term", "part_of")
-        .agg(F.collect_list("docs").alias("docs"), F.collect_list(F.arrays_zip("sources", "ns")).alias("found"))
-        .select("lang", "term", F.size(F.array_distinct(F.flatten("docs"))).alias("n_docs"), F.flatten("found").alias("found"))))
-    kept = by_part.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-    found = by_part.join(kept.select("lang", "term"), ["lang", "term"], "left_semi").select("lang", "term", F.explode("found").alias("f"))
-    return found.groupBy("lang", F.col("f.sources").alias("source"), "term").agg(F.sum("f.ns").alias("n"))
+    term_of = written_table(spark, (
+        held.join(apart, "chunk").select("lang", "chunk", "held", "terms", F.explode(F.array_distinct("terms")).alias("term"))
+        .select("lang", "chunk", "held", "term", F.size(F.filter("terms", lambda t: t == F.col("term"))).alias("times"))))
+    bounds = written_table(spark, (
+        term_of.groupBy("lang", "term").agg(F.max("held").alias("at_least"), F.sum("held").alias("at_most"))
+        .where(F.col("at_most") >= min_docs)))
+
+    open_terms = bounds.where(F.col("at_least") < min_docs).select("lang", "term")
+    open_chunks = written_table(spark, term_of.join(open_terms, ["lang", "term"], "left_semi").select("lang", "chunk", "term"))
+    united = (
+        _among(counted.select("lang", "chunk", "part_of", "docs"), open_chunks).join(open_chunks, ["lang", "chunk"])
+        .groupBy("lang", "term", "part_of").agg(F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("n_docs"))
+        .groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= min_docs))
+    kept = bounds.where(F.col("at_least") >= min_docs).select("lang", "term").unionByName(united.select("lang", "term"))
+
+    wanted = written_table(spark, term_of.join(kept, ["lang", "term"], "left_semi").select("lang", "chunk", "term", "times"))
+    return (
+        _among(counted.select("lang", "chunk", F.arrays_zip("sources", "ns").alias("found")), wanted).join(wanted, ["lang", "chunk"])
+        .select("lang", "term", "times", F.explode("found").alias("f"))
+        .groupBy("lang", F.col("f.sources").alias("source"), "term").agg(F.sum(F.col("f.ns") * F.col("times")).alias("n")))
 
 
 def share(n: Column, total: Column, v: Column) -> Column:

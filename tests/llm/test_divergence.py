@@ -63,8 +63,8 @@ def test_like_the_definition(spark, sizes):
     rows = rows_of(random.Random(sizes.rows), 150)
     rows += rows[:3] + [(None, "the of of", "en", "a"), (None, None, None, None), (9000, "lonely", "xx", "one"), (9001, "", "yy", "one"),
                         (9002, "words nobody else has", "yy", "two")]
-    for min_docs in (3, 12):
-        assert audit(spark, rows, min_docs, sizes=sizes) == plain(rows, min_docs)
+    min_docs = 3 if sizes.terms == 2 else 12
+    assert audit(spark, rows, min_docs, sizes=sizes) == plain(rows, min_docs)
 
 
 def test_tops_ties_and_empty_tables(spark):
@@ -99,7 +99,7 @@ def test_chunks_of_one_part_by_brute_force():
     want, by_source = defaultdict(set), defaultdict(Counter)
     for k, (_, text, lang, source) in enumerate(rows):
         for chunk in re.split("[\t-\r ]+", text or ""):
-            pieces = chunk.split("-") if len(chunk) > 256 else [chunk]
+            pieces = re.split(r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", chunk) if len(chunk) > 256 else [chunk]
             for piece in pieces:
                 if piece:
                     want[lang, piece].add(k)
