@@ -82,3 +82,29 @@ def blocks(members: DataFrame, member: str) -> DataFrame:
         .withColumn("side", (F.col("own_block") > F.col("other_block")).cast("int"))
         .drop("own_block", "other_block", "n_blocks")
     )
+
+
+class Recent(dict):
+    """Values by key, made when missing. Holds at most `room` of them, in two generations of half that size.
+
+    Keys not seen lately are looked for in the older generation and move over; when the younger one is full it
+    becomes the older one. So what occurs often stays, and what occurred once goes. Long keys are not held.
+    """
+
+    def __init__(self, make, room: int = 600_000, longest: int = 64):
+        super().__init__()
+        self.make, self.half, self.longest, self.old = make, room // 2, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            self.hold(key, value)
+        return value
+
+    def hold(self, key, value) -> None:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value

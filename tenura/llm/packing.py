@@ -5,6 +5,7 @@ subset-sum table over the multiset of lengths finds the fill closest to a window
 many pieces of each length it takes, and the same fill is repeated as often as the counts allow.
 """
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.llm.common import text_column
+from tenura.llm.common import Recent, text_column
 from tenura.session import written_table
 
 PIECES = T.StructType([
@@ -23,31 +24,25 @@ PIECES = T.StructType([
 ])
 
 
-class WordIds(dict):
+class WordIds(Recent):
     """Token ids (little-endian unsigned 32-bit) of a run of characters without space, tab or line feed.
 
-    The tokenizer never joins across white space, so the ids of a text are those of its runs in order.
-    Runs repeat a lot: each is encoded once while the table has room, and the table is emptied when full.
+    The tokenizer never joins across white space, so the ids of a text are those of its runs in order. Runs repeat a
+    lot: those seen lately are not encoded again.
     """
 
-    def __init__(self, path: str, room: int = 600_000):
+    def __init__(self, path: str, room: int = 800_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.room = Tokenizer.from_file(path), room
+        super().__init__(self.alone, room)
+        self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self[""] = b""
 
-    def __missing__(self, run: str) -> bytes:
+    def alone(self, run: str) -> bytes:
         if len(run) > 1 and run[-1] in ",." and "a" <= run[-2] <= "z":
-            ids = self[run[:-1]] + self[run[-1]]  # a mark after a letter is a word of its own
-        else:
-            ids = np.asarray(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.room:
-            self.clear()
-            self[""] = b""
-        if len(run) <= 64:
-            self[run] = ids
-        return ids
+            return self[run[:-1]] + self[run[-1]]  # a mark after a letter is a word of its own
+        ids = self.tokenizer.encode(run, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def of(self, text: str) -> bytes:
         try:

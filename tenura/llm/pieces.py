@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tenura.llm.common import text_column
+from tenura.llm.common import Recent, text_column
 
 SPACE = "▁"
 
@@ -35,10 +35,12 @@ class PieceTable:
                 self.byte[int(text[3:5], 16)] = i
             elif not (lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)):
                 self.piece[i], self.rank[i], self.ids[text] = text, -lib.get_score(i), i
-                self.automaton.add_word(text, (i, len(text)))
-        self.automaton.make_automaton()
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        for i, text in self.piece.items():
+            if self.arising(i):  # no text is encoded with the others
+                self.automaton.add_word(text, (i, len(text)))
+        self.automaton.make_automaton()
 
     def merged(self, text: str) -> tuple[list[int], tuple[int, int] | None]:
         """Merge pair by pair, best rank first, leftmost at equal ranks. Also returns the last merge. For
@@ -66,7 +68,7 @@ class PieceTable:
             self.parts[i] = last if run == [i] else None
         return self.parts[i]
 
-    def arises(self, i: int) -> bool:
+    def arising(self, i: int) -> bool:
         return len(self.piece[i]) == 1 or self.halves(i) is not None
 
     def compatible(self, a: int, b: int) -> bool:
@@ -78,7 +80,7 @@ class PieceTable:
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 1_500_000:
+            if len(self.pairs) >= 1_500_000:  # a bound on memory; far more than the pairs that are common
                 self.pairs.clear()
             known = self.pairs[key] = self._stay(a, b)
         return known
@@ -103,20 +105,19 @@ class PieceTable:
     def encode(self, text: str) -> list[int]:
         """Ids of a text whose spaces are already written as the space mark."""
         n = len(text)
-        last: list[int] = [-1] * (n + 1)  # -2: a character without a piece
+        last: list[int] = [-1] * (n + 1)  # -1: nothing ends here, so a character without a piece, or the start
         length = [1] * (n + 1)
-        reached = 0
+        pairs = self.pairs
         for end, (token, size) in self.automaton.iter(text):
             end += 1
-            while reached < end - 1:  # ends that no piece reached
-                reached += 1
-                if last[reached] == -1:
-                    last[reached] = -2
-            if last[end] != -1 or not self.arises(token):
+            if last[end] >= 0:
                 continue
             before = last[end - size]
-            if end == size or before == -2 or before >= 0 and self.compatible(before, token):
-                last[end], length[end] = token, size
+            if before >= 0:
+                stay = pairs.get((before, token))
+                if not (self.compatible(before, token) if stay is None else stay):
+                    continue
+            last[end], length[end] = token, size
         ids, at = [], n
         while at:
             if last[at] >= 0:
@@ -129,34 +130,25 @@ class PieceTable:
         return ids
 
 
-class Runs(dict):
-    """Decimal ids, each after a comma, of a run of text; a run is a word with the space before it.
-
-    No piece holds a space mark after another character or a line feed, so runs are encoded apart. Each is
-    encoded once while the table has room, and the table is emptied when full.
-    """
-
-    def __init__(self, table: PieceTable, before: str, room: int = 600_000):
-        self.table, self.before, self.room = table, before, room
-
-    def __missing__(self, run: str) -> bytes:
-        ids = self.table.encode(self.before + run)
-        text = b"".join(b",%d" % i for i in ids)
-        if len(self) >= self.room:
-            self.clear()
-        if len(run) <= 64:
-            self[run] = text
-        return text
-
-
 class Encoder:
+    """Decimal ids of texts. No piece holds a space mark after another character or a line feed, so runs (a word with
+    the space before it) are encoded apart, and what was seen lately is not encoded again."""
+
     def __init__(self, path: str):
         self.table = PieceTable(path)
-        self.word, self.bare = Runs(self.table, SPACE), Runs(self.table, "")
         pieces = self.table.ids
+        joined = {b for p in pieces for a, b in zip(p, p[1:]) if a.isalpha()}
+        self.marks = "".join(c for c in ".,;:!?" if c in pieces and c not in joined)
+        self.word = Recent(lambda run: self.made(SPACE + run, self.word, run), 1_200_000)
+        self.bare = Recent(lambda run: self.made(run, self.bare, run))
         apart = all(SPACE not in p.lstrip(SPACE) and "\n" not in p for p in pieces)
         self.split = apart and SPACE in pieces
 
+    def made(self, text: str, known: Recent, run: str) -> bytes:
+        if len(run) > 1 and run[-1] in self.marks and run[-2].isalpha():
+            return known[run[:-1]] + self.bare[run[-1]]  # no piece holds a letter with this mark after it
+        return b"".join(b",%d" % i for i in self.table.encode(text))
+
     def ids_text(self, text: str) -> bytes:
         """Ids of a text as decimals, a comma before each. Empty text has none."""
         if not text:

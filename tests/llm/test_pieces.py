@@ -48,7 +48,7 @@ def test_last_token_of_every_prefix_is_the_library_s(both):
 def test_compatible_pairs_are_those_that_stay(both):
     table = both[0].table
     rng = random.Random(4)
-    every = [i for i in table.piece if table.arises(i) and all(c in table.ids for c in table.piece[i])]
+    every = [i for i in table.piece if table.arising(i) and all(c in table.ids for c in table.piece[i])]
     for _ in range(4000):
         a, b = rng.choice(every), rng.choice(every)
         assert table.compatible(a, b) == (table.merged(table.piece[a] + table.piece[b])[0] == [a, b])
