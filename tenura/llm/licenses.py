@@ -56,7 +56,8 @@ class Scanner:
         import regex
 
         self.notices = notices
-        self.patterns = [regex.compile(f"(?e)(?:{regex.escape(n.words)}){{e<={n.errors}}}") for n in notices]
+        # for as many words as the notice has; no edit puts a space in, so edits lie inside words
+        self.patterns = [regex.compile(f"(?b)(?:{n.words}){{e<={n.errors}:[^ ]}}") for n in notices]
         found: dict[str, list[tuple[int, int]]] = {}
         for k, n in enumerate(notices):
             for offset, piece in pieces(n.words, n.errors):
@@ -67,14 +68,18 @@ class Scanner:
         self.seeds.make_automaton()
 
     def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """For each notice the stretches of text in which a match can lie, merged where they overlap."""
+        """For each notice the stretches of text, whole words, in which a match can lie, merged where they overlap."""
         out: dict[int, list[list[int]]] = {}
         for end, (size, uses) in self.seeds.iter(text):
             for k, offset in uses:
                 n = self.notices[k]
                 start = end + 1 - size - offset
-                a, b = max(0, start - n.errors), min(len(text), start + len(n.words) + n.errors)
                 held = out.setdefault(k, [])
+                a, b = max(0, start - n.errors), min(len(text), start + len(n.words) + n.errors)
+                if held and b <= held[-1][1] and a >= held[-1][0]:
+                    continue
+                a, b = text.rfind(" ", 0, a + 1) + 1, text.find(" ", b)
+                b = len(text) if b < 0 else b
                 while held and a <= held[-1][1]:
                     c, d = held.pop()
                     a, b = min(a, c), max(b, d)
@@ -89,7 +94,7 @@ class Scanner:
         """
         out = []
         for k, held in self.windows(text).items():
-            words, pattern = self.notices[k].words, self.patterns[k]
+            words = self.notices[k].words
             for a, b in held:
                 at, exact = text.find(words, a, b), []
                 while at >= 0:
@@ -99,11 +104,24 @@ class Scanner:
                 out += [(k, at, at + len(words), 0) for at in exact]
                 edges = [a, *[x for at in exact for x in (at, at + len(words))], b]
                 for lo, hi in zip(edges[::2], edges[1::2]):
-                    if hi - lo >= len(words) - self.notices[k].errors:
-                        out += [(k, m.start(), m.end(), sum(m.fuzzy_counts))
-                                for m in pattern.finditer(text, lo, hi) if m.end() > m.start()]
+                    out += [(k, m.start(), m.end(), sum(m.fuzzy_counts)) for m in self.near(k, text, lo, hi)]
         return sorted(out, key=lambda m: (m[1], m[0], m[2]))
 
+    def near(self, k: int, text: str, lo: int, hi: int) -> Iterator:
+        """Matches with errors of a notice inside text[lo:hi], from left to right, none over another."""
+        n = self.notices[k]
+        edges = [lo]
+        while edges[-1] < hi:
+            edges.append(text.find(" ", edges[-1] + 1, hi) if edges[-1] + 1 < hi else hi)
+            edges[-1] = hi if edges[-1] < 0 else edges[-1]
+        n_words, i = n.words.count(" ") + 1, 0
+        while i + n_words < len(edges):
+            start, end = edges[i] + (text[edges[i]] == " "), edges[i + n_words]
+            m = self.patterns[k].fullmatch(text, start, end) if abs(end - start - len(n.words)) <= n.errors else None
+            if m:
+                yield m
+            i += n_words if m else 1
+
     def scan(self, text: str) -> tuple:
         words = text.encode("utf-8", "surrogatepass").translate(_CANON).split()
         canon = b" ".join(words).decode("utf-8", "surrogatepass")
@@ -137,7 +155,8 @@ def scan_licenses(docs: DataFrame, notices=NOTICES) -> DataFrame:
     Texts are scanned whole, as lower-case words joined by single spaces; word positions start at 0. Base
     fields count places where the words of a base notice stand unchanged and consecutively. `labels` also has
     the notices found with errors, `spans` all of them with their edits; of overlapping matches of one notice
-    the regex library's choice is reported. `score` is the best 1 - edits / length, 0 without a match. Null
+    the regex library's choice is reported. A match with errors consists of whole words, as many as the notice
+    has; its edits lie inside them. `score` is the best 1 - edits / length, 0 without a match. Null
     text is empty: no words, null positions, empty labels. Rows are scanned one by one, so repeated rows, null
     ids and further columns change nothing.
     """

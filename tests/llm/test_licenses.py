@@ -35,18 +35,55 @@ def test_errors_are_found_and_counted():
 
 
 def test_every_match_within_the_errors_is_located():
-    """Planted notices with random edits: one piece is always unchanged, so the stretch is always looked at."""
+    """Planted notices with random edits inside words: one piece is always unchanged, so the stretch is always looked at."""
     scanner, rng = Scanner(), random.Random(9)
     for _ in range(1500):
         n = rng.choice(NOTICES)
         text = list(n.words)
         for _ in range(n.errors):
-            k = rng.randrange(len(text))
+            k = rng.choice([k for k, c in enumerate(text) if c != " " and 0 < k < len(text) - 1])
             text[k:k + rng.randint(0, 1)] = rng.choice(["", "q", "z"])
         text = "aaa bbb " + "".join(text) + " ccc ddd"
         assert any(scanner.notices[k] is n for k, *_ in scanner.matches(text)), (n.words, text)
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left = row[0]
+        row[0] = i
+        for j, y in enumerate(b, 1):
+            left, row[j] = row[j], min(left + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def test_labels_like_edit_distances_of_word_windows():
+    """Every window of as many words as a notice, compared with it by brute force."""
+    scanner, rng = Scanner(), random.Random(12)
+    words = sorted({w for n in NOTICES for w in n.words.split()}) + ["permit", "unit", "hall", "licensed", "sublicense", "fees", "mitt", "lisense"]
+    for _ in range(1500):
+        text = rng.choices(words, k=rng.randint(1, 12))
+        n = rng.choice(NOTICES)
+        at = rng.randint(0, len(text))
+        text[at:at] = n.words.split()
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(text))
+            c = rng.randrange(len(text[k]))
+            text[k] = text[k][:c] + rng.choice(["", "q", text[k][c] * 2]) + text[k][c + 1:] or "q"
+        windows = {(n.words, i) for n in NOTICES for w in [n.words.split()] for i in range(len(text) - len(w) + 1)
+                   if sum(distance(x, y) for x, y in zip(w, text[i:i + len(w)])) <= n.errors}
+        found = {(s["notice"], s["first_word"]) for s in scanner.scan(" ".join(text))[7]}
+        assert {n for n, _ in windows} == {n for n, _ in found}, text
+        assert found <= windows, text
+
+
+def test_no_label_from_inside_words():
+    for text in ("permit license fees", "submit license forms", "the unit license", "the ability licensed under the act", "keit licensed under",
+                 "small rights reserved", "mi tlicense", "apachelicense", "overall rights reserved", "general publicity licenses"):
+        assert Scanner().scan(text)[5:7] == ("", 0.0), text
+    assert Scanner().scan("x " * 10 + "a" * 1_000_000 + "mit license" + "b" * 1_000_000)[5] == ""
+
+
 def test_pieces_cover_the_notice():
     assert "".join(p for _, p in pieces("apache license", 3)) == "apache license"
     assert len(pieces("apache license", 3)) == 4
