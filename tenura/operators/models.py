@@ -18,7 +18,7 @@ from tenura.functions import domain as D
 from tenura.functions.numeric import half_up
 from tenura.operators import scoring
 from tenura.operators.ordering import hash_order
-from tenura.session import in_parallel, written_table
+from tenura.session import in_parallel, spread, written_table
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,7 @@ class ModelSettings:
     forest_trees: int = 500
     forest_depth: int = 10
     forest_leaf: int = 10
+    forest_memory_mb: int = 1024    # split statistics that a task holds; what does not fit takes another pass
     boost_rate: float = 0.05
     boost_iterations: int = 400
     boost_depth: int = 4
@@ -99,7 +100,7 @@ def logistic_baseline(train: DataFrame, s: ModelSettings = ModelSettings(), inpu
 
 def random_forest_baseline(train: DataFrame, s: ModelSettings = ModelSettings(), inputs: Inputs = Inputs()) -> Pipeline:
     clf = RandomForestClassifier(numTrees=s.forest_trees, maxDepth=s.forest_depth, minInstancesPerNode=s.forest_leaf,
-                                 featureSubsetStrategy="sqrt", seed=s.seed)
+                                 featureSubsetStrategy="sqrt", maxMemoryInMB=s.forest_memory_mb, cacheNodeIds=True, seed=s.seed)
     return Pipeline(stages=[*feature_stages(train, inputs, scale=False), clf])
 
 
@@ -135,9 +136,13 @@ BUILDERS = {
 
 
 def fit(name: str, train: DataFrame, s: ModelSettings = ModelSettings(), inputs: Inputs = Inputs()) -> PipelineModel:
-    """Fit one model on rows that went through `as_training`."""
-    rows = hold_out(train, s.boost_valid, s.seed) if name == "gradient_boosting" else train
-    return BUILDERS[name](rows, s, inputs).fit(rows)
+    """Fit one model on rows that went through `as_training`. They are dealt anew once, because a small table comes as
+    one file and every pass would run in one task."""
+    rows = spread(hold_out(train, s.boost_valid, s.seed) if name == "gradient_boosting" else train, "customer_id").cache()
+    try:
+        return BUILDERS[name](rows, s, inputs).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def with_probability(model: Transformer, df: DataFrame, out: str = "p") -> DataFrame:

@@ -1,14 +1,13 @@
 """Customer segments: scaling, k-means, profile and readable names."""
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tenura.functions import domain as D
 from tenura.functions.numeric import mean_of
-from tenura.session import in_parallel, written_table
+from tenura.operators import clusters
+from tenura.session import spread, written_table
 
 SCALED = [f"z_{c}" for c in D.SEGMENT_FEATURES]
 
@@ -33,49 +32,41 @@ def segment_vectors(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=SCALED, outputCol="z").transform(segment_features(df))
 
 
-def kmeans_task(vectors: DataFrame, k: int, seed: int):
-    return lambda: KMeans(k=k, featuresCol="z", predictionCol="cluster", seed=seed, maxIter=100).fit(vectors)
-
-
-def fit_kmeans(vectors: DataFrame, ks: list[int], starts: int, seed: int) -> dict[int, KMeansModel]:
-    """Per k the best of several starts by within-cluster cost; the fits run side by side."""
+def best_runs(points: DataFrame, ks: list[int], starts: int, seed: int, key: str = "customer_id") -> dict[int, clusters.Run]:
+    """Per k the best of several starts by within-cluster cost; all runs move in the same scans."""
     asked = [(k, seed + i) for k in ks for i in range(starts)]
-    fits = in_parallel([kmeans_task(vectors, k, s) for k, s in asked])
-    return {k: min((m for (mk, _), m in zip(asked, fits) if mk == k), key=lambda m: m.summary.trainingCost)
-            for k in ks}
+    runs = clusters.fit_all(points, SCALED, asked, key)
+    return {k: min((run for (mk, _), run in zip(asked, runs) if mk == k), key=lambda run: run.cost) for k in ks}
 
 
-def scan_k(df: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
-    """Cost and silhouette per number of clusters. The silhouette is Spark's (squared distance),
-    computed over all customers rather than a sample."""
-    vectors = segment_vectors(df).select("z").cache()
+def scan_k(df: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42, key: str = "customer_id") -> DataFrame:
+    """Cost and silhouette (squared distances, all customers) per number of clusters."""
+    points = spread(segment_features(df).select(key, *SCALED), key).cache()
     try:
-        best = fit_kmeans(vectors, list(ks), starts, seed)
-
-        def judge(model):
-            rater = ClusteringEvaluator(featuresCol="z", predictionCol="cluster")
-            return lambda: rater.evaluate(model.transform(vectors))
-
-        scores = in_parallel([judge(m) for m in best.values()])
+        best = best_runs(points, list(ks), starts, seed, key)
+        scores = clusters.silhouettes(points, SCALED, list(best.values()))
     finally:
-        vectors.unpersist()
-    rows = [(int(k), float(m.summary.trainingCost), float(s)) for (k, m), s in zip(best.items(), scores)]
+        points.unpersist()
+    rows = [(int(k), float(run.cost), float(s)) for (k, run), s in zip(best.items(), scores)]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def segment_customers(df: DataFrame, k: int = 4, starts: int = 20, seed: int = 42) -> DataFrame:
-    """Cluster number per customer, numbered by mean tenure so that reruns agree."""
+def segment_customers(df: DataFrame, k: int = 4, starts: int = 20, seed: int = 42, key: str = "customer_id") -> DataFrame:
+    """Cluster number per customer, numbered by mean tenure so that reruns agree. Centres are a few numbers; each
+    customer compares them in plain columns."""
     vectors = segment_vectors(df)
-    training = vectors.select("z").cache()
+    points = spread(vectors.select(key, *SCALED), key).cache()
     try:
-        model = fit_kmeans(training, [k], starts, seed)[k]
+        run = best_runs(points, [k], starts, seed, key)[k]
+        if len(run.centres):
+            run = clusters.settle(points, SCALED, {0: run.centres})[0]      # the chosen one as a close fixed point
     finally:
-        training.unpersist()
+        points.unpersist()
     position = D.SEGMENT_FEATURES.index("tenure")
-    order = sorted(range(k), key=lambda c: model.clusterCenters()[c][position])
-    number = {old: new for new, old in enumerate(order)}
-    ids = F.create_map(*[x for old, new in number.items() for x in (F.lit(old), F.lit(new))])
-    return model.transform(vectors).withColumn("segment_id", ids[F.col("cluster")]).drop("cluster")
+    centres = run.centres[run.centres[:, position].argsort(kind="stable")]
+    if not len(centres):
+        return vectors.withColumn("segment_id", F.lit(None).cast("int"))
+    return vectors.withColumn("segment_id", clusters.nearest(SCALED, centres))
 
 
 def segment_projection(vectors: DataFrame, key: str = "customer_id") -> DataFrame:
