@@ -1,19 +1,23 @@
-"""N-gram Jaccard join by MinHash banding, with exact verification.
-
-Every distinct shingle set has `trees` signatures. Two sets are candidates if the first values of a signature are
-equal; how many is one number, the longest whose expected recall at the threshold reaches the target. This fixed
-length stands in for the adaptive descent of an LSH forest, which is not built. Within a run of equal prefixes a
-signature estimate far below the threshold rules pairs out, what is left is clustered, and inside each cluster
-all pairs are verified on the exact shingle sets. Pairs never become rows: tasks return link counts and the
-few edges that connect what they found.
+"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+
+Every distinct shingle set has one label in each of `trees` tries: an ordered signature of one-byte values. A set
+first matches whole labels. Level by level its matched prefixes are shortened, tree by tree, until the recall
+expected for a partner at the threshold reaches the target; prefixes that a crowd of sets shares stay long as
+long as other trees can make up for them. Two sets are candidates if one of them has matched the other's label.
+Within a run of equal prefixes a signature estimate far below the threshold rules pairs out, what is left is
+clustered, and inside each cluster all pairs are verified on the exact shingle sets. Pairs never become rows:
+tasks return link counts and the few edges that connect what they found.
 """
 
+import math
+
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,16 +28,39 @@ from tenura.session import written_table
 
 @dataclass(frozen=True)
 class Forest:
-    """`trees` tries over signatures of `depth` values; `words` per shingle; `threshold` on Jaccard."""
+    """`trees` tries (at most 63) over labels of `depth` values (at most 8); `words` per shingle; `threshold` on
+    Jaccard. A prefix that more than `crowd` sets share is shortened to last, whatever `crowd` is the recall is met."""
 
     words: int = 5
     threshold: float = 0.8
     trees: int = 24
     depth: int = 8
     recall: float = 0.999
+    crowd: int = 256
+
+    def missed(self, depths: list[int]) -> float:
+        """Share of partners at the threshold that prefixes of these lengths, one in each tree, do not match."""
+        return math.prod(1 - self.threshold ** d for d in depths)
+
+    def widened(self, level: int) -> float:
+        """What shortening one prefix from level + 1 to level leaves of the missed share."""
+        return (1 - self.threshold ** level) / (1 - self.threshold ** (level + 1))
+
+    def ordinary(self) -> list[int]:
+        """Prefix lengths of a set that meets no crowd."""
+        depths = [self.depth] * self.trees
+        for level in range(self.depth - 1, 0, -1):
+            for tree in range(self.trees):
+                if self.missed(depths) <= self.spare():
+                    return depths
+                depths[tree] = level
+        return depths
+
+    def spare(self) -> float:
+        return (1 - self.recall) * (1 + 1e-9)
 
     def prefix(self) -> int:
-        """The longest matched prefix for which 1 - (1 - t^d)^trees reaches the target recall; the same for all rows."""
+        """The longest prefix that reaches the target recall if all trees match it: 1 - (1 - t^d)^trees."""
         d = self.depth
         while d > 1 and 1 - (1 - self.threshold ** d) ** self.trees < self.recall:
             d -= 1
@@ -105,61 +132,127 @@ def signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 SIGNED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("n_shingles", T.LongType()),
-    T.StructField("node", T.BinaryType()), T.StructField("prefixes", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
+    T.StructField("node", T.BinaryType()), T.StructField("labels", T.ArrayType(T.LongType()))])
 
 
 def _sign(forest: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = forest.permutations()
-    d = forest.prefix()
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
-                        ("prefixes", pa.list_(pa.int64())), ("sketch", pa.binary())])
-    weigh = mixed(np.arange(1, d + 1, dtype=np.uint64))
+                        ("labels", pa.list_(pa.int64()))])
+    label = np.zeros((forest.trees, 8), np.uint8)
     for batch in batches:
         rows = []
         for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             s = shingles(text.as_py(), forest.words)
             if not len(s):
-                rows.append((doc_id, key, 0, None, None, None))
+                rows.append((doc_id, key, 0, None, None))
                 continue
             node = np.array([mixed(s * np.uint64(3)).sum(), mixed(s + np.uint64(77)).sum()], np.uint64).tobytes()
             low = mixed(signature(s, a, b)).reshape(forest.trees, forest.depth)
-            prefixes = mixed((low[:, :d] * weigh).sum(axis=1)).view(np.int64)
-            rows.append((doc_id, key, len(s), node, prefixes.tolist(), (low & np.uint64(255)).astype(np.uint8).tobytes()))
+            label[:, :forest.depth] = low & np.uint64(255)
+            rows.append((doc_id, key, len(s), node, label.view(">i8").ravel().tolist()))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
 def sign(docs: DataFrame, forest: Forest) -> DataFrame:
-    """One row per row of docs: its id, a hash of its text, the 128-bit digest of its shingle set (`node`), its
-    trie prefixes and a one-byte sketch of each signature value."""
+    """One row per row of docs: its id, a hash of its text, the 128-bit digest of its shingle set (`node`), and its
+    labels: one number for each tree, whose bytes from the highest on are the values of the ordered signature."""
     text = text_column(docs)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     return rows.mapInArrow(lambda b: _sign(forest, b), SIGNED)
 
 
+def _prefix(label: str, level: str | int) -> Column:
+    return F.expr(f"shiftrightunsigned({label}, 64 - 8 * {level})")
+
+
+def match(bare: DataFrame, forest: Forest) -> DataFrame:
+    """node, labels, depths: the length of the prefix that each set matches in each tree.
+
+    All start at whole labels. At each level those whose recall is not met yet shorten their prefixes to it, tree by
+    tree and no more trees than needed, but not in trees where a crowd shares that prefix. A set for which only
+    crowds are left takes `Forest.prefix()` everywhere, which meets the target by itself. How far a set goes depends on
+    nothing about one partner: a partner changes the size of a run by one, and only sizes beyond `crowd` count.
+    Every level is a written table; rows are the sets still open, and the crowds are few against the labels.
+    """
+    spark = bare.sparkSession
+    leaves = bare.select(F.posexplode("labels").alias("tree", "label")).groupBy("tree", "label").agg(F.count("*").alias("n"))
+    leaves = written_table(spark, leaves)
+    whole = [forest.depth] * forest.trees
+    rows = bare.select("node", "labels", F.array(*map(F.lit, whole)).alias("depths"), F.lit(forest.missed(whole)).alias("missed"))
+    done = []
+    for level in range(forest.depth - 1, 0, -1):
+        crowds = leaves.groupBy("tree", _prefix("label", level).alias("prefix")).agg(F.sum("n").alias("n"))
+        crowds = written_table(spark, crowds.where(F.col("n") > forest.crowd).select("tree", "prefix"))
+        at = rows.select("node", F.posexplode("labels").alias("tree", "label"))
+        at = at.select("node", "tree", _prefix("label", level).alias("prefix")).join(crowds, ["tree", "prefix"])
+        crowded = written_table(spark, at.groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("crowded")))
+        left = F.log(F.lit(forest.spare()) / F.col("missed")) / math.log(forest.widened(level))
+        rows = rows.join(crowded, "node", "left").withColumn("free", F.expr(
+            f"filter(sequence(0, {forest.trees - 1}), i -> (coalesce(crowded, 0L) & shiftleft(1L, i)) = 0)"))
+        rows = rows.withColumn("taken", F.slice("free", F.lit(1), F.greatest(F.lit(0), F.ceil(left)).cast("int")))
+        rows = rows.select(
+            "node", "labels", F.expr(f"transform(depths, (d, i) -> if(array_contains(taken, i), {level}, d))").alias("depths"),
+            (F.col("missed") * F.pow(F.lit(forest.widened(level)), F.size("taken"))).alias("missed"),
+            (F.size("free") > 0).alias("more"))
+        rows = written_table(spark, rows)
+        met = F.col("missed") <= forest.spare() * (1 + 1e-9)
+        done.append(rows.where(met).select("node", "labels", "depths"))
+        done.append(_all_at_prefix(rows.where(~met & ~F.col("more")), forest))
+        rows = rows.where(~met & F.col("more")).drop("more")
+        if rows.isEmpty():
+            return reduce(DataFrame.union, done)
+    return reduce(DataFrame.union, [*done, _all_at_prefix(rows, forest)])
+
+
+def _all_at_prefix(rows: DataFrame, forest: Forest) -> DataFrame:
+    return rows.select("node", "labels", F.expr(f"transform(depths, d -> least(d, {forest.prefix()}))").alias("depths"))
+
+
+def runs(matched: DataFrame, forest: Forest) -> DataFrame:
+    """run, node, active: the sets that share a matched prefix. Active ones matched it themselves; the others have longer
+    matches in that tree but lie below the prefix.
+
+    Only sets that met crowds match prefixes shorter than others do, so others look for runs of theirs alone.
+    """
+    special = F.col("depths") != F.array(*map(F.lit, forest.ordinary()))
+    at = matched.select("node", special.alias("special"), F.posexplode(F.arrays_zip("labels", "depths")).alias("tree", "at"))
+    at = at.select("node", "special", "tree", F.col("at.labels").alias("label"), F.col("at.depths").alias("depth"))
+    own = at.select("node", "special", F.xxhash64("tree", "depth", _prefix("label", "depth")).alias("run"), F.lit(True).alias("active"))
+    above = at.where("depth > 1").select("node", "tree", "label", F.explode(F.expr("sequence(1, depth - 1)")).alias("level"))
+    above = above.select("node", F.xxhash64("tree", "level", _prefix("label", "level")).alias("run"), F.lit(False).alias("active"))
+    above = _sieve(above, "run", own.where("special").select("run"))
+    return own.select("run", "node", "active").unionByName(above)
+
+
 def _edge_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
 def _close(forest: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of trie runs to the edges that connect members whose sketches agree enough."""
+    """Cells of trie runs to the edges that connect members, one of them active, whose labels agree enough."""
     least = (forest.floor() + (1 - forest.floor()) / 256) * forest.trees * forest.depth
     width = forest.trees * forest.depth
     out: list[tuple[bytes, bytes]] = []
-    for run in by_task(["tree", "prefix", "block_i", "block_j"], batches):
+    for run in by_task(["run", "block_i", "block_j"], batches):
         n = run.num_rows
         if n < 2:
             continue
         nodes = run.column("node").to_pylist()
         side = run.column("side").to_numpy()
         cross = run.column("block_i")[0].as_py() != run.column("block_j")[0].as_py()
-        sketch = np.frombuffer(b"".join(run.column("sketch").to_pylist()), np.uint8).reshape(n, width)
+        active = run.column("active").to_numpy()
+        labels = run.column("labels").combine_chunks().flatten().to_numpy().astype(">i8")
+        sketch = labels.view(np.uint8).reshape(n, forest.trees, 8)[:, :, :forest.depth].reshape(n, width)
         groups = Groups(n)
         for k in range(n - 1):
             rest = slice(k + 1, n)
             near = (sketch[rest] == sketch[k]).sum(axis=1) >= least
             if cross:
                 near &= side[rest] != side[k]
+            if not active[k]:
+                near &= active[rest]
             hits = np.flatnonzero(near) + k + 1
             out += [(nodes[x], nodes[y]) for x, y in groups.join(np.full(len(hits), k), hits)]
         if len(out) > 20_000:
@@ -249,20 +342,19 @@ def jaccard_join(docs: DataFrame, forest: Forest = Forest(), cell_rows: int = 1_
         texts.select("node", "doc_id", "text_key").distinct().groupBy("node")
         .agg(F.min(order).alias("who"), F.count("*").alias("copies"))
     )
-    bare = texts.groupBy("node").agg(F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch"),
-                                     F.first("n_shingles").alias("n_shingles"))
+    bare = texts.groupBy("node").agg(F.first("labels").alias("labels"), F.first("n_shingles").alias("n_shingles"))
     bare = written_table(spark, bare)
 
-    # Runs of the tries: nodes that share a prefix with another node.
-    placed = bare.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
-    size = placed.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1")
-    size = size.select("tree", "prefix", F.ceil(F.col("n") / F.lit(2 * cell_rows)).cast("int").alias("n_blocks"))
-    members = placed.join(size, ["tree", "prefix"])
-    members = members.join(bare.select("node", "sketch"), "node")
+    # Runs of the tries: nodes below a prefix that one of them matches.
+    placed = runs(match(bare, forest), forest)
+    size = placed.groupBy("run").agg(F.count("*").alias("n"), F.bool_or("active").alias("opened")).where("n > 1 AND opened")
+    size = size.select("run", F.ceil(F.col("n") / F.lit(2 * cell_rows)).cast("int").alias("n_blocks"))
+    members = placed.join(size, "run")
+    members = members.join(bare.select("node", "labels"), "node")
     cells = blocks(members, "node")
-    keys = ["tree", "prefix", "block_i", "block_j"]
+    keys = ["run", "block_i", "block_j"]
     cells = cells.repartition(*keys).sortWithinPartitions(*keys)
-    near = cells.select(*keys, "side", "node", "sketch").mapInArrow(lambda b: _close(forest, b), "a binary, b binary")
+    near = cells.select(*keys, "side", "node", "active", "labels").mapInArrow(lambda b: _close(forest, b), "a binary, b binary")
     clusters = components(near).select("node", F.col("component").alias("cluster"))
 
     # Exact verification of all pairs in each cluster.

@@ -115,3 +115,61 @@ def test_signatures_agree_as_often_as_sets():
         j = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
         agree = (forest.signature(forest.mixed(x), a, b) == forest.signature(forest.mixed(y), a, b)).mean()
         assert abs(agree - j) < 0.12
+
+
+def boilerplate(seed=7, n=90, common=120):
+    """Texts that share a long passage, too unlike one another to be linked, and near copies of some of them."""
+    rng = random.Random(seed)
+    shared = words(rng, common)
+    rows = [(i, " ".join(shared + words(rng, 60))) for i in range(n)]
+    rows += [(n + i, " ".join(edited(rng, rows[i][1].split(), 3))) for i in range(0, n, 3)]
+    return rows
+
+
+def matched(docs, f):
+    bare = forest.sign(docs, f).where("node IS NOT NULL").select("node", "labels").dropDuplicates(["node"])
+    return forest.match(bare, f).collect()
+
+
+def test_every_set_reaches_the_target_recall(docs_of):
+    for rows, crowd in ((corpus(), 2), (boilerplate(), 2), (boilerplate(), 20), (corpus(), 10**6)):
+        f = Forest(crowd=crowd)
+        got = matched(docs_of(rows), f)
+        assert len(got) == len({r.node for r in got})
+        assert all(f.missed(r.depths) <= f.spare() * (1 + 1e-6) for r in got)
+    assert {tuple(r.depths) for r in got} == {tuple(f.ordinary())}
+
+
+def test_ordinary_prefixes_are_no_longer_than_needed():
+    f = Forest()
+    depths = f.ordinary()
+    assert f.missed(depths) <= 1 - f.recall
+    last = max(k for k, d in enumerate(depths) if d == min(depths))
+    assert f.missed([*depths[:last], depths[last] + 1, *depths[last + 1:]]) > 1 - f.recall
+
+
+def test_prefixes_of_crowds_stay_longer(docs_of):
+    f = Forest(crowd=6)
+    rows = [*boilerplate(n=60, common=200), *[(1000 + r[0], r[1]) for r in corpus()]]
+    got = matched(docs_of(rows), f)
+    size = {}
+    for r in got:
+        for tree, label in enumerate(r.labels):
+            for level in range(1, 9):
+                key = (tree, level, (label % 2**64) >> (64 - 8 * level))
+                size[key] = size.get(key, 0) + 1
+    plain_depth, kept = f.prefix(), 0
+    for r in got:
+        if max(r.depths) > plain_depth:
+            for tree, d in enumerate(r.depths):
+                crowd = size[tree, d, (r.labels[tree] % 2**64) >> (64 - 8 * d)] > f.crowd
+                kept += size[tree, plain_depth, (r.labels[tree] % 2**64) >> (64 - 8 * plain_depth)] > f.crowd and d > plain_depth
+                assert d == f.depth or not crowd    # none was shortened into a crowd
+    assert kept
+
+
+def test_crowds_change_no_result(docs_of):
+    for rows, crowd in ((boilerplate(common=200), 6), (corpus(4), 1)):
+        want = plain(rows)
+        assert sum(r[3] for r in want) > 20
+        assert ours(docs_of(rows), forest=Forest(crowd=crowd), cell_rows=8) == want
