@@ -1,5 +1,8 @@
 """Readers and writers: delimited extracts, warehouse tables, score upserts, BI extracts."""
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tenura.functions import domain as D
@@ -37,8 +40,32 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").cast("string") for h in halves]).alias("fingerprint"))
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}")
+COMMITS = "commits"
+COMMIT_SCHEMA = "number bigint, version string, tables array<string>"
+
+
+def star_commits(spark: SparkSession, folder: str) -> DataFrame:
+    """The versions of a star: number, version (a folder below the star's), tables. Empty where nothing was committed."""
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{folder}/{COMMITS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+
+
+def read_table(spark: SparkSession, folder: str, name: str, number: int | None = None) -> DataFrame:
+    """A table of the star that was committed last, or with that number; of the folder itself where there are no commits.
+
+    The frame keeps reading the version it was opened on, whatever is committed later.
+    """
+    log = star_commits(spark, folder)
+    chosen = (log if number is None else log.where(F.col("number") == number)).orderBy(F.desc("number"), F.desc("version")).first()
+    if chosen is None and number is None:
+        return spark.read.parquet(f"{folder}/{name}")
+    if chosen is None or name not in chosen.tables:
+        raise ValueError(f"{name} is in no committed star of {folder}" + (f" numbered {number}" if number is not None else ""))
+    return spark.read.parquet(f"{folder}/{chosen.version}/{name}")
 
 
 def query(spark: SparkSession, sql: str, tables: dict[str, DataFrame], **params) -> DataFrame:
@@ -53,9 +80,22 @@ def write_clean(df: DataFrame, path: str) -> None:
 
 
 def write_star(tables: dict[str, DataFrame], folder: str) -> None:
-    """Replace all tables of the star. `folder` must not be the place the tables are read from."""
+    """Replace all tables of the star in one commit.
+
+    The tables go into a new version folder; readers find it by the commit log, whose one new row is written last as one file.
+    A load that fails before that leaves the old star as it was, and a star may be built from the one it replaces.
+    Older versions stay for frames that still read them. One load at a time: of two with the same number, the
+    one with the larger version name counts.
+    """
+    if not tables:
+        raise ValueError("a star without tables")
+    spark = next(iter(tables.values())).sparkSession
+    version = f"version-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.parquet(f"{folder}/{version}/{name}")
+    last = star_commits(spark, folder).agg(F.max("number")).first()[0]
+    row = spark.createDataFrame([((last or 0) + 1, version, sorted(tables))], COMMIT_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/{COMMITS}")
 
 
 def write_scores(scores: DataFrame, path: str) -> None:

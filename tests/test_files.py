@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tenura.functions import domain as D
@@ -69,6 +70,40 @@ def test_star_and_bi_round_trip(spark, raw_sample, tmp_path):
     assert "Bank transfer" in {r.payment_short for r in files.read_bi_extract(spark, bi, "dim_payment").collect()}
 
 
+def test_a_load_that_breaks_leaves_the_old_star(spark, tmp_path):
+    folder = str(tmp_path / "star")
+    names = ["a", "b", "c", "d", "e"]
+    files.write_star({n: spark.createDataFrame([(1, n)], "v int, name string") for n in names}, folder)
+    broken = {n: spark.createDataFrame([(2, n)], "v int, name string") for n in names}
+    broken["d"] = broken["d"].withColumn("name", F.when(F.col("v") == 2, F.raise_error(F.lit("no disk"))).otherwise("d"))
+    with pytest.raises(Exception, match="no disk"):
+        files.write_star(broken, folder)                        # three tables are written, the fourth is not
+    assert [(r.v, r.name) for n in names for r in files.read_table(spark, folder, n).collect()] == [(1, n) for n in names]
+    assert files.star_commits(spark, folder).count() == 1
+
+
+def test_a_star_can_be_built_from_the_one_it_replaces(spark, tmp_path):
+    folder = str(tmp_path / "star")
+    files.write_star({"t": spark.range(3), "gone": spark.range(1)}, folder)
+    old = files.read_table(spark, folder, "t")
+    files.write_star({"t": old.where("id > 0")}, folder)
+    assert {r.id for r in files.read_table(spark, folder, "t").collect()} == {1, 2}
+    assert old.count() == 3 and files.read_table(spark, folder, "t", number=1).count() == 3
+    assert [(r.number, r.tables) for r in files.star_commits(spark, folder).orderBy("number").collect()] == [(1, ["gone", "t"]), (2, ["t"])]
+    for name, number in (("gone", None), ("t", 3)):
+        with pytest.raises(ValueError):
+            files.read_table(spark, folder, name, number)
+    with pytest.raises(ValueError):
+        files.write_star({}, folder)
+
+
+def test_a_folder_without_commits_is_read_as_it_is(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "plain" / "t"))
+    assert files.read_table(spark, str(tmp_path / "plain"), "t").count() == 2
+    with pytest.raises(AnalysisException):
+        files.read_table(spark, str(tmp_path / "plain"), "other")
+
+
 def test_insights_without_rows_are_skipped(spark, tmp_path):
     df = spark.range(2)
     assert files.write_insights({"a": df, "b": df.where("id > 5")}, str(tmp_path / "o")) == ["a"]
