@@ -5,6 +5,7 @@ breaks it. All of them are single scans with map-side combined counts.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -196,23 +197,31 @@ def _given(tables: dict[str, DataFrame], name: str) -> DataFrame:
 def check_relationship(tables: dict[str, DataFrame], relationships=D.RELATIONSHIPS) -> DataFrame:
     """Per declared relationship: repeated keys on the one side(s) and orphans on the many side.
 
+    Each table is scanned once. The keys of all relationships and both sides meet in one count per (relationship, key),
+    summed before the shuffle, so a hot key sends one row per task. Keys are compared as text; null keys are no orphans.
     A table that is not given is an error.
     """
-    out = None
-    for child, column, parent, parent_column, kind in relationships:
-        _given(tables, child), _given(tables, parent)
-        name = F.lit(f"{child}.{column} -> {parent}.{parent_column}").alias("relationship")
-        found = check_primary_key(tables[parent], [parent_column]).agg(F.count("*").alias("n")) \
-            .select(name, F.lit("parent_not_unique").alias("problem"), "n")
-        orphans = check_foreign_key(tables[child], column, tables[parent], parent_column) \
-            .agg(F.count("*").alias("n")).select(name, F.lit("orphans").alias("problem"), "n")
-        found = found.unionByName(orphans)
+    sides: dict[str, list] = {}
+    for i, (child, column, parent, parent_column, _) in enumerate(relationships):
+        for table, key, side in ((child, column, "child"), (parent, parent_column, "parent")):
+            _given(tables, table)
+            sides.setdefault(table, []).append(F.struct(
+                F.lit(i).alias("at"), F.col(key).cast("string").alias("key"), F.lit(side).alias("side")))
+    keys = [tables[t].select(F.explode(F.array(*found)).alias("k")).select("k.*") for t, found in sides.items()]
+    counts = reduce(DataFrame.unionByName, keys).groupBy("at", "key").agg(
+        F.count_if(F.col("side") == "child").alias("children"), F.count_if(F.col("side") == "parent").alias("parents"))
+    problems = []
+    for i, (child, column, parent, parent_column, kind) in enumerate(relationships):
+        here = F.col("at") == i
+        lost = here & F.col("key").isNotNull() & (F.col("parents") == 0)
+        found = {"parent_not_unique": F.count_if(here & (F.col("parents") > 1)),
+                 "orphans": F.coalesce(F.sum(F.when(lost, F.col("children"))), F.lit(0))}
         if kind == "one_to_one":
-            repeated = check_primary_key(tables[child], [column]).agg(F.count("*").alias("n")) \
-                .select(name, F.lit("child_not_unique").alias("problem"), "n")
-            found = found.unionByName(repeated)
-        out = found if out is None else out.unionByName(found)
-    return out
+            found["child_not_unique"] = F.count_if(here & (F.col("children") > 1))
+        name = F.lit(f"{child}.{column} -> {parent}.{parent_column}")
+        problems += [F.struct(name.alias("relationship"), F.lit(problem).alias("problem"), n.cast("bigint").alias("n"))
+                     for problem, n in found.items()]
+    return counts.agg(F.array(*problems).alias("found")).select(F.explode("found").alias("f")).select("f.*")
 
 
 def check_bridge_cardinality(bridge: DataFrame, key: str = "customer_id", expected: int = len(D.ADDONS)) -> DataFrame:

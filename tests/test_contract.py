@@ -95,3 +95,15 @@ def test_missing_tables_and_lost_rows_are_errors(spark):
     with pytest.raises(contract.ContractError, match="view: 4"):
         contract.reconcile(tables)
     contract.reconcile({"extract": spark.range(5), "view": spark.range(5)})
+
+
+def test_relationships_are_counted_in_one_shuffle_of_keys(spark):
+    child = spark.createDataFrame([(1,), (1,), (7,), (7,), (None,), (3,)], "k int")
+    parent = spark.createDataFrame([(1,), (3,), (3,), (4,)], "id bigint")
+    pairs = [("c", "k", "p", "id", "one_to_one"), ("p", "id", "c", "k", "many_to_one"), ("none", "k", "p", "id", "many_to_one")]
+    out = contract.check_relationship({"c": child, "p": parent, "none": child.where("k > 99")}, pairs)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted((r.relationship, r.problem, r.n) for r in out.collect()) == [
+        ("c.k -> p.id", "child_not_unique", 2), ("c.k -> p.id", "orphans", 2), ("c.k -> p.id", "parent_not_unique", 1),
+        ("none.k -> p.id", "orphans", 0), ("none.k -> p.id", "parent_not_unique", 1),
+        ("p.id -> c.k", "orphans", 1), ("p.id -> c.k", "parent_not_unique", 2)]
