@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from tenura.session import written_table
 
 CHUNK = 256 * 1024
+ARCHIVE = 64 << 20              # an archive that has grown to this size is closed
+PIECE = 1 << 20                 # inflated at a time
 CHUNKS = T.StructType([
     T.StructField("archive", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("data", T.BinaryType())])
 RECORDS = T.StructType([
@@ -73,10 +75,10 @@ def member(data: bytes) -> bytes:
     return press.compress(data) + press.flush()
 
 
-def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _write(archive_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    archive, chunk, held = TaskContext.get().partitionId(), 0, bytearray()
+    archive, chunk, held = TaskContext.get().partitionId() << 32, 0, bytearray()
     schema = pa.schema([("archive", pa.int64()), ("chunk", pa.int64()), ("data", pa.binary())])
 
     def row(data: bytes) -> pa.RecordBatch:
@@ -90,16 +92,23 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield row(bytes(held[:CHUNK]))
                 del held[:CHUNK]
                 chunk += 1
+            if chunk * CHUNK + len(held) >= archive_bytes:
+                if held:
+                    yield row(bytes(held))
+                archive, chunk, held = archive + 1, 0, bytearray()
     if held:
         yield row(bytes(held))
 
 
-def write_warc(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def write_warc(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE) -> DataFrame:
     """Archives (archive, chunk, data) with one record for each row of `pages` (page_id, url, html).
 
     The payload is the html in UTF-8, null counts as empty. Repeated rows give a record each, all of the
     same type. A null page_id is never referred to and refers to the others like any page. An empty table
     gives no archive. Other columns are not read.
+
+    An archive ends with the record that takes it to `archive_bytes`, so that many tasks share the reading;
+    only a page that is longer itself makes a longer one.
     """
     payload = F.coalesce(F.encode(pages["html"].cast("string"), "UTF-8"), F.lit(b""))
     held = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("uri"),
@@ -109,14 +118,15 @@ def write_warc(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     roles = written_table(pages.sparkSession, payload_roles(held, min_bytes).select(
         F.col("page_id").alias("role_id"), F.col("sha1").alias("role_sha1"), "refers_to"))
     typed = held.join(roles, held["page_id"].eqNullSafe(roles["role_id"]) & (held["sha1"] == roles["role_sha1"]), "left")
-    return typed.select("page_id", "uri", "payload", "refers_to").mapInArrow(_write, CHUNKS)
+    return typed.select("page_id", "uri", "payload", "refers_to").mapInArrow(lambda b: _write(archive_bytes, b), CHUNKS)
 
 
 class RecordReader:
     """Feeds on an archive piece by piece and gives its records in order.
 
-    Each gzip member is inflated as its bytes come; headers end at an empty line, the block has as many
-    bytes as Content-Length says and two line ends follow. Memory: one record.
+    Each gzip member is inflated as its bytes come, `PIECE` bytes at a time; headers end at an empty line, the
+    block has as many bytes as Content-Length says and two line ends follow. Memory: one record and one piece,
+    however far the bytes fed at once inflate. The block of the last record held is handed over uncopied.
     """
 
     def __init__(self):
@@ -124,21 +134,26 @@ class RecordReader:
         self.inside = False  # of a gzip member
         self.head: dict[str, str] = {}
 
-    def feed(self, data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-        while data:
-            self.held += self.inflate.decompress(data)
-            data, self.inside = self.inflate.unused_data, not self.inflate.eof
+    def feed(self, data: bytes) -> Iterator[tuple[dict[str, str], bytearray]]:
+        pending = False         # a full piece may leave more to inflate without more bytes
+        while data or pending:
+            piece = self.inflate.decompress(data, PIECE)
+            self.held += piece
+            self.inside = not self.inflate.eof
             yield from self._records()
-            if self.inflate.eof:
-                if self.held or self.need is not None:
-                    raise ValueError("a gzip member ends inside a record")
-                self.inflate = zlib.decompressobj(31)
+            if self.inside:
+                data, pending = self.inflate.unconsumed_tail, len(piece) == PIECE
+                continue
+            if self.held or self.need is not None:
+                raise ValueError("a gzip member ends inside a record")
+            data, pending = self.inflate.unused_data, False
+            self.inflate = zlib.decompressobj(31)
 
     def close(self) -> None:
         if self.inside or self.held or self.need is not None:
             raise ValueError("the archive ends inside a record")
 
-    def _records(self) -> Iterator[tuple[dict[str, str], bytes]]:
+    def _records(self) -> Iterator[tuple[dict[str, str], bytearray]]:
         while True:
             if self.need is None:
                 end = self.held.find(b"\r\n\r\n")
@@ -152,10 +167,10 @@ class RecordReader:
                 del self.held[:end + 4]
             if len(self.held) < self.need + 4:
                 return
-            block = bytes(self.held[:self.need])
             if self.held[self.need:self.need + 4] != b"\r\n\r\n":
                 raise ValueError("a record's block is longer than its Content-Length")
-            del self.held[:self.need + 4]
+            block, self.held = self.held, self.held[self.need + 4:]
+            del block[self.need:]
             self.need = None
             yield self.head, block
 
@@ -165,7 +180,7 @@ def _page(name: str | None) -> int | None:
     return int(number) if number not in ("", "none") else None
 
 
-def _row(head: dict[str, str], block: bytes) -> tuple:
+def _row(head: dict[str, str], block: bytes, keep: bool = True) -> tuple:
     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
     kind, problem, size = head["WARC-Type"], None, int(head["X-Payload-Length"])
     if kind == "response":
@@ -173,8 +188,10 @@ def _row(head: dict[str, str], block: bytes) -> tuple:
             problem = "digest"
         elif len(block) != size:
             problem = "length"
+    elif block or size < 0:
+        problem = "length"
     return (_page(head["WARC-Record-ID"]), head["WARC-Target-URI"], kind, digest, size,
-            _page(head.get("WARC-Refers-To")), block if kind == "response" else None, problem)
+            _page(head.get("WARC-Refers-To")), bytes(block) if keep and kind == "response" else None, problem)
 
 
 def _read(keep_payload: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +208,7 @@ def _read(keep_payload: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                 reader.close()
                 reader, last = RecordReader(), archive
             for head, block in reader.feed(data.as_py()):
-                row = _row(head, block)
-                rows.append(row if keep_payload else (*row[:6], None, row[7]))
+                rows.append(_row(head, block, keep_payload))
                 size += len(block) * keep_payload
                 if len(rows) >= 1000 or size > 8 << 20:
                     yield out()
@@ -207,7 +223,8 @@ def read_warc(archives: DataFrame, keep_payload: bool = True) -> DataFrame:
 
     Columns: page_id, uri, record_type, payload_digest, payload_bytes, refers_to, payload (null for
     revisits or without `keep_payload`), problem (null, or `digest` or `length` where the payload is not
-    what its header says). Broken framing is an error. An archive is as large as what one task wrote.
+    what its header says). A revisit has no payload, so its length and digest are those of its header.
+    Broken framing is an error. Very long pages: the reader holds one record at a time.
     """
     dealt = archives.repartition("archive").sortWithinPartitions("archive", "chunk")
     return dealt.select("archive", "data").mapInArrow(lambda b: _read(keep_payload, b), RECORDS)
