@@ -63,18 +63,18 @@ class Template:
 
 
 SEGMENTS = T.StructType([
-    T.StructField("conv_id", T.LongType()), T.StructField("state", T.StringType()),
+    T.StructField("conv_id", T.LongType()), T.StructField("part", T.LongType()), T.StructField("state", T.StringType()),
     T.StructField("segments", T.ArrayType(T.StructType([
         T.StructField("text", T.StringType()), T.StructField("loss", T.BooleanType())]))),
 ])
-_segments = pa.schema([("conv_id", pa.int64()), ("state", pa.string()),
+_segments = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("state", pa.string()),
                        ("segments", pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())])))])
 _none = object()
 
 
 def _format(template: Template, part_chars: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted turns to parts of conversations, at most `part_chars` characters and one turn each."""
-    conv, state, held, size, rows, total = _none, "begin", [], 0, [], 0
+    conv, part, state, held, size, rows, total = _none, 0, "begin", [], 0, [], 0
 
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _segments)], schema=_segments)
@@ -82,34 +82,35 @@ def _format(template: Template, part_chars: int, batches: Iterator[pa.RecordBatc
     for batch in batches:
         for conv_id, role, text in zip(*(c.to_pylist() for c in batch.columns)):
             if conv is not _none and conv_id != conv or size > part_chars:
-                rows.append((conv, state, [{"text": t, "loss": f} for t, f in held]))
+                rows.append((conv, part, state, [{"text": t, "loss": f} for t, f in held]))
                 total += size
-                held, size = [], 0
+                part, held, size = part + 1, [], 0
                 if total > 4 << 20:
                     yield out()
                     rows, total = [], 0
             if conv is _none or conv_id != conv:
-                conv, state = conv_id, "begin"
+                conv, part, state = conv_id, 0, "begin"
             state = template.step(state, role)
             turn = template.segments(role, text)
             held += turn
             size += sum(len(t) for t, _ in turn)
     if conv is not _none:
-        rows.append((conv, state, [{"text": t, "loss": f} for t, f in held]))
+        rows.append((conv, part, state, [{"text": t, "loss": f} for t, f in held]))
     if rows:
         yield out()
 
 
 def format_conversations(turns: DataFrame, template: Template = Template(), part_chars: int = 1 << 20) -> DataFrame:
-    """Formatted conversations: rows (conv_id, state, segments array of (text, loss)).
+    """Formatted conversations: rows (conv_id, part, state, segments array of (text, loss)).
 
     Turns are taken in order of turn (null first), ties by role and text; rows repeated in full stay
     repeated. Null text and null role count as empty, and an empty or unknown role is out of turn. Rows
-    with a null conv_id are one conversation. `state` is the state after the part; `broken` if a role came
+    with a null conv_id are one conversation. An empty table gives no row. `state` is the state after the part; `broken` if a role came
     out of turn, in which case the turns are still formatted. Other columns are not read.
 
     A conversation is dealt to one task and streamed in order, as its digest needs. It comes out in parts
-    of bounded size, consecutive rows of its partition, so a very long one never has to fit in memory.
+    of bounded size, numbered from 0 and consecutive in its partition, so a very long one never has to fit
+    in memory.
     """
     rows = turns.select(
         turns["conv_id"].cast("long").alias("conv_id"), turns["turn"].cast("long").alias("turn"),
@@ -144,17 +145,19 @@ def _read_back(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterato
                 yield template.bare_role(role), template.bare(text)
 
     conv = _none
-    n = chars = loss = 0
+    n = chars = loss = expected = 0
     turns_hash = loss_hash = state = None
     rows = []
     for batch in batches:
-        for conv_id, now, segments in zip(*(c.to_pylist() for c in batch.columns)):
+        for conv_id, part, now, segments in zip(*(c.to_pylist() for c in batch.columns)):
             if conv is _none or conv_id != conv:
                 if conv is not _none:
                     rows.append((conv, n, turns_hash.hexdigest(), loss, loss_hash.hexdigest(), chars, state in template.accepting))
-                conv, n, chars, loss = conv_id, 0, 0, 0
+                conv, n, chars, loss, expected = conv_id, 0, 0, 0, 0
                 turns_hash, loss_hash = hashlib.sha256(), hashlib.sha256()
-            state = now
+            if part != expected:
+                raise ValueError(f"part {part} of conversation {conv_id} stands where part {expected} belongs")
+            state, expected = now, expected + 1
             formatted = "".join(s["text"] for s in segments)
             chars += len(formatted)
             for role, text in turns_of(formatted):
@@ -173,8 +176,12 @@ def _read_back(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
+def read_back(formatted: DataFrame, template: Template = Template(), in_order: bool = False) -> DataFrame:
     """Per conversation what its formatted text holds: n_turns, turns_sha256 (role, \\n, text, \\n of each
     turn), loss_chars and loss_sha256 of the unescaped text under the loss mask, formatted_chars, valid
-    (roles in turn). Takes the rows in the order in which `format_conversations` gives them."""
-    return formatted.mapInArrow(lambda b: _read_back(template, b), DIGESTS)
+    (roles in turn). Parts may come in any order and from any table; a missing or repeated one is an error.
+    `in_order` spares the shuffle where the rows come straight from `format_conversations`."""
+    parts = formatted.select("conv_id", "part", "state", "segments")
+    if not in_order:
+        parts = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return parts.mapInArrow(lambda b: _read_back(template, b), DIGESTS)

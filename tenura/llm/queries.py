@@ -146,7 +146,7 @@ def chat_format(spark: SparkSession, data_dir: str) -> DataFrame:
     turns = table(spark, data_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{trap}'), (-1L, 1L, 'assistant', '{trap}') "
                       "AS t(conv_id, turn, role, text)")
-    return read_back(format_conversations(turns.unionByName(extra)))
+    return read_back(format_conversations(turns.unionByName(extra)), in_order=True)
 
 
 # -- 1 license scan -----------------------------------------------------------------------------------

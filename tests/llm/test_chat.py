@@ -1,5 +1,9 @@
 import random
 
+import pytest
+
+from pyspark.sql import functions as F
+
 from llm.conftest import sha
 
 from tenura.llm.chat import Template, format_conversations, read_back
@@ -68,3 +72,14 @@ def test_loss_flags_cover_assistant_texts_alone(spark):
     assert [(s.text, s.loss) for s in row.segments] == [
         ("<|im_start|>user\n", False), ("q", False), ("<|im_end|>\n", False),
         ("<|im_start|>assistant\n", False), ("a", True), ("<|im_end|>\n", False)]
+
+
+def test_parts_come_back_from_a_shuffled_table(spark, tmp_path):
+    rows = [(c, t, ["user", "assistant"][t % 2], f"text {t} " * 5) for c in (1, 2, None) for t in range(60)]
+    formatted = format_conversations(frame(spark, rows), part_chars=60)
+    formatted.orderBy(F.rand(5)).repartition(7).write.parquet(str(tmp_path / "formatted"))
+    again = spark.read.parquet(str(tmp_path / "formatted"))
+    assert sorted([tuple(r)[:5] for r in read_back(again).collect()], key=repr) == plain(rows)
+    assert sorted([tuple(r)[:5] for r in read_back(formatted, in_order=True).collect()], key=repr) == plain(rows)
+    with pytest.raises(Exception, match="stands where part"):
+        read_back(again.where("part <> 3")).collect()
