@@ -67,8 +67,55 @@ def test_swaps_lower_false_positives_on_neutral_mentions(spark, docs_of):
 
 
 def test_swapping_keeps_the_other_words():
-    assert tox.swapped({"the", "muslims", "x"}) - {"the", "x"} < set(tox.IDENTITY_TERMS[1])
-    assert "muslims" not in tox.swapped({"muslims"}) and tox.swapped({"nothing"}) is None
+    twins = tox.swapped({"the", "muslims", "x"})
+    assert len(twins) == len(tox.IDENTITY_TERMS[1]) - 1
+    assert all(t - set(tox.IDENTITY_TERMS[1]) == {"the", "x"} and "muslims" not in t for t in twins)
+    assert set().union(*twins) == {"the", "x", *tox.IDENTITY_TERMS[1]} - {"muslims"} and tox.swapped({"nothing"}) == []
+
+
+def test_texts_without_a_term_are_compared_in_copies():
+    words, twins = tox.counterfactuals({"nothing", "here"})
+    [term] = words - {"nothing", "here"}
+    row = next(r for r in tox.IDENTITY_TERMS if term in r)
+    assert set().union(*twins) - {"nothing", "here"} == set(row) - {term}
+    assert tox.counterfactuals({"nothing", "here"}) == (words, twins)
+    assert tox.counterfactuals({"gay", "x"})[0] == {"gay", "x"}
+
+
+def test_inserted_pairs_act_where_no_text_holds_a_term(spark, docs_of):
+    """Toxic words that begin like a group's name: without pairs a neutral mention takes over their weight."""
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(900):
+        words = [f"word{rng.randint(0, 300)}" for _ in range(rng.randint(5, 60))]
+        bad = i % 3 == 0
+        if bad:
+            words.insert(rng.randrange(len(words)), "muslix" + rng.choice("abcdefgh"))
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    assert not any(tox.swapped(set(t.split())) for _, t in docs)
+    d, lab = frames(spark, docs_of, docs, labels)
+    models = [tox.train(d, lab, swap_penalty=x) for x in (5.0, 0.0)]
+    with_pairs, without = ({r.toxic: r for r in tox.counterfactual_gap(d, lab, m).collect()} for m in models)
+    assert with_pairs[0].pairs == without[0].pairs > 0
+    assert with_pairs[0].mean_gap < 0.5 * without[0].mean_gap
+    out = {r.doc_id: r.predicted for r in tox.score_texts(d, models[0]).collect()}
+    truth = {i: y for i, _, y in labels}
+    assert sum(out[i] == truth[i] for i in truth if held(i)) >= 0.97 * sum(map(held, truth))
+
+
+def test_one_hot_id_does_not_fill_the_sample(spark, docs_of):
+    docs, labels = corpus(300)
+    hot = next(i for i, _, y in labels if y == 0 and not held(i))
+    d, lab = frames(spark, docs_of, docs + [(hot, f"word{k % 300} other{k}") for k in range(3000)], labels + [(hot, 1, 0)] * 500)
+    seen = []
+    fit = tox.fit_weights
+    tox.fit_weights = lambda y, rows, *a, **k: seen.append((len(rows), k["times"].max())) or fit(y, rows, *a, **k)
+    try:
+        tox.train(d, lab, max_rows=400)
+    finally:
+        tox.fit_weights = fit
+    assert seen[0][0] < 600 and seen[0][1] >= 500
 
 
 def test_gradient_is_that_of_the_objective():
