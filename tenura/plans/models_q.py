@@ -8,7 +8,7 @@ from tenura.functions import domain as D
 from tenura.functions import features as X
 from tenura.functions.numeric import half_up
 from tenura.operators import evaluate as E
-from tenura.operators import models, segments, split, train
+from tenura.operators import model_tables, models, segments, split, train
 from tenura.plans.catalog import query
 from tenura.plans.check_sql import r, sql
 from tenura.session import work_folder, written_table
@@ -211,6 +211,40 @@ def _(w):
     return both.agg(F.count("*").alias("customers"), F.count_if(F.col("p_before") == F.col("p_after")).alias("same"))
 
 
+_four = "unnest(['logistic_regression', 'random_forest', 'gradient_boosting', 'neural_net']) AS model_name"
+
+
+@query("models_as_tables", sql(f"SELECT {_four}, count(*) AS customers, count(*) AS same_from_table FROM mart", "mart"))
+def _(w):
+    """Every customer scored by every model from its exported table of nodes or weights, beside the model's own score."""
+    rows = models.as_training(rows_of(w))
+    out = None
+    for name in models.BUILDERS:
+        model = fitted(w, name)
+        own = model.transform(rows).select("customer_id", models.vector_to_array("probability")[1].alias("p"))
+        both = own.join(model_tables.score_from_tables(name, model, rows), "customer_id", "left")
+        one = both.agg(F.lit(name).alias("model_name"), F.count("*").alias("customers"),
+                       F.count_if(F.abs(F.col("p") - F.col("p_table")) <= 1e-9).alias("same_from_table"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("saved_models_agree", sql(f"SELECT {_four}, count(*) AS customers, count(*) AS same FROM mart", "mart"))
+def _(w):
+    """Each of the four models, saved and reloaded, gives every customer the same score."""
+    rows = models.as_training(rows_of(w))
+    out = None
+    for name in models.BUILDERS:
+        path = work_folder(w.spark, "model")
+        models.save_model(fitted(w, name), path)
+        before = models.with_probability(fitted(w, name), rows, "p_before").select("customer_id", "p_before")
+        both = models.with_probability(models.load_model(path), rows, "p_after").select("customer_id", "p_after").join(before, "customer_id")
+        one = both.agg(F.lit(name).alias("model_name"), F.count("*").alias("customers"),
+                       F.count_if(F.col("p_before") == F.col("p_after")).alias("same"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("model_permutation_importance")
 def _(w):
     """Importance of every input of the logistic model on the test split."""

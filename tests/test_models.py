@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenura.operators import evaluate as E
-from tenura.operators import models, segments
+from tenura.operators import model_tables, models, segments
 from tenura.functions import domain as D
 
 TOY = models.Inputs(["contract", "fiber"], ["tenure", "charge"])
@@ -46,6 +46,30 @@ def test_models_learn_the_signal(toy, name, tmp_path):
         assert {r.feature for r in table} == {"contract_1y", "contract_2y", "contract_m2m", "fiber_yes", "tenure", "charge"}
 
 
+@pytest.mark.parametrize("name", list(models.BUILDERS))
+def test_tables_score_like_the_model(toy, name, tmp_path):
+    model = models.fit(name, toy.where("split = 'train'"), QUICK, TOY)
+    own = model.transform(toy).select("customer_id", models.vector_to_array("probability")[1].alias("p"))
+    both = own.join(model_tables.score_from_tables(name, model, toy), "customer_id").collect()
+    assert len(both) == toy.count() and max(abs(r.p - r.p_table) for r in both) < 1e-9
+    assert len({round(r.p_table, 6) for r in both}) > 20
+    models.save_model(model, str(tmp_path / "m"))
+    again = models.with_probability(models.load_model(str(tmp_path / "m")), toy).select("customer_id", F.col("p").alias("q"))
+    assert again.join(models.with_probability(model, toy), "customer_id").where("p <> q").isEmpty()
+
+
+def test_node_table_is_a_set_of_trees(toy):
+    model = models.fit("random_forest", toy, QUICK, TOY)
+    nodes = model_tables.node_table("random_forest", model, toy.sparkSession).cache()
+    assert nodes.columns == model_tables.NODES and nodes.select("tree").distinct().count() == QUICK.forest_trees
+    assert 0 < model_tables.levels_of(nodes) <= QUICK.forest_depth
+    inner = nodes.where("feature IS NOT NULL")
+    assert inner.where("(threshold IS NULL) = (left_values IS NULL)").isEmpty()
+    reached = inner.selectExpr("tree", "explode(array(left, right)) node").groupBy("tree", "node").count()
+    assert reached.where("count <> 1").isEmpty() and reached.count() == nodes.count() - QUICK.forest_trees
+    assert nodes.where("feature IS NULL AND (value IS NULL OR left <> node OR right <> node)").isEmpty()
+
+
 def test_unseen_level_becomes_zeros(toy):
     prepared = models.Pipeline(stages=models.feature_stages(toy, TOY)).fit(toy)
     odd = toy.limit(1).withColumn("contract", F.lit("5y")).withColumn("fiber", F.lit("yes"))
