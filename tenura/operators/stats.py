@@ -4,9 +4,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tenura.functions.numeric import chi2_p_value, normal_two_sided_p
 from tenura.operators.ordering import running_totals
-from tenura.session import work_folder, written_table
+from tenura.session import written_table
 
 EXACT = "decimal(38,0)"
+FEW_VALUES = 128                # ranks of so many values are looked up in a map
 
 
 def cramers_v(df: DataFrame, features: list[str], target: str = "churn", with_p: bool = True) -> DataFrame:
@@ -101,28 +102,43 @@ def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
 def spearman_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rank correlation of every pair of columns, long format (x, y, rho).
 
-    Each feature's ranks are a table of their own, so Catalyst sees its real size: few-valued ones are
-    broadcast and only a continuous one shuffles the rows, with AQE splitting hot values. The built-in
-    correlation of ML buffers all rows of a tied value in one task, which a 0/1 column at scale does not
-    survive.
+    Ranks of columns with few values are one map, looked up where the rows are read. All other columns meet their
+    ranks in one join, a row per value, and come together again by row: two shuffles of rows however many columns
+    there are, with AQE splitting hot values. The built-in correlation of ML buffers all rows of a tied value in
+    one task, which a 0/1 column at scale does not survive.
     """
     spark = df.sparkSession
-    ranks = average_ranks(df, columns)
-    path = work_folder(spark)
-    ranks.write.partitionBy("feature").parquet(path)
-    wide = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    folders = {r["feature"] for r in spark.read.parquet(path).select("feature").distinct().collect()}
-    for c in columns:
-        if c in folders:
-            one = spark.read.schema("value double, rank double").parquet(f"{path}/feature={c}")
-            one = one.select(F.col("value").alias(c), F.col("rank").alias(f"rank_{c}"))
-            wide = wide.join(one, c, "left").drop(c)
-        else:                                       # nothing but nulls
-            wide = wide.withColumn(f"rank_{c}", F.lit(None).cast("double")).drop(c)
-    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    one_row = wide.agg(*[F.corr(f"rank_{x}", f"rank_{y}").alias(f"{x}|{y}") for x, y in pairs])
-    cells = []
-    for x, y in pairs:
-        both = [(x, y)] if x == y else [(x, y), (y, x)]
-        cells += [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{x}|{y}`").alias("rho")) for a, b in both]
-    return one_row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    numbered = written_table(spark, df.select(F.monotonically_increasing_id().alias("_row"),
+                                              *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]))
+    names = [f"_c{i}" for i in range(len(columns))]
+    ranks = written_table(spark, average_ranks(numbered, names))
+    sizes = {r["feature"]: r["n"] for r in ranks.groupBy("feature").agg(F.count("*").alias("n")).collect()}  # a row per column
+    few = [c for c in names if 0 < sizes.get(c, 0) <= FEW_VALUES]
+    many = [c for c in names if sizes.get(c, 0) > FEW_VALUES]
+    looked_up = {c: F.lit(None).cast("double") for c in names}              # stays so for columns of nothing but nulls
+    if few:
+        maps = ranks.where(F.col("feature").isin(few)).agg(F.struct(*[
+            F.map_from_entries(F.collect_list(F.when(F.col("feature") == c, F.struct("value", "rank")))).alias(c) for c in few])).scalar()
+        looked_up |= {c: maps.getField(c)[F.col(c)] for c in few}
+    wide = numbered.select("_row", *[e.alias(f"r{c}") for c, e in looked_up.items()])
+    if many:
+        tall = numbered.select("_row", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in many])).alias("cell")) \
+            .select("_row", "cell.*").where(F.col("value").isNotNull())
+        met = tall.join(ranks, ["feature", "value"]).select("_row", *[
+            F.when(F.col("feature") == c, F.col("rank")).alias(f"r{c}") for c in names])
+        wide = wide.unionByName(met).groupBy("_row").agg(*[F.max(f"r{c}").alias(f"r{c}") for c in names])
+    # One row per pair of columns goes into a partial aggregation by pair: a single correlation to compile, not one per pair.
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
+                                for i in range(len(names)) for j in range(i, len(names))])).alias("pair")
+    cells = wide.select(F.array(*[f"r{c}" for c in names]).alias("r"), pairs) \
+        .select("pair.*", F.col("r")[F.col("pair.i")].alias("a"), F.col("r")[F.col("pair.j")].alias("b"))
+    both_there = cells.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    rho = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))       # null beside a constant column
+    rho = written_table(spark, both_there.groupBy("i", "j").agg(rho.alias("rho")))         # a row per pair
+    name = F.array(*[F.lit(c) for c in columns])
+    both = F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))).alias("cell")
+    # An empty table has every pair, too, without a correlation.
+    return spark.range(1).select(pairs).select("pair.*").join(rho, ["i", "j"], "left").select("rho", both) \
+        .select(name[F.col("cell.i")].alias("x"), name[F.col("cell.j")].alias("y"), "rho")

@@ -84,3 +84,22 @@ def test_constant_feature_scales_to_zero(spark):
     df = spark.createDataFrame([(1, 2.0, 3, 0, 12, 0, 1), (5, 4.0, 3, 1, 1, 1, 1)], D.SEGMENT_FEATURES)
     rows = segments.segment_features(df).collect()
     assert [r.z_n_services for r in rows] == [0, 0] and [round(r.z_tenure, 9) for r in rows] == [-1, 1]
+
+
+def test_spearman_of_odd_columns(spark):
+    """Nulls by pair, a column of nulls, a constant, many and few values, an empty table."""
+    rng = random.Random(7)
+    rows = [(None if i % 7 == 0 else rng.gauss(0, 1), rng.randint(0, 3), None if i % 5 == 0 else rng.randint(0, 400), None, 1.0)
+            for i in range(1500)]
+    schema = "a double, b int, c int, nothing double, same double"
+    names = ["a", "b", "c", "nothing", "same"]
+    got = {(r.x, r.y): r.rho for r in stats.spearman_matrix(spark.createDataFrame(rows, schema), names).collect()}
+    assert set(got) == {(x, y) for x in names for y in names}
+    ranks = pd.DataFrame(rows, columns=names, dtype=float).rank()
+    for x in "abc":
+        for y in "abc":
+            assert abs(got[x, y] - ranks[x].corr(ranks[y])) < 1e-9
+    assert got["a", "nothing"] is None and got["nothing", "nothing"] is None
+    assert got["a", "same"] is None and got["same", "same"] is None
+    none = stats.spearman_matrix(spark.createDataFrame([], schema), names).collect()
+    assert len(none) == 25 and all(r.rho is None for r in none)
