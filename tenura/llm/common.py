@@ -84,6 +84,20 @@ def blocks(members: DataFrame, member: str) -> DataFrame:
     )
 
 
+_tables: dict = {}
+
+
+def worker_table(name, make):
+    """A table that a Python worker keeps from task to task. Workers outlive stages and serve one operator after another,
+    so a worker keeps one table at a time: asking for another one lets the last one go. No maker: just let it go."""
+    if name not in _tables:
+        _tables.clear()
+        if make is None:
+            return None
+        _tables[name] = make()
+    return _tables[name]
+
+
 class Recent(dict):
     """Values by key, made when missing. Holds at most `room` of them, in two generations of half that size.
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.llm.common import Groups, blocks, by_task, text_column
+from tenura.llm.common import Groups, blocks, by_task, text_column, worker_table
 from tenura.llm.graph import components
 from tenura.session import written_table
 
@@ -99,19 +99,13 @@ class WordHashes(dict):
         return h
 
 
-_words = None
-
-
 def shingles(text: str, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of all runs of `size` words (lower case, apart at white space). A text
     of fewer words is one shingle of all of them; a text without words has none."""
-    global _words
-    if _words is None:
-        _words = WordHashes()
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(worker_table(WordHashes, WordHashes).__getitem__, words), np.uint64, len(words))
     n = min(size, len(words))
     out = np.full(len(words) - n + 1, n, np.uint64)
     for k in range(n):

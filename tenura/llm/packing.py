@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.llm.common import Recent, text_column
+from tenura.llm.common import Recent, text_column, worker_table
 from tenura.session import written_table
 
 PIECES = T.StructType([
@@ -28,22 +28,43 @@ class WordIds(Recent):
     """Token ids (little-endian unsigned 32-bit) of a run of characters without space, tab or line feed.
 
     The tokenizer never joins across white space, so the ids of a text are those of its runs in order. Runs repeat a
-    lot: those seen lately are not encoded again.
+    lot: those seen lately are not encoded again. A run that ends in a mark is made of two others, so it is held
+    from its second time on only; `met` has a mark by hash for those met once, and is emptied when a quarter is marked.
     """
 
-    def __init__(self, path: str, room: int = 800_000):
+    def __init__(self, path: str, room: int = 400_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__(self.alone, room)
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = self.tokenizer.model.tokenize
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {c: "".join(x for x, _ in level.pre_tokenize_str(chr(c))) for c in range(128, 256) if chr(c).isalpha()}
+        self.met, self.marked = bytearray(1 << 20), 0
 
     def alone(self, run: str) -> bytes:
-        if len(run) > 1 and run[-1] in ",." and "a" <= run[-2] <= "z":
-            return self[run[:-1]] + self[run[-1]]  # a mark after a letter is a word of its own
-        ids = self.tokenizer.encode(run, add_special_tokens=False).ids
+        if _mark_after_letter(run):
+            return self[run[:-1]] + self[run[-1]]
+        if run.isalpha() and run.islower() and (run.isascii() or max(run) < "\u0100"):
+            # one word to the tokenizer, and nothing in it to normalise: its model alone says the ids
+            ids = [t.id for t in self.pieces(run if run.isascii() else run.translate(self.as_bytes))]
+        else:
+            ids = self.tokenizer.encode(run, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def hold(self, key: str, value: bytes) -> None:
+        if _mark_after_letter(key):
+            at = hash(key) & (len(self.met) - 1)
+            if not self.met[at]:
+                if self.marked >= len(self.met) // 4:
+                    self.met, self.marked = bytearray(len(self.met)), 0
+                self.met[at] = 1
+                self.marked += 1
+                return
+        super().hold(key, value)
+
     def of(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
@@ -55,11 +76,13 @@ class WordIds(Recent):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
-_tables: dict[str, WordIds] = {}
+def _mark_after_letter(run: str) -> bool:
+    """Whether the last character is a mark that is a word of its own."""
+    return len(run) > 1 and run[-1] in ",." and "a" <= run[-2] <= "z"
 
 
 def _cut(path: str, window: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = _tables.get(path) or _tables.setdefault(path, WordIds(path))
+    words = worker_table((WordIds, path), lambda: WordIds(path))
     end = np.asarray([end_id], "<u4").tobytes()
     schema = pa.schema([(f.name, pa.int64()) for f in PIECES.fields])
     for batch in batches:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenura.llm.common import text_column
+from tenura.llm.common import text_column, worker_table
 from tenura.session import written_table
 
 #: Terms for groups of people, swapped for one another inside a row.
@@ -298,6 +298,7 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table("none", None)
         cache = _WordWeights(model.weights)
         for batch in batches:
             keep = [model.score(x.as_py() or "", cache) < 0.5 for x in batch.column(at)]

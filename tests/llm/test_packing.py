@@ -123,3 +123,26 @@ def test_plan_does_not_grow_with_the_number_of_documents():
             assert a == seats[length]
             seats[length] = b + 1
         assert seats == {k: n * f for k, n in counts.items()}
+
+
+def test_table_stays_small_and_new_words_go_to_the_model(library):
+    words = packing.WordIds(PATH)
+    assert words.half <= 200_000  # two workers of an executor keep one each, from task to task
+    calls = []
+    words.tokenizer = type("Counted", (), {"encode": lambda self, run, **how: calls.append(run) or library.encode(run, **how)})()
+    text = "Plainword überquerung, çonen ªº µm ÿ straße. naïve&& l'eau x² don't É."
+    assert np.frombuffer(words.of(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert {"plainword", "überquerung", "çonen", "straße", "ÿ"}.isdisjoint(calls) and "naïve&&" in calls
+    words.of("of, of, of,")
+    assert "überquerung," not in words and "überquerung" in words and "of," in words
+
+
+def test_a_worker_keeps_the_table_of_one_operator():
+    from tenura.llm import common
+    from tenura.llm.forest import WordHashes, shingles
+
+    table = common.worker_table("a", dict)
+    assert common.worker_table("a", dict) is table
+    shingles("one two", 5)
+    assert list(common._tables) == [WordHashes]
+    assert common.worker_table("none", None) is None and not common._tables
