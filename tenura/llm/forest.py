@@ -161,6 +161,42 @@ def _prefix(label: str, level: str | int) -> Column:
     return F.expr(f"shiftrightunsigned({label}, 64 - 8 * {level})")
 
 
+class Crowds:
+    """Prefixes that more than `Forest.crowd` sets share, level by level.
+
+    A prefix can be a crowd only if the shorter prefixes of it are. So all sets are counted at one level, the first
+    at which chance alone makes no crowds; longer prefixes are counted among the sets below the crowds of that level,
+    shorter ones are added up from its counts. Only that one count is shuffled for every set and tree.
+    """
+
+    def __init__(self, bare: DataFrame, forest: Forest):
+        self.spark, self.forest = bare.sparkSession, forest
+        n, self.first = bare.count(), 1
+        while self.first < forest.depth - 1 and 4 * n > forest.crowd * 256 ** self.first:
+            self.first += 1
+        at = bare.select(F.posexplode("labels").alias("tree", "label"))
+        here = at.withColumn("prefix", _prefix("label", self.first))
+        self.counts = written_table(self.spark, here.groupBy("tree", "prefix").agg(F.count("*").alias("n")))
+        crowds = self.counts.where(F.col("n") > forest.crowd).select("tree", "prefix")
+        below = _of_crowds(here, crowds).groupBy("tree", "label").agg(F.count("*").alias("n"))
+        self.leaves = written_table(self.spark, below)
+
+    def at(self, level: int) -> DataFrame:
+        """tree, prefix of the crowds at this level, a written table."""
+        if level < self.first:
+            prefix = F.expr(f"shiftrightunsigned(prefix, {8 * (self.first - level)})")
+            found = self.counts.groupBy("tree", prefix.alias("prefix")).agg(F.sum("n").alias("n"))
+        else:
+            found = self.leaves.groupBy("tree", _prefix("label", level).alias("prefix")).agg(F.sum("n").alias("n"))
+        return written_table(self.spark, found.where(F.col("n") > self.forest.crowd).select("tree", "prefix"))
+
+
+def _of_crowds(rows: DataFrame, crowds: DataFrame) -> DataFrame:
+    """Rows whose (tree, prefix) is a crowd; a bitmap keeps most others from being shuffled."""
+    key = F.xxhash64("tree", "prefix").alias("key")
+    return _sieve(rows.select("*", key), "key", crowds.select(key)).drop("key").join(crowds, ["tree", "prefix"])
+
+
 def match(bare: DataFrame, forest: Forest) -> DataFrame:
     """node, labels, depths: the length of the prefix that each set matches in each tree.
 
@@ -171,16 +207,13 @@ def match(bare: DataFrame, forest: Forest) -> DataFrame:
     Every level is a written table; rows are the sets still open, and the crowds are few against the labels.
     """
     spark = bare.sparkSession
-    leaves = bare.select(F.posexplode("labels").alias("tree", "label")).groupBy("tree", "label").agg(F.count("*").alias("n"))
-    leaves = written_table(spark, leaves)
+    crowds = Crowds(bare, forest)
     whole = [forest.depth] * forest.trees
     rows = bare.select("node", "labels", F.array(*map(F.lit, whole)).alias("depths"), F.lit(forest.missed(whole)).alias("missed"))
     done = []
     for level in range(forest.depth - 1, 0, -1):
-        crowds = leaves.groupBy("tree", _prefix("label", level).alias("prefix")).agg(F.sum("n").alias("n"))
-        crowds = written_table(spark, crowds.where(F.col("n") > forest.crowd).select("tree", "prefix"))
         at = rows.select("node", F.posexplode("labels").alias("tree", "label"))
-        at = at.select("node", "tree", _prefix("label", level).alias("prefix")).join(crowds, ["tree", "prefix"])
+        at = _of_crowds(at.select("node", "tree", _prefix("label", level).alias("prefix")), crowds.at(level))
         crowded = written_table(spark, at.groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("crowded")))
         left = F.log(F.lit(forest.spare()) / F.col("missed")) / math.log(forest.widened(level))
         rows = rows.join(crowded, "node", "left").withColumn("free", F.expr(
@@ -342,8 +375,8 @@ def jaccard_join(docs: DataFrame, forest: Forest = Forest(), cell_rows: int = 1_
     # Runs of the tries: nodes below a prefix that one of them matches.
     placed = runs(match(bare, forest), forest)
     size = placed.groupBy("run").agg(F.count("*").alias("n"), F.bool_or("active").alias("opened")).where("n > 1 AND opened")
-    size = size.select("run", F.ceil(F.col("n") / F.lit(2 * cell_rows)).cast("int").alias("n_blocks"))
-    members = placed.join(size, "run")
+    size = written_table(spark, size.select("run", F.ceil(F.col("n") / F.lit(2 * cell_rows)).cast("int").alias("n_blocks")))
+    members = _sieve(placed, "run", size.select("run")).join(size, "run")
     members = members.join(bare.select("node", "labels"), "node")
     cells = blocks(members, "node")
     keys = ["run", "block_i", "block_j"]

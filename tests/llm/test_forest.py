@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tenura.llm import forest
 from tenura.llm.forest import Forest, jaccard_join, keep_one
@@ -173,3 +174,20 @@ def test_crowds_change_no_result(docs_of):
         want = plain(rows)
         assert sum(r[3] for r in want) > 20
         assert ours(docs_of(rows), forest=Forest(crowd=crowd), cell_rows=8) == want
+
+
+@pytest.mark.parametrize("crowd", [2, 6, 40])
+def test_crowds_of_every_level(spark, crowd):
+    from collections import Counter
+
+    from tenura.llm.forest import Crowds, Forest
+
+    rng = np.random.default_rng(crowd)
+    values = np.where(rng.random((150, 2, 5)) < 0.6, 200, rng.integers(0, 256, (150, 2, 5)))
+    labels = [[int.from_bytes(bytes([*v.tolist(), 0, 0, 0]), "big", signed=True) for v in row] for row in values]
+    bare = spark.createDataFrame([(bytes([k]), row) for k, row in enumerate(labels)], "node binary, labels array<long>")
+    crowds = Crowds(bare, Forest(trees=2, depth=5, crowd=crowd))
+    for level in range(1, 5):
+        n = Counter((tree, int.from_bytes(bytes(v[:level].tolist()), "big")) for row in values for tree, v in enumerate(row))
+        assert {(r.tree, r.prefix) for r in crowds.at(level).collect()} == {k for k, c in n.items() if c > crowd}
+    assert crowds.first == (1 if crowd == 40 else 2) and crowds.leaves.count() < 300
