@@ -1,7 +1,7 @@
 """Source divergence audit by chunk factorization.
 
 How differently do the sources of one language use its words? Texts are split at white space and their chunks are
-counted in the documents that hold them; each chunk that occurs anywhere is taken apart into terms once; the terms
+counted in the documents that hold them; each chunk of a language is taken apart into terms once; the terms
 are joined back to the counts and give distinct documents and occurrences. Shares of terms are whole numbers, so
 every result is exact.
 """
@@ -132,10 +132,11 @@ def term_counts(docs: DataFrame, min_docs: int = 30, sizes: Sizes = Sizes()) ->
     spark = docs.sparkSession
     counted = written_table(spark, postings(docs, sizes))
     held = written_table(spark, counted.groupBy("lang", "chunk").agg(F.sum(F.size("docs")).alias("held")))
-    apart = held.select("chunk").distinct().select("chunk", terms_of(F.col("chunk")).alias("terms"))
+    apart = held.select("lang", "chunk", "held", terms_of(F.col("chunk")).alias("terms"))
+    times = F.when(F.size("terms") == 1, 1).otherwise(F.size(F.filter("terms", lambda t: t == F.col("term"))))
     term_of = written_table(spark, (
-        held.join(apart, "chunk").select("lang", "chunk", "held", "terms", F.explode(F.array_distinct("terms")).alias("term"))
-        .select("lang", "chunk", "held", "term", F.size(F.filter("terms", lambda t: t == F.col("term"))).alias("times"))))
+        apart.select("lang", "chunk", "held", "terms", F.explode(F.array_distinct("terms")).alias("term"))
+        .select("lang", "chunk", "held", "term", times.alias("times"))))
     bounds = written_table(spark, (
         term_of.groupBy("lang", "term").agg(F.max("held").alias("at_least"), F.sum("held").alias("at_most"))
         .where(F.col("at_most") >= min_docs)))
@@ -150,9 +151,9 @@ def term_counts(docs: DataFrame, min_docs: int = 30, sizes: Sizes = Sizes()) ->
 
     wanted = written_table(spark, term_of.join(kept, ["lang", "term"], "left_semi").select("lang", "chunk", "term", "times"))
     return (
-        _among(counted.select("lang", "chunk", F.arrays_zip("sources", "ns").alias("found")), wanted).join(wanted, ["lang", "chunk"])
-        .select("lang", "term", "times", F.explode("found").alias("f"))
-        .groupBy("lang", F.col("f.sources").alias("source"), "term").agg(F.sum(F.col("f.ns") * F.col("times")).alias("n")))
+        _among(counted.select("lang", "chunk", "sources", "ns"), wanted).join(wanted, ["lang", "chunk"])
+        .select("lang", "term", "times", "ns", F.posexplode("sources").alias("k", "source"))
+        .groupBy("lang", "source", "term").agg(F.sum(F.get("ns", "k") * F.col("times")).alias("n")))
 
 
 def share(n: Column, total: Column, v: Column) -> Column:

@@ -124,3 +124,18 @@ def test_many_groups_in_cells():
              "g": [r[0] for r in rows], "term": [r[1] for r in rows], "p": [r[2] for r in rows], "n_terms": [8] * len(rows)}
     out = list(divergence._cell_distances(64, iter([pa.RecordBatch.from_pydict(table)])))[0].to_pylist()
     assert {(r["a"], r["b"]): r["f"] for r in out} == {(a, b): int(np.abs(shares[a] - shares[b]).sum()) + 2 * (b * b - a * a) for a in range(5) for b in range(a + 1, 5)}
+
+
+def test_chunks_are_taken_apart_without_a_join(spark, monkeypatch):
+    plans, written = [], divergence.written_table
+
+    def seen(session, df):
+        plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return written(session, df)
+
+    monkeypatch.setattr(divergence, "written_table", seen)
+    rows = [(i, "The the (the) of-of-of of", "de" if i % 2 else "en", "a") for i in range(6)]
+    got = divergence.term_counts(spark.createDataFrame([(*r, "q", 1) for r in rows], DOCS), 3).collect()
+    assert sorted(tuple(r) for r in got) == [(g, "a", t, n) for g in ("de", "en") for t, n in (("of", 12), ("the", 9))]
+    plan, = [p for c, p in plans if "times" in c and "held" in c]
+    assert "Join" not in plan
