@@ -343,7 +343,8 @@ def permutation_importance(rows: DataFrame, features: list[str], predict, repeat
     `predict` is a function DataFrame -> DataFrame adding p (five digits); rows carry y, the key and
     all features. Customers are ranked once in hash order; repeat r of a feature takes the value of
     the customer a fixed number of places further on. Every (feature, repeat) is scored and measured
-    in one plan. Nothing is sampled.
+    in one plan. Nothing is sampled. Customers and donors meet in a merge join: as a file the ranked table
+    is small (labels are dictionary codes there), as rows in a broadcast it would fill the driver.
     """
     ranked = hash_rank(rows.select(key, "y", *features), key, seed, "_rank").withColumn("_rank", F.col("_rank") - 1)
     ranked = written_table(rows.sparkSession, ranked)           # read on both sides of the join
@@ -357,7 +358,7 @@ def permutation_importance(rows: DataFrame, features: list[str], predict, repeat
     donors = ranked.select("_rank", values.alias("_t")).select("_rank", "_t.*").select(
         ((F.col("_rank") - 1 - F.col("_shift") % F.greatest(n - 1, F.lit(1)) + n) % n).alias("_rank"),
         "feature", "repeat", "_value")
-    mixed = ranked.join(donors, "_rank").withColumns({
+    mixed = ranked.hint("merge").join(donors, "_rank").withColumns({
         f: F.when(F.col("feature") == f, F.col("_value").cast(types[f])).otherwise(F.col(f)) for f in features
     }).drop("_value")
     base = auc_of_counts(score_counts(predict(rows), []), [], "base").select("base").scalar()

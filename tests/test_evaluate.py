@@ -134,3 +134,14 @@ def test_top_share_inside_a_hot_tie(spark):
 def test_unrounded_probabilities_are_rounded_in_the_counts(spark):
     df = spark.range(9000).select(F.lit("m").alias("model_name"), (F.col("id") % 2).cast("int").alias("y"), (F.lit(0.3) + F.col("id") * 1e-9).alias("p"))
     assert E.score_counts(df).count() == 2
+
+
+def test_importance_sends_no_customers_through_the_driver(spark):
+    """A ranked table that is small as a file is wide as rows: it meets the donors without a broadcast."""
+    df = spark.range(300).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % 3).cast("int").alias("y"),
+                                 (F.col("id") % 7).cast("string").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    table = E.permutation_importance(df.withColumn("y", (F.col("y") == 0).cast("int")), ["a", "b"],
+                                     lambda d: d.withColumn("p", F.round(F.col("b") / 5, 5)), repeats=2)
+    text = table._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_rank" in text and not [x for x in text.splitlines() if "BroadcastHashJoin" in x and "_rank" in x]
+    assert table.count() == 2
