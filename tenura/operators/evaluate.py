@@ -344,25 +344,33 @@ def permutation_importance(rows: DataFrame, features: list[str], predict, repeat
     all features. Customers are ranked once in hash order; repeat r of a feature takes the value of
     the customer a fixed number of places further on. Every (feature, repeat) is scored and measured
     in one plan. Nothing is sampled. Customers and donors meet in a merge join: as a file the ranked table
-    is small (labels are dictionary codes there), as rows in a broadcast it would fill the driver.
+    is small (labels are dictionary codes there), as rows in a broadcast it would fill the driver. Tests that
+    give a customer the same inputs are scored once: p must follow from the row alone.
     """
     ranked = hash_rank(rows.select(key, "y", *features), key, seed, "_rank").withColumn("_rank", F.col("_rank") - 1)
     ranked = written_table(rows.sparkSession, ranked)           # read on both sides of the join
     n = rows.agg(F.count("*")).scalar()
     types = dict(rows.dtypes)
-    # Only (place, test, value) travels per test; the wide row travels once.
+    # Only (place, test, value) travels per test; the wide row travels once. Test 0 is the customer's own value.
     values = F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"),
                  F.lit(shift_of(seed, i, r)).cast("bigint").alias("_shift"), F.col(f).cast("string").alias("_value"))
-        for i, f in enumerate(features) for r in range(1, repeats + 1)]))
+        for i, f in enumerate(features) for r in range(repeats + 1)]))
+    place = (F.col("_rank") - 1 - F.col("_shift") % F.greatest(n - 1, F.lit(1)) + n) % n
     donors = ranked.select("_rank", values.alias("_t")).select("_rank", "_t.*").select(
-        ((F.col("_rank") - 1 - F.col("_shift") % F.greatest(n - 1, F.lit(1)) + n) % n).alias("_rank"),
-        "feature", "repeat", "_value")
-    mixed = ranked.hint("merge").join(donors, "_rank").withColumns({
-        f: F.when(F.col("feature") == f, F.col("_value").cast(types[f])).otherwise(F.col(f)) for f in features
-    }).drop("_value")
+        F.when(F.col("repeat") == 0, F.col("_rank")).otherwise(place).alias("_rank"), "feature", "repeat", "_value")
+    same = donors.repartition("_rank").groupBy("_rank", "feature", "_value").agg(F.collect_list("repeat").alias("_repeats"))
+    own = F.array_contains("_repeats", 0)
+    changes = same.select("_rank", F.when(~own, F.struct("feature", "_value")).alias("_change"), F.transform(
+        F.array_remove("_repeats", 0), lambda r: F.struct(F.col("feature").alias("feature"), r.alias("repeat"))).alias("_tests"))
+    changes = changes.groupBy("_rank", "_change").agg(F.flatten(F.collect_list("_tests")).alias("_tests")) \
+        .where(F.size("_tests") > 0)
+    mixed = ranked.hint("merge").join(changes, "_rank").withColumns({
+        f: F.when(F.col("_change.feature") == f, F.col("_change._value").cast(types[f])).otherwise(F.col(f)) for f in features
+    }).drop("_change", "_rank")
     base = auc_of_counts(score_counts(predict(rows), []), [], "base").select("base").scalar()
-    aucs = auc_of_counts(score_counts(predict(mixed), ["feature", "repeat"]), ["feature", "repeat"])
+    tests = predict(mixed).select("y", "p", F.explode("_tests").alias("_test")).select("y", "p", "_test.*")
+    aucs = auc_of_counts(score_counts(tests, ["feature", "repeat"]), ["feature", "repeat"])
     drops = aucs.select("feature", (base - F.col("roc_auc")).alias("_drop"))
     return drops.groupBy("feature").agg(F.avg("_drop").alias("auc_drop"), F.stddev_pop("_drop").alias("std"))
 

@@ -145,3 +145,57 @@ def test_importance_sends_no_customers_through_the_driver(spark):
     text = table._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [_rank" in text and not [x for x in text.splitlines() if "BroadcastHashJoin" in x and "_rank" in x]
     assert table.count() == 2
+
+
+def test_importance_scores_equal_inputs_once_and_counts_every_test(spark):
+    """Against a loop over all tests; values are null or tied."""
+    import hashlib
+
+    def md5(k):
+        return hashlib.md5(f"42:{k}".encode()).hexdigest() + ":" + k
+
+    rng = random.Random(3)
+    rows = [(f"k{i}" if i % 10 else f"k{i + 1}", int(rng.random() < 0.4), rng.choice(["x", "z", None]), float(rng.randrange(5))) for i in range(90)]
+    rows = sorted({r[0]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "customer_id string, y int, a string, b double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def points(a, b):
+        seen.add(1)
+        return round((0.3 if a == "x" else 0.1) + b / 10, 5)
+
+    score = F.udf(points, "double")
+    got = {r.feature: r for r in E.permutation_importance(
+        df, ["a", "b"], lambda d: d.withColumn("p", score("a", "b")), repeats=4).collect()}
+
+    def auc(pairs):
+        pos, neg = [p for y, p in pairs if y], [p for y, p in pairs if not y]
+        return sum((p > q) + (p == q) / 2 for p in pos for q in neg) / len(pos) / len(neg)
+
+    order, n = sorted(rows, key=lambda r: md5(r[0])), len(rows)
+    scored = seen.value
+    base = auc([(r[1], points(r[2], r[3])) for r in rows])
+    for i, f in enumerate(["a", "b"]):
+        drops = []
+        for repeat in range(1, 5):
+            step = 1 + E.shift_of(42, i, repeat) % (n - 1)
+            mixed = [(r, order[(k + step) % n]) for k, r in enumerate(order)]
+            drops.append(base - auc([(r[1], points(d[2], r[3]) if f == "a" else points(r[2], d[3])) for r, d in mixed]))
+        assert abs(got[f].auc_drop - sum(drops) / 4) < 1e-12
+    assert scored < n + 6 * n                                   # eight tests and the base would be 9 n
+
+
+def test_importance_keeps_rows_with_null_or_repeated_keys(spark):
+    """A row for each test whatever the keys are: the base's drop is 0 when the score ignores every input."""
+    rows = [(None, 1, "x"), (None, 0, "y"), ("k", 1, None), ("k", 1, None), ("m", 0, "x")]
+    df = spark.createDataFrame(rows, "customer_id string, y int, a string")
+    seen = []
+
+    def keep(d):
+        seen.append(d)
+        return d.withColumn("p", F.lit(0.5))
+
+    one = E.permutation_importance(df, ["a"], keep, repeats=3).first()
+    assert (one.auc_drop, one.std) == (0, 0)
+    mixed = next(d for d in seen if "_tests" in d.columns)
+    assert mixed.select(F.explode("_tests")).count() == 15
