@@ -1,4 +1,4 @@
-"""Fitted models as tables, and customers scored from those tables by joins and sums.
+"""Fitted models as tables, and customers scored from those tables.
 
 * A tree model is a table of nodes: (model_name, tree, node, feature, threshold, left_values, left, right, value). A leaf
   leads to itself and carries what its tree adds to the score.
@@ -7,16 +7,21 @@
 Both sizes follow from the settings of the models, not from the customers.
 """
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tenura.session import work_folder, written_table
 
 NODES = ["model_name", "tree", "node", "feature", "threshold", "left_values", "left", "right", "value"]
 WEIGHTS = "model_name string, layer int, target int, source int, weight double"
-MOST_NODES = 2_000_000          # about 100 MB; a larger forest meets the customers as Catalyst chooses
 
 
 def node_table(name: str, model: PipelineModel, spark: SparkSession) -> DataFrame:
@@ -66,37 +71,95 @@ def is_trees(model: PipelineModel) -> bool:
     return isinstance(model.stages[-1], (RandomForestClassificationModel, GBTClassificationModel))
 
 
+class _Trees:
+    """The nodes of all trees in arrays, tree behind tree; children are positions. A leaf leads to itself, and a child
+    that is not in the table to a last node that adds nothing."""
+
+    def __init__(self, nodes: pa.Table):
+        def numbers(name, kind, null):
+            return nodes[name].combine_chunks().fill_null(null).to_numpy(zero_copy_only=False).astype(kind)
+
+        tree, node = numbers("tree", np.int64, 0), numbers("node", np.int64, 0)
+        order = np.lexsort((node, tree))
+        keys = (tree << 32 | node)[order]
+
+        def place(child):
+            wanted = (tree << 32 | numbers(child, np.int64, -1))[order]
+            at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+            return np.append(np.where(keys[at] == wanted, at, len(keys)), len(keys)).astype(np.int32) if len(keys) else np.zeros(1, np.int32)
+
+        feature = numbers("feature", np.int32, -1)[order]
+        self.inner = np.append(feature >= 0, False)
+        self.feature = np.append(np.maximum(feature, 0), 0)
+        self.threshold = np.append(numbers("threshold", float, np.nan)[order], np.nan)
+        self.value = np.append(numbers("value", float, 0.0)[order], 0.0)
+        here = np.arange(len(keys) + 1, dtype=np.int32)
+        self.left, self.right = (np.where(self.inner, place(c), here).astype(np.int32) for c in ("left", "right"))
+        lists = nodes["left_values"].combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        of = np.repeat(np.argsort(order), sizes)                # where the node of each value lies
+        nth = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.values = np.full((len(keys) + 1, max(1, sizes.max(initial=0))), np.nan)
+        self.values[of, nth] = lists.flatten().to_numpy(zero_copy_only=False)
+        self.roots = np.flatnonzero(keys & 0xFFFFFFFF == 0).astype(np.int32)
+        self.width = int(self.feature.max()) + 1
+        self.levels = self._levels()
+
+    def _levels(self) -> int:
+        here, levels = self.roots, -1
+        while len(here):
+            levels += 1
+            here = here[self.inner[here]]
+            here = np.concatenate([self.left[here], self.right[here]])
+        return max(levels, 0)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """Sum of the leaves that each row reaches. One tree after the other, so its nodes stay in the processor's cache."""
+        if x.shape[1] < self.width:
+            raise ValueError(f"vectors of {x.shape[1]} numbers, but the trees ask for {self.width}")
+        cells, starts, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+        for root in self.roots:
+            at = np.full(len(x), root, np.int32)
+            for _ in range(self.levels):
+                v = cells[starts + self.feature[at]]
+                left = v <= self.threshold[at]
+                for j in range(self.values.shape[1]):
+                    left |= v == self.values[at, j]
+                at = np.where(left, self.left[at], self.right[at])
+            total += self.value[at]
+        return total
+
+
+def _trees(nodes: DataFrame) -> _Trees:
+    return _Trees(nodes.select("tree", "node", "feature", "threshold", "left_values", "left", "right", "value").toArrow())
+
+
 def score_nodes(vectors: DataFrame, nodes: DataFrame, key: str = "customer_id") -> DataFrame:
     """(key, score) with the sum of the leaves that a row of (key, x array<double>) reaches.
 
-    Every row starts at the root of every tree and takes one step per level by a join with the nodes; steps at leaves
-    stay. A row's trees lie in one task, so only one partial sum per row is shuffled. Repeated keys are summed:
+    Every row walks all trees inside its task: the nodes, bounded by the settings of the model, go to the tasks as arrays.
+    A step by a join with the nodes would carry a row per customer and tree through every level. Repeated keys are summed:
     pass one row per key.
     """
-    trees, count = nodes.agg(F.max("tree") + 1, F.count("*")).first()
-    depth = levels_of(nodes)
-    small = F.broadcast if count <= MOST_NODES else (lambda df: df)
-    at = vectors.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(int(trees) - 1))).alias("tree")).withColumn("node", F.lit(0))
-    inner = small(nodes.where("feature IS NOT NULL").select("tree", "node", "feature", "threshold", "left_values", "left", "right"))
-    for _ in range(depth):
-        value = F.col("x")[F.col("feature")]
-        left = F.coalesce(value <= F.col("threshold"), F.array_contains("left_values", value))
-        step = F.when(F.col("feature").isNull(), F.col("node")).when(left, F.col("left")).otherwise(F.col("right"))
-        at = at.join(inner, ["tree", "node"], "left").select(key, "x", "tree", step.alias("node"))
-    leaves = small(nodes.where("feature IS NULL").select("tree", "node", "value"))
-    return at.join(leaves, ["tree", "node"]).groupBy(key).agg(F.sum("value").alias("score"))
+    trees = _trees(nodes)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x")
+            if len(x):
+                known = x.is_valid().to_numpy(zero_copy_only=False)     # a missing vector goes right, as a missing value does
+                cells = x.flatten().to_numpy(zero_copy_only=False).reshape(known.sum(), -1) if known.any() else np.empty((0, trees.width))
+                rows = np.full((len(x), cells.shape[1]), np.nan)
+                rows[known] = cells
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(trees.scores(rows))], names=[key, "score"])
+
+    schema = StructType([vectors.schema[key], StructField("score", DoubleType())])
+    return vectors.select(key, "x").mapInArrow(walk, schema).groupBy(key).agg(F.sum("score").alias("score"))
 
 
 def levels_of(nodes: DataFrame) -> int:
-    """Steps from a root to the deepest leaf, level by level from the roots (a written frontier per level)."""
-    edges = nodes.where("feature IS NOT NULL").select("tree", "node", F.explode(F.array("left", "right")).alias("next"))
-    here, levels = edges.where("node = 0").select("tree", F.col("next").alias("node")), 0
-    while True:
-        here = written_table(nodes.sparkSession, here)
-        if here.isEmpty():
-            return levels
-        levels += 1
-        here = here.join(edges, ["tree", "node"]).select("tree", F.col("next").alias("node"))
+    """Steps from a root to the deepest leaf."""
+    return _trees(nodes).levels
 
 
 def score_weights(vectors: DataFrame, weights: DataFrame, key: str = "customer_id") -> DataFrame:

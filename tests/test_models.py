@@ -100,3 +100,20 @@ def test_clusters_are_found_again(spark):
     assert scan[2].silhouette > 0.9 and scan[3].inertia <= scan[2].inertia
     pcs = segments.segment_projection(labelled).collect()
     assert len({r.pc1 > 0 for r in pcs if r.segment_id == 1}) == 1
+
+
+def test_rows_walk_the_trees_without_a_join_per_level(spark):
+    """By hand: thresholds, lists of values, a tree that is one leaf, missing numbers, and a key that comes twice."""
+    nodes = spark.createDataFrame([
+        ("m", 0, 0, 0, 5.0, None, 1, 2, None), ("m", 0, 1, 1, None, [0.0, 2.0], 3, 4, None), ("m", 0, 2, None, None, None, 2, 2, 10.0),
+        ("m", 0, 3, None, None, None, 3, 3, 1.0), ("m", 0, 4, None, None, None, 4, 4, 2.0), ("m", 2, 0, None, None, None, 0, 0, 0.5)],
+        "model_name string, tree int, node int, feature int, threshold double, left_values array<double>, left int, right int, value double")
+    rows = spark.createDataFrame([(1, [5.0, 0.0]), (2, [4.0, 1.0]), (3, [4.0, 2.0]), (4, [6.0, 2.0]), (5, [float("nan"), 0.0]),
+                                  (6, None), (7, [1.0, 0.0]), (7, [9.0, 0.0]), (None, [0.0, 0.0])], "k int, x array<double>")
+    assert model_tables.levels_of(nodes) == 2
+    scored = model_tables.score_nodes(rows, nodes, "k")
+    assert {r.k: r.score for r in scored.collect()} == {1: 1.5, 2: 2.5, 3: 1.5, 4: 10.5, 5: 10.5, 6: 10.5, 7: 12.0, None: 1.5}
+    assert "Join" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert model_tables.levels_of(nodes.where("tree = 2")) == 0
+    with pytest.raises(Exception, match="the trees ask for 2"):
+        model_tables.score_nodes(rows.selectExpr("k", "slice(x, 1, 1) x"), nodes, "k").collect()
