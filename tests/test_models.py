@@ -117,3 +117,16 @@ def test_rows_walk_the_trees_without_a_join_per_level(spark):
     assert model_tables.levels_of(nodes.where("tree = 2")) == 0
     with pytest.raises(Exception, match="the trees ask for 2"):
         model_tables.score_nodes(rows.selectExpr("k", "slice(x, 1, 1) x"), nodes, "k").collect()
+
+
+def test_fits_use_as_many_tasks_as_cores_and_rows_ask_for(toy):
+    spark = toy.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "600")
+    try:
+        assert models.fit_tasks(toy) == max(8, spark.sparkContext.defaultParallelism)
+        assert models.fit_tasks(spark.range(1_000_001)) == max(11, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert models.fit_tasks(toy) == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
