@@ -124,8 +124,9 @@ def test_fits_use_as_many_tasks_as_cores_and_rows_ask_for(toy):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "600")
     try:
-        assert models.fit_tasks(toy) == max(8, spark.sparkContext.defaultParallelism)
-        assert models.fit_tasks(spark.range(1_000_001)) == max(11, spark.sparkContext.defaultParallelism)
+        cores = spark.sparkContext.defaultParallelism
+        assert models.fit_tasks(toy) == -(-8 // cores) * cores
+        assert models.fit_tasks(spark.range(1_000_001)) == -(-11 // cores) * cores
         spark.conf.set("spark.sql.shuffle.partitions", "3")
         assert models.fit_tasks(toy) == 3
     finally:
